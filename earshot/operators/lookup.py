@@ -41,7 +41,8 @@ def lookup_join(
     counted: DataFrame | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Join ``events`` to ``lookup`` on ``key``; ``how`` is inner, left or left_anti.
+    """Join ``events`` to ``lookup`` on ``key``; ``how`` is inner, left or left_anti. The
+    events' columns come first, then the lookup's.
 
     ``lookup_rows`` is the lookup's exact row count if the caller has taken it. A count within
     ``BROADCAST_ROWS`` broadcasts the lookup and the events are not shuffled. Otherwise both
@@ -55,8 +56,10 @@ def lookup_join(
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
+    added = [] if how == "left_anti" else [c for c in lookup.columns if c != key]
+    columns = [F.col(f"`{c}`") for c in (*events.columns, *added)]
     if lookup_rows is not None and lookup_rows <= BROADCAST_ROWS:
-        return events.join(F.broadcast(lookup), key, how)
+        return events.join(F.broadcast(lookup), key, how).select(columns)
 
     hot = F.broadcast(hot_keys(events if counted is None else counted, key, rows_per_slice))
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in events.columns])
@@ -73,5 +76,5 @@ def lookup_join(
     return (
         sliced_events.drop("_slices")
         .join(sliced_lookup.drop("_slices"), [key, "_slice"], how)
-        .drop("_slice")
+        .select(columns)
     )

@@ -56,12 +56,7 @@ def enrich_streams(
 ) -> DataFrame:
     """Events with their user's and song's columns. ``how='left'`` keeps unmatched events."""
     with_users = lookup_join(streams, users, "user_id", how, rows.users)
-    joined = lookup_join(with_users, songs, "track_id", how, rows.songs, counted=streams)
-    return joined.select(
-        *streams.columns,
-        *[c for c in users.columns if c != "user_id"],
-        *[c for c in songs.columns if c != "track_id"],
-    )
+    return lookup_join(with_users, songs, "track_id", how, rows.songs, counted=streams)
 
 
 def missing_users(
