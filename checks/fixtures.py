@@ -134,12 +134,18 @@ class Inputs:
         )
 
 
+# The number in {"k": 76}. A pattern finds it several times faster than a JSON parser; props of
+# any other shape go to the parser.
+_TRACK_NUMBER = r"""coalesce(
+  nullif(regexp_extract(props, '^\\{"k": *([0-9]+)\\}$', 1), ''), get_json_object(props, '$.k'))"""
+
+
 def map_events(events: DataFrame) -> DataFrame:
-    return events.selectExpr(
+    return events.select(
         "event_id",
-        "user_id + 1 AS user_id",
-        "concat('T', get_json_object(props, '$.k')) AS track_id",
-        "ts AS listen_time",
+        (F.col("user_id") + 1).alias("user_id"),
+        F.concat(F.lit("T"), F.expr(_TRACK_NUMBER)).alias("track_id"),
+        F.col("ts").alias("listen_time"),
     )
 
 

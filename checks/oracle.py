@@ -356,13 +356,14 @@ def all_oracles() -> dict[str, str]:
             )
             + " FROM fact",
         ),
-        "kafka_records": _sql(
-            [_STREAMS], "SELECT count(*) AS records, count(*) AS keys FROM streams"
+        "kafka_keys": _sql(
+            [_STREAMS],
+            "SELECT CAST(row_number() OVER () - 1 AS VARCHAR) AS key FROM streams",
         ),
-        "kafka_values": _sql(
+        "kafka_records": _sql(
             [_STREAMS],
             "SELECT CAST(event_id AS VARCHAR) AS key, "
-            "'{\"event_id\":' || event_id || ',\"user_id\":' || user_id || "
+            "'{\"user_id\":' || user_id || "
             "',\"track_id\":\"' || track_id || '\",\"listen_time\":\"' || "
             f"{_text('listen_time')} || '\"}}' AS value FROM events_mapped",
         ),

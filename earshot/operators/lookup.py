@@ -46,10 +46,10 @@ def lookup_join(
 
     ``lookup_rows`` is the lookup's exact row count if the caller has taken it. A count within
     ``BROADCAST_ROWS`` broadcasts the lookup and the events are not shuffled. Otherwise both
-    sides are shuffled on (key, slice): event rows of a hot key spread over its slices by a
-    hash of the row, and that key's lookup rows are repeated once per slice, which adds at
-    most one lookup row per ``rows_per_slice`` events. The slice depends on the row alone, so
-    a retried task sends every row to the same place.
+    sides are shuffled on (key, slice): event rows of a hot key spread over its slices, and
+    that key's lookup rows are repeated once per slice, which adds at most one lookup row per
+    ``rows_per_slice`` events. The slice comes from the row and the partition it is in, so
+    exact copies spread as well, and a retried task sends every row to the same place.
 
     ``counted`` is the frame to count keys on when it is cheaper than ``events`` and holds at
     least the same rows, such as the events before an earlier join.
@@ -62,7 +62,7 @@ def lookup_join(
         return events.join(F.broadcast(lookup), key, how).select(columns)
 
     hot = F.broadcast(hot_keys(events if counted is None else counted, key, rows_per_slice))
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in events.columns])
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in events.columns], F.spark_partition_id())
     sliced_events = events.join(hot, key, "left").withColumn(
         "_slice",
         F.when(F.col(key).isNull(), F.pmod(spread, F.lit(_NULL_SLICES)))

@@ -29,7 +29,6 @@ class Locations:
     audits: str
     tables: str | None = None
     exports: str | None = None
-    staging: str | None = None
 
 
 @dataclass(frozen=True)
@@ -80,7 +79,7 @@ def load(
     lookups are counted from their files, and the counts choose how they are joined.
     """
     configure(spark)
-    folder = f"{shared_folder(spark, places.staging)}/earshot-{tables.database or 'default'}-{day}"
+    folder = f"{shared_folder(spark)}/earshot-{tables.database or 'default'}-{day}"
     raw = stage(streams, f"{folder}/streams_raw")
     clean_users = stage(enrich.clean_users(users), f"{folder}/users")
     clean_songs = stage(enrich.clean_songs(songs), f"{folder}/songs")

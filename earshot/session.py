@@ -26,17 +26,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return folder.rstrip("/")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir;
+    where it names none, a folder beside the tables."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/staging").rstrip("/")
 
 
-def fresh_folder(spark: SparkSession, label: str, fallback: str | None = None) -> str:
+def fresh_folder(spark: SparkSession, label: str) -> str:
     """A folder of its own under the shared one, so that runs never meet."""
-    return f"{shared_folder(spark, fallback)}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, folder: str) -> DataFrame:

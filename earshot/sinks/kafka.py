@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def to_kafka_records(df: DataFrame, key: Column | None = None) -> DataFrame:
-    """``key`` and ``value`` text: the row as JSON, nulls spelled out.
+def to_kafka_records(df: DataFrame, key: str | None = None) -> DataFrame:
+    """``key`` and ``value`` text: the column ``key``, and the other columns as JSON with
+    nulls spelled out.
 
-    Without ``key`` every row gets an ordinal that is unique but not dense; a dense one would
-    take a second pass over the data, and consumers only need it to differ.
+    Without ``key`` every row gets a number that differs from the others but leaves gaps;
+    ``with_ordinal`` adds one that does not, for a second pass over the data.
     """
-    ordinal = F.monotonically_increasing_id() if key is None else key
+    number = F.monotonically_increasing_id() if key is None else F.col(key)
+    values = [F.col(f"`{c}`") for c in df.columns if c != key]
     return df.select(
-        ordinal.cast("string").alias("key"),
-        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"),
+        number.cast("string").alias("key"),
+        F.to_json(F.struct(*values), {"ignoreNullFields": "false"}).alias("value"),
     )
 
 

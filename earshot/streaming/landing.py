@@ -15,6 +15,7 @@ def land_events(
     checkpoint: str,
     hour_of: Column,
     once: bool = True,
+    files_per_hour: int | None = None,
 ) -> StreamingQuery:
     """Start writing ``events`` under ``root``/year=/month=/day=/hour=, by the hour of the
     timestamp ``hour_of``. The hour columns are in the path only.
@@ -22,12 +23,23 @@ def land_events(
     ``checkpoint`` must be on storage all nodes share: after a lost executor or driver the
     query goes on from it, and the sink's commit log names each file once. ``once`` lands what
     has arrived and stops.
+
+    Every task writes a file for each hour it meets. A live stream meets one or two; a backlog
+    of many hours should set ``files_per_hour``, which gathers each hour into at most that many
+    tasks. The slice of an hour a row goes to is that of its input partition, so a busy hour
+    spreads over all its slices.
     """
     layouts = dict(zip(HOUR_PARTITIONS.names, ["yyyy", "MM", "dd", "HH"], strict=True))
     hours = {name: F.date_format(hour_of, layout) for name, layout in layouts.items()}
+    landed = events.withColumns(hours)
+    if files_per_hour is not None:
+        landed = (
+            landed.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(files_per_hour)))
+            .repartition(*hours, "_slice")
+            .drop("_slice")
+        )
     writer = (
-        events.withColumns(hours)
-        .writeStream.format("json")
+        landed.writeStream.format("json")
         .outputMode("append")
         .partitionBy(*hours)
         .option("ignoreNullFields", False)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot import schemas
+from earshot.operators.ordinal import with_ordinal
 from earshot.sinks import files as out
 from earshot.sinks import jdbc, kafka, tables
 from earshot.sources.files import read_csv_table, read_hour_partitions, read_jsonl
@@ -227,6 +228,21 @@ def test_records_and_back(spark):
     assert dict(text.dtypes)["listen_time"] == "string"
 
 
+def test_ordinals_are_dense(spark, tmp_path):
+    spark.range(1000).repartition(7).write.parquet(str(tmp_path / "o"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        df = spark.read.parquet(str(tmp_path / "o")).withColumn("twice", F.col("id") * 2)
+        assert df.rdd.getNumPartitions() > 1
+        numbered = with_ordinal(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r.ordinal for r in numbered) == list(range(1000))
+    assert sorted(r.id for r in numbered) == list(range(1000))
+    records = kafka.to_kafka_records(with_ordinal(spark.createDataFrame([("x",)], "a STRING")), "ordinal")
+    assert tuple(records.first()) == ("0", '{"a":"x"}')
+
+
 def test_malformed_record_fails(spark):
     with pytest.raises(Exception, match="(?i)malformed"):
         parse_records(spark.createDataFrame([("{",)], "value STRING"), schemas.STREAMS).collect()
