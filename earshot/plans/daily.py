@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from earshot import schemas
 from earshot.functions.columns import WEEK_REFERENCE
+from earshot.operators.profiling import null_profile
 from earshot.plans import dims, enrich, facts, views
 from earshot.session import configure, shared_folder, stage
 from earshot.sinks.files import write_audit, write_csv, write_jsonl
@@ -39,6 +40,9 @@ class Report:
     users: int
     streams: int
     clean_streams: int
+    # Per table and column, before filling.
+    missing_values: dict[str, dict[str, int]]
+    # Clean events without a known user or song.
     missing_users: int
     missing_songs: int
     views: tuple[str, ...]
@@ -98,16 +102,12 @@ def load(
     )
     write_table(dims.dim_songs(clean_songs), tables.songs, location("dim_songs"))
 
-    write_audit(
-        enrich.missing_users(clean, clean_users, rows), f"{places.audits}/{day}/missing_users"
-    )
-    write_audit(
-        enrich.missing_songs(clean, clean_songs, rows), f"{places.audits}/{day}/missing_songs"
-    )
-    counts = {
-        r["audit"]: r["events"]
-        for r in enrich.audit_counts(clean, clean_users, clean_songs).collect()
-    }
+    unmatched = dict(map(tuple, enrich.audit_counts(clean, clean_users, clean_songs).collect()))
+    for audit, found in (
+        ("missing_users", enrich.missing_users(clean, clean_users, rows)),
+        ("missing_songs", enrich.missing_songs(clean, clean_songs, rows)),
+    ):
+        write_audit(found, f"{places.audits}/{day}/{audit}", unmatched[audit])
     if places.exports:
         write_csv(enriched, f"{places.exports}/{day}/streams_full_cleaned")
         write_jsonl(clean_users, f"{places.exports}/{day}/users")
@@ -118,7 +118,11 @@ def load(
         users=users.count(),
         streams=raw.count(),
         clean_streams=clean.count(),
-        missing_users=counts["missing_users"],
-        missing_songs=counts["missing_songs"],
+        missing_values={
+            name: dict(map(tuple, null_profile(df).collect()))
+            for name, df in (("streams", raw), ("users", users), ("songs", songs))
+        },
+        missing_users=unmatched["missing_users"],
+        missing_songs=unmatched["missing_songs"],
         views=tuple(views.create_views(spark, tables)),
     )

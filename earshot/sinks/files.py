@@ -31,9 +31,10 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def write_audit(df: DataFrame, path: str) -> bool:
-    """Write an audit set as CSV if it has rows; returns whether it had."""
-    if df.isEmpty():
+def write_audit(df: DataFrame, path: str, rows: int | None = None) -> bool:
+    """Write an audit set as CSV if it has rows; returns whether it had. A known count in
+    ``rows`` saves looking."""
+    if rows == 0 or (rows is None and df.isEmpty()):
         return False
     write_csv(df, path)
     return True

@@ -57,6 +57,8 @@ def test_daily_runs_add_days_and_repeat_safely(spark, places, rows):
     first = daily.run(spark, places, "2025-06-20", tables=MUSIC)
     assert (first.songs, first.users, first.streams, first.clean_streams) == (4, 3, 6, 5)
     assert (first.missing_users, first.missing_songs) == (1, 1)
+    assert first.missing_values["streams"] == {"user_id": 0, "track_id": 0, "listen_time": 1}
+    assert first.missing_values["users"]["user_country"] == 3
     hourly = rows(spark.table("music.view_hourly_kpi"))
     assert len(hourly) == 2 and sum(r[2] for r in hourly) == 3
 
