@@ -103,6 +103,10 @@ class Inputs:
             F.expr("if(copy = 0 AND id % 7 = 0, NULL, track_genre)").alias("track_genre"),
         ).select(self.songs.columns)
 
+    @cached_property
+    def event_rows(self) -> int:
+        return self.table("events").count()
+
     @cached_property
     def rows(self) -> LookupRows:
         """Users and songs, counted from the file footers. The dirty variants clean to the

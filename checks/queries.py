@@ -12,8 +12,8 @@ from checks.fixtures import Inputs, map_events, times_as_text
 from earshot import schemas
 from earshot.operators import profiling
 from earshot.operators.ordinal import with_ordinal
-from earshot.plans import daily, dims, enrich, facts, kpi, views
-from earshot.session import configure, fresh_folder, stage
+from earshot.plans import dims, enrich, facts, kpi, views
+from earshot.session import configure, fresh_folder, size_shuffles, stage
 from earshot.sinks.files import write_csv, write_jsonl
 from earshot.sinks.kafka import to_kafka_records
 from earshot.sources.files import read_csv_table, read_hour_partitions, read_jsonl
@@ -37,7 +37,12 @@ def _query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame
 
 def all_queries() -> dict[str, Query]:
     def bound(build: Callable[[Inputs], DataFrame]) -> Query:
-        return lambda spark, sf_dir: build(_inputs(configure(spark), sf_dir))
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            inputs = _inputs(configure(spark), sf_dir)
+            size_shuffles(spark, inputs.event_rows)
+            return build(inputs)
+
+        return query
 
     return {name: bound(build) for name, build in _QUERIES.items()}
 

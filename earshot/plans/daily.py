@@ -11,7 +11,7 @@ from earshot import schemas
 from earshot.functions.columns import WEEK_REFERENCE
 from earshot.operators.profiling import null_profile
 from earshot.plans import dims, enrich, facts, views
-from earshot.session import configure, shared_folder, stage
+from earshot.session import configure, shared_folder, size_shuffles, stage
 from earshot.sinks.files import write_audit, write_csv, write_jsonl
 from earshot.sinks.tables import write_fact, write_table
 from earshot.sources.files import read_hour_partitions, read_jsonl
@@ -85,6 +85,8 @@ def load(
     configure(spark)
     folder = f"{shared_folder(spark)}/earshot-{tables.database or 'default'}-{day}"
     raw = stage(streams, f"{folder}/streams_raw")
+    received = raw.count()
+    size_shuffles(spark, received)
     clean_users = stage(enrich.clean_users(users), f"{folder}/users")
     clean_songs = stage(enrich.clean_songs(songs), f"{folder}/songs")
     clean = stage(enrich.clean_streams(raw), f"{folder}/streams")
@@ -116,7 +118,7 @@ def load(
     return Report(
         songs=songs.count(),
         users=users.count(),
-        streams=raw.count(),
+        streams=received,
         clean_streams=clean.count(),
         missing_values={
             name: dict(map(tuple, null_profile(df).collect()))

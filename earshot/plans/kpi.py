@@ -7,7 +7,7 @@ happen after grouping, between frames of one row per genre, hour or track.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions import age_group
@@ -108,23 +108,24 @@ def top_age_group_hourly(fact: DataFrame) -> DataFrame:
 def hourly_tops(fact: DataFrame) -> DataFrame:
     """Top genre, artist and age group per hour, in one pass over the fact.
 
-    Grouping sets count all three labels in one scan and one shuffle. The set an hour's row
-    belongs to is its grouping id; the other two labels are null there, so the final ``max``
-    picks the one label that is set.
+    Every play counts once for each of its three labels, in one shuffle of partial counts.
+    Dates pass through unchanged, so a filter on them still prunes a stored fact's partitions
+    (it would not pass grouping sets).
     """
-    labels = ["track_genre", "artists", "age_group"]
-    hours = [F.col(c) for c in _HOUR]
-    sets = [[*hours, F.col(label)] for label in labels]
+    labels = F.array("track_genre", "artists", "age_group")
     plays = (
         _with_age_group(fact)
-        .groupingSets(sets, *hours, *[F.col(label) for label in labels])
-        .agg(F.grouping_id().alias("_set"), F.count("*").alias("_plays"))
+        .select(*_HOUR, F.posexplode(labels).alias("_kind", "_label"))
+        .groupBy(*_HOUR, "_kind", "_label")
+        .agg(F.count("*").alias("_plays"))
     )
-    best = top_one(plays, [*_HOUR, "_set"], "_plays", F.coalesce(*labels))
+    best = top_one(plays, [*_HOUR, "_kind"], "_plays", F.col("_label"))
+
+    def top(kind: int) -> Column:
+        return F.max(F.when(F.col("_kind") == kind, F.col("_label")))
+
     return best.groupBy(*_HOUR).agg(
-        F.max("track_genre").alias("top_genre"),
-        F.max("artists").alias("top_artist"),
-        F.max("age_group").alias("top_age_group"),
+        top(0).alias("top_genre"), top(1).alias("top_artist"), top(2).alias("top_age_group")
     )
 
 

@@ -44,28 +44,23 @@ WITH totals AS (
          count(DISTINCT user_id) AS unique_listeners
   FROM {fact} GROUP BY listen_date, listen_hour
 ), labelled AS (
-  SELECT listen_date, listen_hour, track_genre, artists,
-         CASE WHEN user_age >= 10 AND user_age < 100
-              THEN concat_ws('-', floor(user_age / 10) * 10, floor(user_age / 10) * 10 + 9)
-              ELSE 'Unknown' END AS age_group
+  SELECT listen_date, listen_hour,
+         posexplode(array(
+           track_genre, artists,
+           CASE WHEN user_age >= 10 AND user_age < 100
+                THEN concat_ws('-', floor(user_age / 10) * 10, floor(user_age / 10) * 10 + 9)
+                ELSE 'Unknown' END)) AS (kind, label)
   FROM {fact}
-), counted AS (
-  SELECT listen_date, listen_hour, track_genre, artists, age_group,
-         grouping_id() AS label_set, count(*) AS n
-  FROM labelled
-  GROUP BY listen_date, listen_hour, track_genre, artists, age_group
-  GROUPING SETS ((listen_date, listen_hour, track_genre),
-                 (listen_date, listen_hour, artists),
-                 (listen_date, listen_hour, age_group))
 ), placed AS (
-  SELECT *, row_number() OVER (
-              PARTITION BY listen_date, listen_hour, label_set
-              ORDER BY n DESC, coalesce(track_genre, artists, age_group) ASC NULLS LAST) AS place
-  FROM counted
+  SELECT *, row_number() OVER (PARTITION BY listen_date, listen_hour, kind
+                               ORDER BY n DESC, label ASC NULLS LAST) AS place
+  FROM (SELECT listen_date, listen_hour, kind, label, count(*) AS n
+        FROM labelled GROUP BY listen_date, listen_hour, kind, label)
 ), tops AS (
   SELECT listen_date, listen_hour,
-         max(track_genre) AS top_genre, max(artists) AS top_artist,
-         max(age_group) AS top_age_group
+         max(label) FILTER (WHERE kind = 0) AS top_genre,
+         max(label) FILTER (WHERE kind = 1) AS top_artist,
+         max(label) FILTER (WHERE kind = 2) AS top_age_group
   FROM placed WHERE place = 1 GROUP BY listen_date, listen_hour
 )
 SELECT totals.*, top_genre, top_artist, top_age_group

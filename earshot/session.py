@@ -46,3 +46,19 @@ def stage(df: DataFrame, folder: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+# Rows a shuffle partition should hold at most, and the most partitions to plan for: beyond it
+# the map side would spend more on bookkeeping than the smaller partitions save.
+ROWS_PER_PARTITION = 2_000_000
+MOST_PARTITIONS = 50_000
+
+
+def size_shuffles(spark: SparkSession, rows: int) -> None:
+    """Start shuffles with partitions for ``rows`` rows, at least as many as configured.
+    Adaptive execution merges those that turn out small."""
+    wanted = min(-(-rows // ROWS_PER_PARTITION), MOST_PARTITIONS)
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", max(wanted, configured)
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from pathlib import Path
 
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from earshot import schemas
 from earshot.operators.ordinal import with_ordinal
+from earshot.plans import kpi, views
 from earshot.sinks import files as out
 from earshot.sinks import jdbc, kafka, tables
 from earshot.sources.files import read_csv_table, read_hour_partitions, read_jsonl
@@ -171,6 +173,23 @@ def test_fact_partitions_prune(spark, tmp_path):
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_a_date_filter_on_the_hourly_view_prunes_both_scans(spark, tmp_path):
+    plays = spark.createDataFrame(
+        [(1, "g", "a", 20, day, 9) for day in (NINE.date(), NINE.date() + dt.timedelta(1))],
+        "user_id INT, track_genre STRING, artists STRING, user_age INT, listen_date DATE,"
+        "listen_hour INT",
+    )
+    tables.write_fact(plays, "fact_hours", "2025-06-21", str(tmp_path / "f"))
+    text = views.VIEWS["view_hourly_kpi"].format(fact="fact_hours")
+    for hourly in (spark.sql(text), kpi.hourly_kpi(spark.table("fact_hours"))):
+        one_day = hourly.where("listen_date = DATE'2025-06-20'")
+        plan = one_day._jdf.queryExecution().executedPlan().toString()
+        pruned = re.findall(r"PartitionFilters: \[[^]]*listen_date#\d+ = 2025-06-20", plan)
+        assert len(pruned) == plan.count("FileScan parquet") == 2
+        assert one_day.count() == 1
+    spark.sql("DROP TABLE fact_hours")
+
+
 def test_overwrite_mode_of_the_session_is_kept(spark, tmp_path):
     name = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(name)
@@ -239,8 +258,8 @@ def test_ordinals_are_dense(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert sorted(r.ordinal for r in numbered) == list(range(1000))
     assert sorted(r.id for r in numbered) == list(range(1000))
-    records = kafka.to_kafka_records(with_ordinal(spark.createDataFrame([("x",)], "a STRING")), "ordinal")
-    assert tuple(records.first()) == ("0", '{"a":"x"}')
+    one = with_ordinal(spark.createDataFrame([("x",)], "a STRING"))
+    assert tuple(kafka.to_kafka_records(one, "ordinal").first()) == ("0", '{"a":"x"}')
 
 
 def test_malformed_record_fails(spark):
