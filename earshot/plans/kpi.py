@@ -108,7 +108,8 @@ def top_age_group_hourly(fact: DataFrame) -> DataFrame:
 def hourly_tops(fact: DataFrame) -> DataFrame:
     """Top genre, artist and age group per hour, in one pass over the fact.
 
-    Every play counts once for each of its three labels, in one shuffle of partial counts.
+    Every play counts once for each of its three labels, in one shuffle of partial counts; a
+    second one takes each task's best label per hour. Ties go to the lowest label, null last.
     Dates pass through unchanged, so a filter on them still prunes a stored fact's partitions
     (it would not pass grouping sets).
     """
@@ -119,12 +120,13 @@ def hourly_tops(fact: DataFrame) -> DataFrame:
         .groupBy(*_HOUR, "_kind", "_label")
         .agg(F.count("*").alias("_plays"))
     )
-    best = top_one(plays, [*_HOUR, "_kind"], "_plays", F.col("_label"))
+    label = F.col("_label")
+    place = F.struct((-F.col("_plays")).alias("n"), label.isNull().alias("none"), label)
 
     def top(kind: int) -> Column:
-        return F.max(F.when(F.col("_kind") == kind, F.col("_label")))
+        return F.min(F.when(F.col("_kind") == kind, place))["_label"]
 
-    return best.groupBy(*_HOUR).agg(
+    return plays.groupBy(*_HOUR).agg(
         top(0).alias("top_genre"), top(1).alias("top_artist"), top(2).alias("top_age_group")
     )
 

@@ -52,16 +52,15 @@ WITH totals AS (
                 ELSE 'Unknown' END)) AS (kind, label)
   FROM {fact}
 ), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY listen_date, listen_hour, kind
-                               ORDER BY n DESC, label ASC NULLS LAST) AS place
-  FROM (SELECT listen_date, listen_hour, kind, label, count(*) AS n
-        FROM labelled GROUP BY listen_date, listen_hour, kind, label)
+  SELECT listen_date, listen_hour, kind,
+         named_struct('n', -count(*), 'none', label IS NULL, 'label', label) AS place
+  FROM labelled GROUP BY listen_date, listen_hour, kind, label
 ), tops AS (
   SELECT listen_date, listen_hour,
-         max(label) FILTER (WHERE kind = 0) AS top_genre,
-         max(label) FILTER (WHERE kind = 1) AS top_artist,
-         max(label) FILTER (WHERE kind = 2) AS top_age_group
-  FROM placed WHERE place = 1 GROUP BY listen_date, listen_hour
+         (min(place) FILTER (WHERE kind = 0)).label AS top_genre,
+         (min(place) FILTER (WHERE kind = 1)).label AS top_artist,
+         (min(place) FILTER (WHERE kind = 2)).label AS top_age_group
+  FROM placed GROUP BY listen_date, listen_hour
 )
 SELECT totals.*, top_genre, top_artist, top_age_group
 FROM totals

@@ -45,7 +45,7 @@ def test_only_needed_columns_are_read(spark):
 
 
 def test_top_one_prunes_before_the_shuffle(spark):
-    for name in ("clean_songs", "most_popular_track", "top_artist_hourly", "hourly_kpi"):
+    for name in ("clean_songs", "most_popular_track", "top_artist_hourly"):
         plan = final_plan(QUERIES[name](spark, SMALL))
         assert "WindowGroupLimit" in plan and "Partial" in plan
 
