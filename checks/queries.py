@@ -18,7 +18,7 @@ from earshot.sinks.files import write_csv, write_jsonl
 from earshot.sinks.kafka import to_kafka_records
 from earshot.sources.files import read_csv_table, read_hour_partitions, read_jsonl
 from earshot.sources.kafka import parse_records
-from earshot.streaming.landing import land_events
+from earshot.streaming.landing import land_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -381,8 +381,8 @@ def _land(i: Inputs) -> str:
         f"{i.sf_dir}/event[s].parquet"
     )
     events = times_as_text(map_events(stream).drop("event_id"), "listen_time")
-    land_events(
-        events,
+    land_records(
+        events.select("listen_time", F.to_json(F.struct("*")).alias("value")),
         f"{folder}/topic",
         f"{folder}/checkpoint",
         F.to_timestamp("listen_time"),

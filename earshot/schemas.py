@@ -86,6 +86,16 @@ def json_form(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, loosen(f), True) for f in schema.fields])
 
 
+def with_text_times(schema: T.StructType) -> T.StructType:
+    """The schema of the same table before its times are parsed."""
+    return T.StructType(
+        [
+            T.StructField(f.name, _TEXT if isinstance(f.dataType, T.TimestampType) else f.dataType)
+            for f in schema.fields
+        ]
+    )
+
+
 def text_form(schema: T.StructType) -> T.StructType:
     """The schema to read CSV fields with: text, typed later by ``apply_schema``."""
     return T.StructType([T.StructField(f.name, _TEXT, True) for f in schema.fields])

@@ -79,7 +79,7 @@ def read_hour_partitions(
     the whole history.
 
     The day's folder is read directly, so the cost is that day's however long the history.
-    ``through_log`` reads a folder written by ``land_events`` through its commit log, which
+    ``through_log`` reads a folder written by ``land_records`` through its commit log, which
     leaves out files of unfinished attempts; the day is then a partition filter.
     """
     reader = (

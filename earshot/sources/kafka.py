@@ -1,4 +1,4 @@
-"""Events from a Kafka topic."""
+"""Records and events from a Kafka topic."""
 
 from __future__ import annotations
 
@@ -12,16 +12,26 @@ from earshot.operators.cleaning import apply_schema
 from earshot.schemas import json_form
 
 
-def parse_records(records: DataFrame, schema: T.StructType, typed: bool = True) -> DataFrame:
-    """The JSON in ``value`` as columns; a malformed record fails the query.
+def read_kafka_records(
+    spark: SparkSession, servers: str, topic: str, options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """A stream of the topic's records. ``options`` carries security, offset and rate
+    settings; for a long backlog, set ``maxOffsetsPerTrigger``."""
+    return (
+        spark.readStream.format("kafka")
+        .options(**(options or {}))
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", topic)
+        .load()
+    )
 
-    ``typed=False`` keeps times as the text they arrived as, for landing them unchanged.
-    """
+
+def parse_records(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """The JSON in ``value`` as typed columns; a malformed record fails the query."""
     parsed = F.from_json(
         F.col("value").cast("string"), json_form(schema), {"mode": "FAILFAST"}
     ).alias("event")
-    events = records.select(parsed).select("event.*")
-    return apply_schema(events, schema) if typed else events
+    return apply_schema(records.select(parsed).select("event.*"), schema)
 
 
 def read_kafka_events(
@@ -30,14 +40,6 @@ def read_kafka_events(
     topic: str,
     schema: T.StructType,
     options: Mapping[str, str] | None = None,
-    typed: bool = True,
 ) -> DataFrame:
-    """A stream of the topic's events. ``options`` carries security and offset settings."""
-    records = (
-        spark.readStream.format("kafka")
-        .options(**(options or {}))
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .load()
-    )
-    return parse_records(records, schema, typed)
+    """A stream of the topic's events, typed to ``schema``."""
+    return parse_records(read_kafka_records(spark, servers, topic, options), schema)

@@ -1,4 +1,4 @@
-"""Landing a stream of events as hour-partitioned JSON lines."""
+"""Landing a stream of JSON records as hour-partitioned files."""
 
 from __future__ import annotations
 
@@ -9,16 +9,16 @@ from pyspark.sql.streaming import StreamingQuery
 from earshot.schemas import HOUR_PARTITIONS
 
 
-def land_events(
-    events: DataFrame,
+def land_records(
+    records: DataFrame,
     root: str,
     checkpoint: str,
     hour_of: Column,
     once: bool = True,
     files_per_hour: int | None = None,
 ) -> StreamingQuery:
-    """Start writing ``events`` under ``root``/year=/month=/day=/hour=, by the hour of the
-    timestamp ``hour_of``. The hour columns are in the path only.
+    """Start writing each record's ``value``, one JSON object per line as it arrived, under
+    ``root``/year=/month=/day=/hour= by the hour of the timestamp ``hour_of``.
 
     ``checkpoint`` must be on storage all nodes share: after a lost executor or driver the
     query goes on from it, and the sink's commit log names each file once. ``once`` lands what
@@ -30,19 +30,20 @@ def land_events(
     spreads over all its slices.
     """
     layouts = dict(zip(HOUR_PARTITIONS.names, ["yyyy", "MM", "dd", "HH"], strict=True))
-    hours = {name: F.date_format(hour_of, layout) for name, layout in layouts.items()}
-    landed = events.withColumns(hours)
+    hours = [F.date_format(hour_of, layout).alias(name) for name, layout in layouts.items()]
+    # Line breaks in JSON stand between tokens only; inside strings they are escaped.
+    line = F.translate(F.col("value").cast("string"), "\r\n", "  ").alias("value")
+    landed = records.select(line, *hours)
     if files_per_hour is not None:
         landed = (
             landed.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(files_per_hour)))
-            .repartition(*hours, "_slice")
+            .repartition(*layouts, "_slice")
             .drop("_slice")
         )
     writer = (
-        landed.writeStream.format("json")
+        landed.writeStream.format("text")
         .outputMode("append")
-        .partitionBy(*hours)
-        .option("ignoreNullFields", False)
+        .partitionBy(*layouts)
         .option("path", root)
         .option("checkpointLocation", checkpoint)
     )

@@ -7,11 +7,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from earshot import __main__ as command
 from earshot import schemas
 from earshot.operators import lookup
 from earshot.plans import daily, views
 from earshot.sources.files import read_csv_table, read_hour_partitions
-from earshot.streaming.landing import land_events
+from earshot.streaming.landing import land_records
 
 
 def lines(path, records):
@@ -96,15 +97,24 @@ def test_large_lookups_give_the_same_tables(spark, places, rows, monkeypatch):
     assert rows(spark.table("music.fact_streams")) == expected
 
 
+def test_command_line(spark, places, capsys):
+    command.main([
+        "--songs", places.songs, "--users", places.users, "--landing", places.landing,
+        "--audits", places.audits, "--tables", places.tables, "--database", "music",
+        "--day", "2025-06-21",
+    ])
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["clean_streams"] == 2 and report["missing_users"] == 1
+    assert spark.table("music.fact_streams").count() == 1
+
+
 def test_landing_goes_on_from_its_checkpoint(spark, tmp_path):
     source, root = tmp_path / "source", str(tmp_path / "topic")
-    schema = schemas.json_form(schemas.STREAMS)
 
     def land():
-        events = spark.readStream.schema(schema).json(str(source))
-        land_events(
-            events, root, str(tmp_path / "checkpoint"), F.to_timestamp("listen_time")
-        ).awaitTermination()
+        records = spark.readStream.text(str(source))
+        hour = F.to_timestamp(F.get_json_object("value", "$.listen_time"))
+        land_records(records, root, str(tmp_path / "checkpoint"), hour).awaitTermination()
         return read_hour_partitions(spark, root, None, schemas.STREAMS, True, True)
 
     lines(source / "1.json", [listen(1, None, "2025-06-20 09:59:59"),

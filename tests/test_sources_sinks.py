@@ -243,8 +243,6 @@ def test_records_and_back(spark):
     back = parse_records(records, schemas.STREAMS)
     assert back.schema == schemas.STREAMS
     assert sorted(map(tuple, back.collect())) == [(1, "T1", NINE), (2, None, None)]
-    text = parse_records(records, schemas.STREAMS, typed=False)
-    assert dict(text.dtypes)["listen_time"] == "string"
 
 
 def test_ordinals_are_dense(spark, tmp_path):
