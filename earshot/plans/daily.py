@@ -6,6 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from earshot import schemas
 from earshot.functions.columns import WEEK_REFERENCE
@@ -78,30 +79,36 @@ def load(
 ) -> Report:
     """The same from typed frames.
 
-    Text is parsed once: raw events and the three clean frames are staged as Parquet in the
-    folder the cluster shares, and the joins, audits and exports read from there. The clean
-    lookups are counted from their files, and the counts choose how they are joined.
+    Text is parsed once: the frames as received and the clean ones are staged as Parquet in
+    the folder the cluster shares, and everything after reads from there. The clean lookups
+    are counted from their files, and the counts choose how they are joined.
     """
     configure(spark)
     folder = f"{shared_folder(spark)}/earshot-{tables.database or 'default'}-{day}"
-    raw = stage(streams, f"{folder}/streams_raw")
-    received = raw.count()
-    size_shuffles(spark, received)
-    clean_users = stage(enrich.clean_users(users), f"{folder}/users")
-    clean_songs = stage(enrich.clean_songs(songs), f"{folder}/songs")
-    clean = stage(enrich.clean_streams(raw), f"{folder}/streams")
-    rows = enrich.LookupRows(users=clean_users.count(), songs=clean_songs.count())
+
+    def staged(name: str, df: DataFrame) -> DataFrame:
+        return stage(df, f"{folder}/{name}")
 
     def location(table: str) -> str | None:
         return f"{places.tables}/{table}" if places.tables else None
 
+    raw = {
+        "songs": staged("songs_raw", songs),
+        "users": staged("users_raw", users),
+        "streams": staged("streams_raw", streams),
+    }
+    received = {name: df.count() for name, df in raw.items()}
+    size_shuffles(spark, max(received.values()))
+    clean_users = staged("users", enrich.clean_users(raw["users"]))
+    clean_songs = staged("songs", enrich.clean_songs(raw["songs"]))
+    clean = staged("streams", enrich.clean_streams(raw["streams"]))
+    rows = enrich.LookupRows(users=clean_users.count(), songs=clean_songs.count())
+
     enriched = enrich.enrich_streams(clean, clean_users, clean_songs, rows=rows)
     write_fact(
         facts.fact_streams(enriched), tables.fact, day, location("fact_streams"), rebalance
     )
-    write_table(
-        dims.dim_users(clean_users, reference), tables.users, location("dim_users")
-    )
+    write_table(dims.dim_users(clean_users, reference), tables.users, location("dim_users"))
     write_table(dims.dim_songs(clean_songs), tables.songs, location("dim_songs"))
 
     unmatched = dict(map(tuple, enrich.audit_counts(clean, clean_users, clean_songs).collect()))
@@ -111,18 +118,19 @@ def load(
     ):
         write_audit(found, f"{places.audits}/{day}/{audit}", unmatched[audit])
     if places.exports:
-        write_csv(enriched, f"{places.exports}/{day}/streams_full_cleaned")
+        stored = spark.table(tables.fact).where(F.col("load_date") == F.lit(day).cast("date"))
+        full = stored.select(*[F.col(f"`{c}`") for c in enriched.columns])
+        write_csv(full, f"{places.exports}/{day}/streams_full_cleaned")
         write_jsonl(clean_users, f"{places.exports}/{day}/users")
         write_jsonl(clean_songs, f"{places.exports}/{day}/songs")
 
     return Report(
-        songs=songs.count(),
-        users=users.count(),
-        streams=received,
+        songs=received["songs"],
+        users=received["users"],
+        streams=received["streams"],
         clean_streams=clean.count(),
         missing_values={
-            name: dict(map(tuple, null_profile(df).collect()))
-            for name, df in (("streams", raw), ("users", users), ("songs", songs))
+            name: dict(map(tuple, null_profile(df).collect())) for name, df in raw.items()
         },
         missing_users=unmatched["missing_users"],
         missing_songs=unmatched["missing_songs"],
