@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from earshot.operators.cleaning import apply_schema
+from earshot.operators.cleaning import apply_schema, without_nan_text
 from earshot.schemas import HOUR_PARTITIONS, json_form, text_form
 
 # The texts that a data-frame CSV reader takes for a missing field.
@@ -80,7 +80,8 @@ def read_hour_partitions(
 
     The day's folder is read directly, so the cost is that day's however long the history.
     ``through_log`` reads a folder written by ``land_records`` through its commit log, which
-    leaves out files of unfinished attempts; the day is then a partition filter.
+    leaves out files of unfinished attempts; the day is then a partition filter. A bare NaN,
+    as producers write for a missing value, is read as missing.
     """
     reader = (
         spark.read.schema(T.StructType(json_form(schema).fields + HOUR_PARTITIONS.fields))
@@ -95,5 +96,5 @@ def read_hour_partitions(
         records = reader.json(root if through_log else folder).where(
             (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
         )
-    typed = apply_schema(records, schema)
+    typed = apply_schema(without_nan_text(records), schema)
     return typed if keep_hours else typed.drop(*HOUR_PARTITIONS.names)

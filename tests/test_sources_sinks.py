@@ -260,6 +260,16 @@ def test_ordinals_are_dense(spark, tmp_path):
     assert tuple(kafka.to_kafka_records(one, "ordinal").first()) == ("0", '{"a":"x"}')
 
 
+def test_bare_nan_is_missing(spark, tmp_path):
+    record = '{"user_id": NaN, "track_id": NaN, "listen_time": NaN}'
+    df = spark.createDataFrame([(record,)], "value STRING")
+    assert tuple(parse_records(df, schemas.STREAMS).first()) == (None, None, None)
+    titled = '{"user_id": 1, "track_id": "NaN"}'
+    write(tmp_path / "year=2025/month=06/day=20/hour=00/e.json", f"{record}\n{titled}\n")
+    landed = read_hour_partitions(spark, str(tmp_path), "2025-06-20", schemas.STREAMS)
+    assert sorted(landed.collect(), key=str) == [(1, "NaN", None), (None, None, None)]
+
+
 def test_malformed_record_fails(spark):
     with pytest.raises(Exception, match="(?i)malformed"):
         parse_records(spark.createDataFrame([("{",)], "value STRING"), schemas.STREAMS).collect()
