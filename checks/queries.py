@@ -17,7 +17,7 @@ from earshot.session import configure, fresh_folder, size_shuffles, stage
 from earshot.sinks.files import write_csv, write_jsonl
 from earshot.sinks.kafka import to_kafka_records
 from earshot.sources.files import read_csv_table, read_hour_partitions, read_jsonl
-from earshot.sources.kafka import parse_records
+from earshot.sources.records import parse_records
 from earshot.streaming.landing import land_records
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -38,13 +38,6 @@ def parse_timestamps(
     return df.withColumns({c: parse_timestamp(F.col(c), layout, strict) for c in text})
 
 
-def without_nan_text(df: DataFrame) -> DataFrame:
-    """Null for the bare NaN that some JSON writers put for a missing value. A text column
-    reads it as NaN in double quotes, and the text "NaN" as NaN without them."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: F.nullif(F.col(f"`{c}`"), F.lit('"NaN"')) for c in text})
-
-
 def apply_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast loosely read columns to ``schema``. Further columns pass through."""
     have = {f.name: f.dataType for f in df.schema.fields}

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from earshot.operators.cleaning import apply_schema, without_nan_text
+from earshot.operators.cleaning import apply_schema
 from earshot.schemas import HOUR_PARTITIONS, json_form, text_form
+from earshot.sources.records import parse_records
 
 # The texts that a data-frame CSV reader takes for a missing field.
 MISSING_MARKERS = [
@@ -80,21 +81,15 @@ def read_hour_partitions(
 
     The day's folder is read directly, so the cost is that day's however long the history.
     ``through_log`` reads a folder written by ``land_records`` through its commit log, which
-    leaves out files of unfinished attempts; the day is then a partition filter. A bare NaN,
-    as producers write for a missing value, is read as missing.
+    leaves out files of unfinished attempts; the day is then a partition filter.
     """
-    reader = (
-        spark.read.schema(T.StructType(json_form(schema).fields + HOUR_PARTITIONS.fields))
-        .option("mode", "FAILFAST")
-        .option("basePath", root)
-    )
+    reader = spark.read.option("basePath", root)
     if day is None:
-        records = reader.json(root)
+        records = reader.text(root)
     else:
         day = dt.date.fromisoformat(str(day))
         folder = f"{root}/year={day:%Y}/month={day:%m}/day={day:%d}"
-        records = reader.json(root if through_log else folder).where(
+        records = reader.text(root if through_log else folder).where(
             (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
         )
-    typed = apply_schema(without_nan_text(records), schema)
-    return typed if keep_hours else typed.drop(*HOUR_PARTITIONS.names)
+    return parse_records(records, schema, HOUR_PARTITIONS.names if keep_hours else ())

@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from earshot.operators.cleaning import apply_schema, without_nan_text
-from earshot.schemas import json_form
+from earshot.sources.records import parse_records
 
 
 def read_kafka_records(
@@ -26,15 +24,6 @@ def read_kafka_records(
     )
 
 
-def parse_records(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """The JSON in ``value`` as typed columns. A bare NaN is read as missing; a malformed
-    record fails the query."""
-    parsed = F.from_json(
-        F.col("value").cast("string"), json_form(schema), {"mode": "FAILFAST"}
-    ).alias("event")
-    return apply_schema(without_nan_text(records.select(parsed).select("event.*")), schema)
-
-
 def read_kafka_events(
     spark: SparkSession,
     servers: str,

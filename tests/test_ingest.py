@@ -8,7 +8,7 @@ import pytest
 
 from earshot import schemas
 from earshot.plans import ingest
-from earshot.sources.kafka import parse_records
+from earshot.sources.records import parse_records
 
 
 @pytest.fixture

@@ -17,7 +17,7 @@ from earshot.plans import kpi, views
 from earshot.sinks import files as out
 from earshot.sinks import jdbc, kafka, tables
 from earshot.sources.files import read_csv_table, read_hour_partitions, read_jsonl
-from earshot.sources.kafka import parse_records
+from earshot.sources.records import parse_records
 
 NINE = dt.datetime(2025, 6, 20, 9)
 
@@ -270,6 +270,16 @@ def test_bare_nan_is_missing(spark, tmp_path):
     assert sorted(landed.collect(), key=str) == [(1, "NaN", None), (None, None, None)]
 
 
+def test_landing_skips_blank_lines_and_fails_on_malformed_ones(spark, tmp_path):
+    file = tmp_path / "year=2025/month=06/day=20/hour=00/e.json"
+    write(file, '\n{"user_id": 1}\n   \n{"user_id": 2}\n')
+    landed = read_hour_partitions(spark, str(tmp_path), "2025-06-20", schemas.STREAMS)
+    assert sorted(r.user_id for r in landed.collect()) == [1, 2]
+    write(file, '{"user_id": 1}\n{"user_id": \n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_hour_partitions(spark, str(tmp_path), "2025-06-20", schemas.STREAMS).collect()
+
+
 def test_malformed_record_fails(spark):
     with pytest.raises(Exception, match="(?i)malformed"):
         parse_records(spark.createDataFrame([("{",)], "value STRING"), schemas.STREAMS).collect()
