@@ -1,4 +1,4 @@
-"""Time the headline queries: one warm-up, then the median of five runs each.
+"""Time the headline queries: one warm-up round, then the median of five rounds.
 
 Reads $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS] and prints one JSON
 line. Results go to Spark's no-op sink, so every row and column is computed.
@@ -46,14 +46,13 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    queries, seconds = all_queries(), {}
-    for name in HEADLINE:
-        runs = []
-        for _ in range(RUNS + 1):
+    queries, runs = all_queries(), {name: [] for name in HEADLINE}
+    for _ in range(RUNS + 1):
+        for name in HEADLINE:
             start = time.perf_counter()
             queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - start)
-        seconds[name] = round(statistics.median(runs[1:]), 4)
+            runs[name].append(time.perf_counter() - start)
+    seconds = {name: round(statistics.median(times[1:]), 4) for name, times in runs.items()}
     print(
         json.dumps(
             {

@@ -7,12 +7,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from earshot.operators.lookup import is_small
 from earshot.plans import enrich
-from earshot.plans.enrich import LookupRows
+from earshot.plans.enrich import Small
 
 
 class Inputs:
-    """The mapped frames of one data folder. All lazy, but for the lookup counts."""
+    """The mapped frames of one data folder. All lazy; sizes are measured once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -108,16 +109,14 @@ class Inputs:
         return self.table("events").count()
 
     @cached_property
-    def rows(self) -> LookupRows:
-        """Users and songs, counted from the file footers. The dirty variants clean to the
-        same keys, so the counts hold for them too."""
-        return LookupRows(
-            users=self.table("customer").count(), songs=self.table("part").count()
-        )
+    def small(self) -> Small:
+        """Users and songs, measured once per folder. The dirty variants clean to the same
+        keys with text of about the same length."""
+        return Small(users=is_small(self.users), songs=is_small(self.songs))
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return enrich.enrich_streams(self.streams, self.users, self.songs, rows=self.rows)
+        return enrich.enrich_streams(self.streams, self.users, self.songs, small=self.small)
 
     @cached_property
     def clean_streams(self) -> DataFrame:
@@ -134,7 +133,7 @@ class Inputs:
     @cached_property
     def enriched_dirty(self) -> DataFrame:
         return enrich.enrich_streams(
-            self.clean_streams, self.clean_users, self.clean_songs, rows=self.rows
+            self.clean_streams, self.clean_users, self.clean_songs, small=self.small
         )
 
 

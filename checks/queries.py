@@ -114,27 +114,27 @@ def enrich_streams(i: Inputs) -> DataFrame:
 @_query
 def enrich_streams_left(i: Inputs) -> DataFrame:
     joined = enrich.enrich_streams(
-        i.clean_streams, i.clean_users, i.clean_songs, "left", i.rows
+        i.clean_streams, i.clean_users, i.clean_songs, "left", i.small
     )
     return times_as_text(joined, "listen_time")
 
 
 @_query
 def enrich_streams_sliced(i: Inputs) -> DataFrame:
-    """The join for lookups too large to broadcast; without counts it is what is planned."""
+    """The join for lookups too large to broadcast, planned whenever they were not measured."""
     joined = enrich.enrich_streams(i.clean_streams, i.clean_users, i.clean_songs)
     return times_as_text(joined, "listen_time")
 
 
 @_query
 def audit_missing_users(i: Inputs) -> DataFrame:
-    found = enrich.missing_users(i.clean_streams, i.clean_users, i.rows)
+    found = enrich.missing_users(i.clean_streams, i.clean_users, i.small)
     return times_as_text(found, "listen_time")
 
 
 @_query
 def audit_missing_songs(i: Inputs) -> DataFrame:
-    found = enrich.missing_songs(i.clean_streams, i.clean_songs, i.rows)
+    found = enrich.missing_songs(i.clean_streams, i.clean_songs, i.small)
     return times_as_text(found, "listen_time")
 
 

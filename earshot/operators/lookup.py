@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A lookup counted at no more rows than this is broadcast; a larger or uncounted one is
-# shuffled. Lookup rows are a few hundred bytes, so this is some tens of megabytes.
-BROADCAST_ROWS = 200_000
+# A lookup measured to be within both bounds is broadcast; any other is shuffled.
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
+
+# What a row of a broadcast table takes beside its text: its header, then every value.
+_ROW_BYTES, _VALUE_BYTES = 32, 16
 
 # A key with more event rows than this is cut into slices of about this many rows.
 ROWS_PER_SLICE = 1_000_000
@@ -21,6 +25,18 @@ SLICED_KEYS = 4096
 _NULL_SLICES = 4096
 
 
+def is_small(lookup: DataFrame) -> bool:
+    """Whether a lookup is within the broadcast bounds, measured. Runs a job for its rows and,
+    if they are few, one for the length of its text."""
+    rows = lookup.count()
+    if rows > BROADCAST_ROWS:
+        return False
+    text = [f.name for f in lookup.schema.fields if isinstance(f.dataType, T.StringType)]
+    lengths = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in text]
+    measured = sum(lookup.agg(*lengths).first()) if text else 0
+    return measured + rows * (_ROW_BYTES + _VALUE_BYTES * len(lookup.columns)) <= BROADCAST_BYTES
+
+
 def hot_keys(events: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """The heaviest keys above ``rows_per_slice`` rows, with the slices each one needs."""
     rows = events.groupBy(key).agg(F.count("*").alias("_rows"))
@@ -37,16 +53,15 @@ def lookup_join(
     lookup: DataFrame,
     key: str,
     how: str = "inner",
-    lookup_rows: int | None = None,
+    small: bool = False,
     counted: DataFrame | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Join ``events`` to ``lookup`` on ``key``; ``how`` is inner, left or left_anti. The
     events' columns come first, then the lookup's.
 
-    ``lookup_rows`` is the lookup's exact row count if the caller has taken it. A count within
-    ``BROADCAST_ROWS`` broadcasts the lookup and the events are not shuffled. Otherwise both
-    sides are shuffled on (key, slice): event rows of a hot key spread over its slices, and
+    ``small`` says that the lookup was found to be so by ``is_small``: it is broadcast and the
+    events are not shuffled. Otherwise both sides are shuffled on (key, slice): event rows of a hot key spread over its slices, and
     that key's lookup rows are repeated once per slice, which adds at most one lookup row per
     ``rows_per_slice`` events. The slice comes from the row and the partition it is in, so
     exact copies spread as well, and a retried task sends every row to the same place.
@@ -58,7 +73,7 @@ def lookup_join(
         raise ValueError(f"unsupported join: {how}")
     added = [] if how == "left_anti" else [c for c in lookup.columns if c != key]
     columns = [F.col(f"`{c}`") for c in (*events.columns, *added)]
-    if lookup_rows is not None and lookup_rows <= BROADCAST_ROWS:
+    if small:
         return events.join(F.broadcast(lookup), key, how).select(columns)
 
     hot = F.broadcast(hot_keys(events if counted is None else counted, key, rows_per_slice))

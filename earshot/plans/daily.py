@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from earshot import schemas
 from earshot.functions.columns import WEEK_REFERENCE
+from earshot.operators.lookup import is_small
 from earshot.operators.profiling import null_profile
 from earshot.plans import dims, enrich, facts, views
 from earshot.session import configure, shared_folder, size_shuffles, stage
@@ -81,7 +82,7 @@ def load(
 
     Text is parsed once: the frames as received and the clean ones are staged as Parquet in
     the folder the cluster shares, and everything after reads from there. The clean lookups
-    are counted from their files, and the counts choose how they are joined.
+    are measured there, and their sizes choose how they are joined.
     """
     configure(spark)
     folder = f"{shared_folder(spark)}/earshot-{tables.database or 'default'}-{day}"
@@ -102,9 +103,9 @@ def load(
     clean_users = staged("users", enrich.clean_users(raw["users"]))
     clean_songs = staged("songs", enrich.clean_songs(raw["songs"]))
     clean = staged("streams", enrich.clean_streams(raw["streams"]))
-    rows = enrich.LookupRows(users=clean_users.count(), songs=clean_songs.count())
+    small = enrich.Small(users=is_small(clean_users), songs=is_small(clean_songs))
 
-    enriched = enrich.enrich_streams(clean, clean_users, clean_songs, rows=rows)
+    enriched = enrich.enrich_streams(clean, clean_users, clean_songs, small=small)
     write_fact(
         facts.fact_streams(enriched), tables.fact, day, location("fact_streams"), rebalance
     )
@@ -113,8 +114,8 @@ def load(
 
     unmatched = dict(map(tuple, enrich.audit_counts(clean, clean_users, clean_songs).collect()))
     for audit, found in (
-        ("missing_users", enrich.missing_users(clean, clean_users, rows)),
-        ("missing_songs", enrich.missing_songs(clean, clean_songs, rows)),
+        ("missing_users", enrich.missing_users(clean, clean_users, small)),
+        ("missing_songs", enrich.missing_songs(clean, clean_songs, small)),
     ):
         write_audit(found, f"{places.audits}/{day}/{audit}", unmatched[audit])
     if places.exports:

@@ -15,14 +15,12 @@ from earshot.operators.lookup import lookup_join
 
 
 @dataclass(frozen=True)
-class LookupRows:
-    """Exact row counts of the lookups, where the caller has taken them.
+class Small:
+    """Which lookups were measured to be small enough to broadcast (``is_small``). Nothing is
+    broadcast unmeasured."""
 
-    They decide between broadcasting and slicing; a missing count means slicing.
-    """
-
-    users: int | None = None
-    songs: int | None = None
+    users: bool = False
+    songs: bool = False
 
 
 def union_streams(parts: Sequence[DataFrame]) -> DataFrame:
@@ -52,25 +50,25 @@ def enrich_streams(
     users: DataFrame,
     songs: DataFrame,
     how: str = "inner",
-    rows: LookupRows = LookupRows(),
+    small: Small = Small(),
 ) -> DataFrame:
     """Events with their user's and song's columns. ``how='left'`` keeps unmatched events."""
-    with_users = lookup_join(streams, users, "user_id", how, rows.users)
-    return lookup_join(with_users, songs, "track_id", how, rows.songs, counted=streams)
+    with_users = lookup_join(streams, users, "user_id", how, small.users)
+    return lookup_join(with_users, songs, "track_id", how, small.songs, counted=streams)
 
 
 def missing_users(
-    streams: DataFrame, users: DataFrame, rows: LookupRows = LookupRows()
+    streams: DataFrame, users: DataFrame, small: Small = Small()
 ) -> DataFrame:
     """Events whose user is unknown."""
-    return lookup_join(streams, users.select("user_id"), "user_id", "left_anti", rows.users)
+    return lookup_join(streams, users.select("user_id"), "user_id", "left_anti", small.users)
 
 
 def missing_songs(
-    streams: DataFrame, songs: DataFrame, rows: LookupRows = LookupRows()
+    streams: DataFrame, songs: DataFrame, small: Small = Small()
 ) -> DataFrame:
     """Events whose song is unknown."""
-    return lookup_join(streams, songs.select("track_id"), "track_id", "left_anti", rows.songs)
+    return lookup_join(streams, songs.select("track_id"), "track_id", "left_anti", small.songs)
 
 
 def audit_counts(streams: DataFrame, users: DataFrame, songs: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from earshot import __main__ as command
 from earshot import schemas
-from earshot.operators import lookup
 from earshot.plans import daily, views
 from earshot.sources.files import read_csv_table, read_hour_partitions
 from earshot.streaming.landing import land_records
@@ -92,7 +91,7 @@ def test_audits_and_exports(spark, places):
 def test_large_lookups_give_the_same_tables(spark, places, rows, monkeypatch):
     daily.run(spark, places, "2025-06-20", tables=MUSIC)
     expected = rows(spark.table("music.fact_streams"))
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(daily, "is_small", lambda lookup: False)
     daily.run(spark, places, "2025-06-20", tables=MUSIC)
     assert rows(spark.table("music.fact_streams")) == expected
 

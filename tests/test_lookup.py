@@ -36,16 +36,23 @@ def test_sliced_equals_plain(spark, skewed, rows, how, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_counted_lookups_are_broadcast_up_to_the_bound(skewed):
+def test_only_small_lookups_are_broadcast(skewed):
     events, table = skewed
 
-    def plan(count):
-        joined = lookup.lookup_join(events, table, "k", lookup_rows=count)
+    def plan(small):
+        joined = lookup.lookup_join(events, table, "k", small=small)
         return joined._jdf.queryExecution().optimizedPlan().toString()
 
-    assert "strategy=broadcast" in plan(lookup.BROADCAST_ROWS)
-    assert "_slice" not in plan(lookup.BROADCAST_ROWS)
-    assert "_slice" in plan(lookup.BROADCAST_ROWS + 1)
+    assert "strategy=broadcast" in plan(True) and "_slice" not in plan(True)
+    assert "_slice" in plan(False)
+
+
+def test_small_means_few_rows_and_little_text(spark, skewed, monkeypatch):
+    _, table = skewed
+    assert lookup.is_small(table) and lookup.is_small(table.limit(0))
+    assert not lookup.is_small(table.select("k", F.repeat("v", 2_000_000).alias("v")))
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 29)
+    assert not lookup.is_small(table)
 
 
 def test_hot_keys_and_their_slices(skewed):
