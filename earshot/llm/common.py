@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,12 +15,30 @@ ARROW_ROWS = 512
 ARROW_BYTES = 16 << 20
 
 
+_PACKAGE = Path(__file__).resolve().parent.parent
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, where it need not be installed. Once a session."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        target = f"{tempfile.mkdtemp(prefix='ship-')}/{_PACKAGE.name}.zip"
+        with zipfile.ZipFile(target, "w") as packed:
+            for file in sorted(_PACKAGE.rglob("*.py")):
+                packed.write(file, file.relative_to(_PACKAGE.parent))
+        context.addPyFile(target)
+        _shipped.add(context.applicationId)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bound the batches Python workers get, and make sure a shared folder is named.
+    """Ship the package, bound the batches Python workers get, and see that a shared folder is
+    named.
 
     On a cluster the folder must be named in spark.checkpoint.dir; only a session on one
     machine (tests, local runs) gets a folder of its own.
     """
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     if not spark.conf.get("spark.checkpoint.dir", None):

@@ -12,6 +12,42 @@ from earshot.llm.common import prepare, shuffle_partitions, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from earshot.llm.substring_dedup import dedup
+
+    prepare(spark)
+    found = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from earshot.llm.packing import pieces
+
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    packed = pieces(docs, _tokenizer("byte_bpe_50k.json"), 0, shuffle_partitions(spark))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from earshot.llm.simhash import near_duplicates
+
+    prepare(spark)
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    text = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", text.alias("fingerprint"), "component_id")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from earshot.llm.decontaminate import decontaminate
 
@@ -50,6 +86,15 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages, labels).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from earshot.llm.token_files import round_trip
+
+    prepare(spark)
+    docs, path = table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")
+    back = round_trip(docs, path, 2, shuffle_partitions(spark))
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def all_queries() -> dict[str, Query]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
