@@ -138,10 +138,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` no item window stands in, unchanged."""
-    bad = (
-        occurrences(docs, items, window)
-        .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-        .distinct()
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.md5("text") == F.col("_key"))
+    bad = occurrences(docs, items, window).select("doc_id", "text_key").distinct()
+    same = docs["doc_id"].eqNullSafe(bad["doc_id"]) & (F.md5(docs["text"]) == bad["text_key"])
     return docs.join(bad, same, "left_anti")

@@ -95,6 +95,39 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from earshot.llm.language import identify, learn, remainder
+
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = learn(docs, remainder("doc_id", 3) != 1)
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    return identify(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from earshot.llm.language import remainder
+    from earshot.llm.quality import learn, score
+
+    prepare(spark)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = learn(docs, labels, remainder("doc_id", 4) != 2)
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    return score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from earshot.llm.topk import search
+
+    prepare(spark)
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def all_queries() -> dict[str, Query]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))

@@ -78,26 +78,26 @@ def numbered(df: DataFrame, order: list[str], ranges: int) -> DataFrame:
     place; a range's start is the sum of the counts before it. Rows that agree in all of
     ``order`` are interchangeable; a long run of them is cut into ranges by a salt.
     """
+    # Whole rows travel in one column, so that no column of theirs meets one of ours.
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))
-    keys = [F.col(c) for c in order]
-    dealt = df.withColumn("_salt", salt).repartitionByRange(
-        min(ranges, MOST_RANGES), *keys, F.col("_salt")
-    )
-    placed = dealt.sortWithinPartitions(*keys, "_salt").select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.spark_partition_id().alias("_range"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"),
+    rows = df.select(F.struct("*").alias("row"), salt.alias("salt"))
+    keys = [F.col("row")[c] for c in order]
+    dealt = rows.repartitionByRange(min(ranges, MOST_RANGES), *keys, "salt")
+    placed = staged(
+        dealt.sortWithinPartitions(*keys, "salt").select(
+            "row",
+            F.spark_partition_id().alias("range"),
+            F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
+        ),
+        "sharding",
     )
-    placed = staged(placed, "sharding")
-    counts = placed.groupBy("_range").agg(F.count("*").alias("_count"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("range").agg(F.count("*").alias("count"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
-        "_range", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_start")
+        "range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start")
     )
-    return (
-        placed.join(F.broadcast(starts), "_range")
-        .withColumn("row_number", F.col("_start") + F.col("_place"))
-        .drop("_range", "_place", "_start")
+    return placed.join(F.broadcast(starts), "range").select(
+        "row.*", (F.col("start") + F.col("place")).alias("row_number")
     )
 
 
@@ -112,10 +112,11 @@ def shard(df: DataFrame, order: list[str], shards: int, seed: int = 0, ranges: i
         raise ValueError("at least one shard is needed")
     numbers = numbered(df.drop("row_number", "shard", "slot"), order, ranges)
     rows = numbers.count()
-    place = permuted(F.col("row_number"), rows, seed)
-    return (
-        numbers.withColumn("_at", place)
-        .withColumn("shard", (F.col("_at") % shards).cast("int"))
-        .withColumn("slot", F.call_function("div", F.col("_at"), F.lit(shards)).cast("long"))
-        .drop("_at")
+    # Both from one value, so that the walk runs once.
+    at = permuted(F.col("row_number"), rows, seed)
+    return numbers.withColumn("slot", at).withColumns(
+        {
+            "shard": (F.col("slot") % shards).cast("int"),
+            "slot": F.call_function("div", F.col("slot"), F.lit(shards)).cast("long"),
+        }
     )

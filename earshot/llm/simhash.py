@@ -159,13 +159,12 @@ def keep_one(
     """The row of each group's smallest doc_id. Rows without a doc_id can't be told apart and
     stay; rows that share the doc_id kept give one row."""
     found = near_duplicates(docs, shingle, distance, segments)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(staged(gone, "near-duplicates"), F.col("doc_id") == F.col("_id"), "left_anti")
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n"))
-    repeated = repeated.where("_n > 1").select(F.col("doc_id").alias("_id"))
-    repeated = staged(repeated, "repeated-ids")
+    gone = staged(found.where("doc_id != component_id").select("doc_id").distinct(), "gone")
+    kept = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    counts = docs.where("doc_id is not null").groupBy("doc_id").count()
+    repeated = staged(counts.where("count > 1").select("doc_id"), "repeated-ids")
     if repeated.isEmpty():
         return kept
-    twice = F.col("doc_id") == F.col("_id")
+    twice = kept["doc_id"] == repeated["doc_id"]
     once = kept.join(repeated, twice, "left_anti")
     return once.unionByName(kept.join(repeated, twice, "left_semi").dropDuplicates(["doc_id"]))

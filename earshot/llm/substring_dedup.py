@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 
 from earshot.llm import bloom
 from earshot.llm.common import shuffle_partitions, staged
+from earshot.llm.wordhash import MULTIPLIER, U, mix, sums, word_spans
 
 WINDOW = 13
 ANCHOR_WORDS = 6
@@ -51,45 +52,6 @@ SHARD_SEGMENTS = 20_000
 COMBINED_SEGMENTS = 100_000
 _STRETCH = 1 << 20
 
-_U = np.uint64
-_R = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses modulo 2**64
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    steps = np.full(n, base & (2**64 - 1), _U)
-    if n:
-        steps[0] = 1
-    return np.multiply.accumulate(steps)
-
-
-class _Powers:
-    """Powers of _R and of its inverse, as many as were ever asked for."""
-
-    up = down = np.zeros(0, _U)
-
-    @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            size = max(n, 1 << 21)
-            cls.up, cls.down = _powers(_R, size), _powers(pow(_R, -1, 2**64), size)
-        return cls.up[:n], cls.down[:n]
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> _U(33))) * _U(0xFF51AFD7ED558CCD)
-    h = (h ^ (h >> _U(33))) * _U(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> _U(33))
-
-
-def _sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each stretch of values that depends on their order, not on where it stands."""
-    up, down = _Powers.of(len(values) + 1)
-    total = np.concatenate([np.zeros(1, _U), np.cumsum(values * up[: len(values)])])
-    return (total[ends] - total[starts]) * down[starts]
-
-
 class Segments:
     """The segments of a stretch of texts: of which text, first word, windows, anchor, digest."""
 
@@ -97,17 +59,13 @@ class Segments:
         split = [t.split() for t in texts]
         self.text = b" ".join(b" ".join(words) for words in split)
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        raw = np.frombuffer(b" " + self.text + b" ", np.uint8)
-        space = _SPACE[raw]
-        self.starts = np.flatnonzero(space[:-1] & ~space[1:])
-        self.ends = np.flatnonzero(~space[:-1] & space[1:])
-        words = _mix(_sums(raw[1:-1].astype(_U) + _U(1), self.starts, self.ends))
+        self.starts, self.ends, words = word_spans(self.text)
         first = np.cumsum(counts) - counts
         n = max(0, len(words) - ANCHOR_WORDS + 1)
-        grams = np.zeros(n, _U)
+        grams = np.zeros(n, U)
         for j in range(ANCHOR_WORDS):
-            grams = grams * _U(_R) + words[j : j + n]
-        least = _mix(grams)
+            grams = grams * U(MULTIPLIER) + words[j : j + n]
+        least = mix(grams)
         step = 1
         while step < _PLACES:
             least = np.minimum(least[:-step], least[step:]) if len(least) > step else least[:0]
@@ -116,7 +74,7 @@ class Segments:
         inside = np.maximum(0, counts - WINDOW + 1)
         at = np.arange(int(inside.sum())) + np.repeat(first - (np.cumsum(inside) - inside), inside)
         of = np.repeat(np.arange(len(texts)), inside)
-        anchor = least[at] if len(at) else np.zeros(0, _U)
+        anchor = least[at] if len(at) else np.zeros(0, U)
         fresh = np.ones(len(at), bool)
         fresh[1:] = (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1])
         run = np.flatnonzero(fresh)
@@ -125,9 +83,9 @@ class Segments:
         self.of, self.word, self.anchor = of[begin], at[begin], anchor[begin]
         self.windows = np.diff(np.append(begin, len(at)))
         self.place = self.word - first[self.of]
-        self.key = _mix(
-            _sums(words, self.word, self.word + self.windows + WINDOW - 1)
-            + self.windows.astype(_U)
+        self.key = mix(
+            sums(words, self.word, self.word + self.windows + WINDOW - 1)
+            + self.windows.astype(U)
         )
 
     def words(self, i: int) -> bytes:
@@ -351,33 +309,37 @@ def dedup(docs: DataFrame) -> DataFrame:
     """Every row's columns with n_words, n_removed and kept (its words that are left, joined by
     one space). Columns of these names in ``docs`` are replaced."""
     spark = docs.sparkSession
-    docs = docs.drop("n_words", "n_removed", "kept")
-    judged = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    added = T.StructType().add("n_words", "long").add("n_removed", "long").add("kept", "string")
+    docs = docs.drop(*added.names)
+    judged = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     shared = staged(anchors(judged).where("first < last").select("anchor"), "anchors")
     words = spark.sparkContext.broadcast(bloom.build(shared, "anchor", shared.count()))
     firsts = recurring(segments(judged, words), shuffle_partitions(spark))
-    found = cuts(judged, words, firsts).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("cuts").alias("_cuts")
+    found = cuts(judged, words, firsts)
+    # Whole rows travel in one column, so that no column of theirs meets one of ours.
+    rows = docs.select(F.struct("*").alias("row"))
+    same = (rows["row.doc_id"] == found["doc_id"]) & (
+        F.xxhash64(rows["row.text"]) == found["text_key"]
     )
-    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-    joined = docs.join(found, same, "left").drop("_id", "_key")
-    columns = docs.columns
+    joined = rows.join(found, same, "left").select("row", "cuts")
+    names = docs.columns
+    text = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
+            columns = batch.column("row").flatten()
+            kept = [
                 kept_words((t.as_py() or "").encode(), c.as_py())
-                for t, c in zip(batch.column("text"), batch.column("_cuts"), strict=True)
+                for t, c in zip(columns[text], batch.column("cuts"), strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[batch.column(c) for c in columns],
-                    pa.array([r[0] for r in rows], pa.int64()),
-                    pa.array([r[1] for r in rows], pa.int64()),
-                    pa.array([r[2].decode() for r in rows], pa.string()),
+                    *columns,
+                    pa.array([r[0] for r in kept], pa.int64()),
+                    pa.array([r[1] for r in kept], pa.int64()),
+                    pa.array([r[2].decode() for r in kept], pa.string()),
                 ],
-                names=[*columns, "n_words", "n_removed", "kept"],
+                names=[*names, *added.names],
             )
 
-    added = T.StructType().add("n_words", "long").add("n_removed", "long").add("kept", "string")
     return joined.mapInArrow(run, T.StructType([*docs.schema.fields, *added.fields]))
