@@ -52,6 +52,12 @@ def apply_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
             value, source = value.cast("double"), T.DoubleType()
         if isinstance(source, _FRACTIONS) and isinstance(target, T.IntegerType):
             value = F.when(~F.isnan(value), value)
+            refused = F.raise_error(
+                F.concat(F.lit(f"not a whole number in {field.name}: "), value.cast("string"))
+            )
+            value = F.when(value == F.floor(value), value).when(
+                value.isNotNull(), refused.cast("double")
+            )
         return value.cast(target)
 
     wanted = {f.name: typed(f).alias(f.name) for f in schema.fields if f.name in have}
@@ -78,10 +84,24 @@ def fill_missing(df: DataFrame) -> DataFrame:
     return df.select([filled(f).alias(f.name) for f in df.schema.fields])
 
 
+def fill_and_keep_first(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
+) -> DataFrame:
+    """Filled, one row per filled key. The first is chosen by what the order columns held before
+    they were filled, so a row whose order is missing comes last."""
+    held = {f"_{c}_unfilled": F.struct(F.col(f"`{c}`").alias("v")) for c in order_by}
+    filled = fill_missing(df.withColumns(held))
+    names = {f"_{c}_before": F.col(f"`_{c}_unfilled`")["v"] for c in order_by}
+    kept = drop_duplicates_first(
+        filled.withColumns(names).drop(*held), keys, list(names)
+    )
+    return kept.drop(*names)
+
+
 def drop_duplicates_first(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per key: the first in ``order_by``.
+    """One row per key: the first in ``order_by``, missing values last.
 
     The remaining columns break ties, so a retried task picks the same row again. Keys that
     cover the whole row need no order and combine on the map side; otherwise the plan keeps

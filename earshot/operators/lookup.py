@@ -16,15 +16,6 @@ _ROW_BYTES, _VALUE_BYTES = 32, 16
 # A key with more event rows than this is cut into slices of about this many rows.
 ROWS_PER_SLICE = 1_000_000
 
-# The heaviest keys to slice. A key outside them has at most a 1/4096 share of all rows,
-# joins as one slice and is left to Catalyst and adaptive execution. 4,096 short keys
-# are well under a megabyte, so their broadcast is bounded whatever the data.
-SLICED_KEYS = 4096
-
-# Rows with a null key match nothing and only need to be kept apart from each other.
-_NULL_SLICES = 4096
-
-
 def is_small(lookup: DataFrame) -> bool:
     """Whether a lookup is within the broadcast bounds, measured. Runs a job for its rows and,
     if they are few, one for the length of its text."""
@@ -37,14 +28,16 @@ def is_small(lookup: DataFrame) -> bool:
     return measured + rows * (_ROW_BYTES + _VALUE_BYTES * len(lookup.columns)) <= BROADCAST_BYTES
 
 
-def hot_keys(events: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """The heaviest keys above ``rows_per_slice`` rows, with the slices each one needs."""
-    rows = events.groupBy(key).agg(F.count("*").alias("_rows"))
-    return (
-        rows.where(F.col(key).isNotNull() & (F.col("_rows") > rows_per_slice))
-        .orderBy(F.col("_rows").desc(), F.col(key).asc())
-        .limit(SLICED_KEYS)
-        .select(key, F.ceil(F.col("_rows") / rows_per_slice).cast("int").alias("_slices"))
+def key_counts(events: DataFrame, key: str) -> DataFrame:
+    """Rows per key, the null key too: ``key`` and ``_rows``."""
+    return events.groupBy(key).agg(F.count("*").alias("_rows"))
+
+
+def hot_keys(counts: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """The keys above ``rows_per_slice`` rows, with the slices each one needs. There are no more
+    of them than events / rows_per_slice."""
+    return counts.where(F.col("_rows") > rows_per_slice).select(
+        key, F.ceil(F.col("_rows") / rows_per_slice).cast("int").alias("_slices")
     )
 
 
@@ -54,20 +47,22 @@ def lookup_join(
     key: str,
     how: str = "inner",
     small: bool = False,
-    counted: DataFrame | None = None,
+    counts: DataFrame | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Join ``events`` to ``lookup`` on ``key``; ``how`` is inner, left or left_anti. The
     events' columns come first, then the lookup's.
 
     ``small`` says that the lookup was found to be so by ``is_small``: it is broadcast and the
-    events are not shuffled. Otherwise both sides are shuffled on (key, slice): event rows of a hot key spread over its slices, and
-    that key's lookup rows are repeated once per slice, which adds at most one lookup row per
-    ``rows_per_slice`` events. The slice comes from the row and the partition it is in, so
-    exact copies spread as well, and a retried task sends every row to the same place.
-
-    ``counted`` is the frame to count keys on when it is cheaper than ``events`` and holds at
-    least the same rows, such as the events before an earlier join.
+    events are not shuffled. Otherwise both sides are shuffled on (key, slice): event rows of a
+    hot key, or of none, spread over its slices, and that key's lookup rows are repeated once per
+    slice, which adds at most one lookup row per ``rows_per_slice`` events. The slice comes from
+    the row and the partition it is in, so exact copies spread as well, and a retried task sends
+    every row to the same place. The list of hot keys is broadcast if it is measured to be small,
+    else it is joined like any table.
+
+    ``counts`` are the rows per key (``key_counts``) of these events or of more, where they are
+    known already.
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
@@ -76,20 +71,20 @@ def lookup_join(
     if small:
         return events.join(F.broadcast(lookup), key, how).select(columns)
 
-    hot = F.broadcast(hot_keys(events if counted is None else counted, key, rows_per_slice))
+    counts = key_counts(events, key) if counts is None else counts
+    hot = hot_keys(counts, key, rows_per_slice).withColumnRenamed(key, "_hot")
+    if is_small(hot):
+        hot = F.broadcast(hot)
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in events.columns], F.spark_partition_id())
-    sliced_events = events.join(hot, key, "left").withColumn(
-        "_slice",
-        F.when(F.col(key).isNull(), F.pmod(spread, F.lit(_NULL_SLICES)))
-        .when(F.col("_slices").isNull(), F.lit(0))
-        .otherwise(F.pmod(spread, F.col("_slices")))
-        .cast("int"),
+    slices = F.coalesce("_slices", F.lit(1))
+    sliced_events = events.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").withColumn(
+        "_slice", F.pmod(spread, slices).cast("int")
     )
-    sliced_lookup = lookup.join(hot, key, "left").withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1))
+    sliced_lookup = lookup.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
+        "_slice", F.explode(F.sequence(F.lit(0), slices - 1))
     )
     return (
-        sliced_events.drop("_slices")
-        .join(sliced_lookup.drop("_slices"), [key, "_slice"], how)
+        sliced_events.drop("_slices", "_hot")
+        .join(sliced_lookup.drop("_slices", "_hot"), [key, "_slice"], how)
         .select(columns)
     )

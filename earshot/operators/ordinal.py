@@ -8,30 +8,51 @@ from pyspark.sql import functions as F
 # monotonically_increasing_id: the partition above, the row's place in it in the low 33 bits.
 _PLACE_BITS = 33
 
+# Splits are summed in this many blocks at most, whose totals alone reach the driver.
+_MOST_BLOCKS = 1000
+
+# Starts of more splits than this are joined by a shuffle.
+_BROADCAST_SPLITS = 500_000
+
 
 def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
     """Number the rows 0, 1, 2, ... without moving them.
 
-    One pass counts the rows of each partition, a running sum of the counts gives where each
-    partition starts, and the second pass adds a row's place in its partition. The counts are
-    one row per input split, which bounds their broadcast and the one task that sums them.
+    One pass counts the rows of each partition. Where a partition starts is the total of the
+    blocks of partitions before its own, at most a thousand numbers, and a running sum in its
+    block. The second pass adds a row's place in its partition.
 
     ``df`` is read from files, possibly with columns computed from the row alone: the two
     passes rely on meeting the same splits. Stage anything else first.
     """
+    splits = df.rdd.getNumPartitions()
+    per_block = max(1, -(-splits // _MOST_BLOCKS))
     placed = df.withColumns(
         {
             "_split": F.spark_partition_id(),
             "_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)),
         }
     )
-    counts = placed.groupBy("_split").agg(F.count("*").alias("_count"))
-    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (
+        placed.groupBy("_split")
+        .agg(F.count("*").alias("_count"))
+        .withColumn("_block", F.floor(F.col("_split") / per_block).cast("int"))
+    )
+    totals = dict(map(tuple, counts.groupBy("_block").agg(F.sum("_count")).collect()))
+    blocks = [0]
+    for block in range(-(-splits // per_block)):
+        blocks.append(blocks[-1] + totals.get(block, 0))
+    before = F.get(F.array(*[F.lit(n).cast("long") for n in blocks]), F.col("_block"))
+    earlier = (
+        Window.partitionBy("_block").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    )
     starts = counts.select(
-        "_split", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_start")
+        "_split", (before + F.coalesce(F.sum("_count").over(earlier), F.lit(0))).alias("_start")
     )
+    if splits <= _BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
     return (
-        placed.join(F.broadcast(starts), "_split")
+        placed.join(starts, "_split")
         .withColumn(name, F.col("_start") + F.col("_place"))
         .drop("_split", "_place", "_start")
     )

@@ -174,8 +174,9 @@ def reconcile_totals(fact: DataFrame) -> DataFrame:
         return summed.select("plays", F.lit(daily).alias("daily"))
 
     both = total(["listen_date", "track_genre"], True).unionByName(total(["track_genre"], False))
+    none = F.lit(0).cast("long")
     sums = both.agg(
-        F.sum(F.when(F.col("daily"), F.col("plays"))).alias("daily_total"),
-        F.sum(F.when(~F.col("daily"), F.col("plays"))).alias("overall_total"),
+        F.coalesce(F.sum(F.when(F.col("daily"), F.col("plays"))), none).alias("daily_total"),
+        F.coalesce(F.sum(F.when(~F.col("daily"), F.col("plays"))), none).alias("overall_total"),
     )
     return sums.withColumn("matches", F.col("daily_total") == F.col("overall_total"))

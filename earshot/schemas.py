@@ -11,6 +11,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
 
 
+# Column names and types of the tables.
 SONGS = _struct(
     ("id", _INT),
     ("track_id", _TEXT),
@@ -56,6 +57,7 @@ STREAM_KEY = ["user_id", "track_id", "listen_time"]
 USER_ORDER = ["created_at", "user_name"]
 SONG_ORDER = ["id"]
 
+# The columns of the slim fact.
 SLIM_FACT_COLUMNS = [
     "user_id",
     "track_id",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +27,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# The folder a session on one machine uses that names none.
+_own_folder: list[str] = []
+
+
+def name_own_folder(spark: SparkSession) -> None:
+    """Give a session a temporary folder of its own where spark.checkpoint.dir is unset and all
+    runs on one machine, as in tests."""
+    unset = not spark.conf.get("spark.checkpoint.dir", None)
+    if unset and not _own_folder and spark.sparkContext.master.startswith("local["):
+        _own_folder.append(tempfile.mkdtemp(prefix="shared-"))
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir;
-    where it names none, a folder beside the tables."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/staging").rstrip("/")
+    """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
+    None is guessed: a folder on one machine would lose what the others write."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or next(iter(_own_folder), None)
+    if not named:
+        raise ValueError("name a folder all executors share in spark.checkpoint.dir")
+    return named.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
@@ -48,16 +63,28 @@ def stage(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether there is something at a path, on whatever store it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder on whatever store it is; returns whether there was one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 # Rows a shuffle partition should hold at most, and the most partitions to plan for: beyond it
 # the map side would spend more on bookkeeping than the smaller partitions save.
 ROWS_PER_PARTITION = 2_000_000
 MOST_PARTITIONS = 50_000
 
 
-def size_shuffles(spark: SparkSession, rows: int) -> None:
-    """Start shuffles with partitions for ``rows`` rows, at least as many as configured.
-    Adaptive execution merges those that turn out small."""
-    wanted = min(-(-rows // ROWS_PER_PARTITION), MOST_PARTITIONS)
+def size_shuffles(spark: SparkSession, rows: int, most: int = MOST_PARTITIONS) -> None:
+    """Start shuffles with partitions for ``rows`` rows, at least as many as configured and at
+    most ``most``. Adaptive execution merges those that turn out small."""
+    wanted = min(-(-rows // ROWS_PER_PARTITION), most)
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set(
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum", max(wanted, configured)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from earshot.session import remove_folder
+
 # Whole microseconds; the writer's default cuts them to milliseconds.
 _TIME_LAYOUT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -32,9 +34,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_audit(df: DataFrame, path: str, rows: int | None = None) -> bool:
-    """Write an audit set as CSV if it has rows; returns whether it had. A known count in
-    ``rows`` saves looking."""
+    """Replace an audit set by ``df`` as CSV; without rows by none at all. Returns whether there
+    were rows. A known count in ``rows`` saves looking."""
     if rows == 0 or (rows is None and df.isEmpty()):
+        remove_folder(df.sparkSession, path)
         return False
     write_csv(df, path)
     return True

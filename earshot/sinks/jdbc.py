@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Column types of the source database.
+# Column types of the source database, but for DOUBLE: its FLOAT is a 32-bit number
+# to Spark and would cut fractions.
 _COLUMN_TYPES = {
     T.StringType: "VARCHAR(255)",
     T.IntegerType: "INT",
     T.LongType: "INT",
-    T.DoubleType: "FLOAT",
+    T.DoubleType: "DOUBLE",
     T.BooleanType: "BOOLEAN",
 }
 _OTHER_TYPE = "TEXT"

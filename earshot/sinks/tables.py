@@ -30,7 +30,8 @@ def write_fact(
 
     The table is partitioned by load day, then listening date. A load day can bring events of
     any listening date (late ones, and missing times filled with 9999-12-31), so replacing
-    listening dates would lose the events other load days brought to them.
+    listening dates would lose the events other load days brought to them. Columns the table
+    doesn't have yet are added; those it has and the fact doesn't become null.
 
     One load day has few listening dates. A load of a long history has many, and every task
     would open a file for each: ``rebalance`` gathers dates into evenly sized tasks first,
@@ -48,8 +49,21 @@ def write_fact(
             f"CREATE TABLE {table} ({columns}, load_date DATE, listen_date DATE) USING parquet "
             "PARTITIONED BY (load_date, listen_date)" + (f" LOCATION '{path}'" if path else "")
         )
-    stored = [c for c in spark.table(table).columns if c not in ("load_date", "listen_date")]
-    rows = fact.select(*[F.col(f"`{c}`") for c in stored], "listen_date")
+    stored = spark.table(table).schema
+    new = [f for f in fact.schema.fields if f.name not in stored.names]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+        stored = spark.table(table).schema
+    rows = fact.select(
+        *[
+            F.col(f"`{f.name}`") if f.name in fact.columns
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in stored.fields
+            if f.name not in ("load_date", "listen_date")
+        ],
+        "listen_date",
+    )
     if rebalance:
         rows = rows.hint("rebalance", "listen_date")
     before = spark.conf.get(_OVERWRITE_MODE)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.operators.cleaning import apply_schema
-from earshot.schemas import HOUR_PARTITIONS, json_form, text_form
-from earshot.sources.records import parse_records
+from earshot.schemas import HOUR_PARTITIONS, text_form
+from earshot.sources.records import further_columns, parse_records
 
 # The texts that a data-frame CSV reader takes for a missing field.
 MISSING_MARKERS = [
@@ -53,19 +53,20 @@ def read_jsonl(
     paths: str | Sequence[str],
     schema: T.StructType,
     multiline: bool = False,
+    further: T.StructType | bool | None = None,
 ) -> DataFrame:
-    """One JSON object per line, typed to ``schema``; blank lines are skipped.
+    """One JSON object per line, typed to ``schema``; blank lines are skipped, and a bare NaN is
+    missing.
 
     A malformed line fails the read. ``multiline`` reads files that hold one JSON array or
-    object over several lines; such files cannot be split.
+    object over several lines; such files cannot be split. ``further`` names columns to read
+    beyond the schema, or is true to look for them in one more pass.
     """
-    records = (
-        spark.read.schema(json_form(schema))
-        .option("mode", "FAILFAST")
-        .option("multiLine", multiline)
-        .json(paths if isinstance(paths, str) else list(paths))
-    )
-    return apply_schema(records, schema)
+    given = paths if isinstance(paths, str) else list(paths)
+    records = spark.read.text(given, wholetext=multiline)
+    if further is True:
+        further = further_columns(records, schema)
+    return parse_records(records, schema, further=further or None, array=multiline)
 
 
 def read_hour_partitions(
@@ -75,13 +76,15 @@ def read_hour_partitions(
     schema: T.StructType,
     keep_hours: bool = False,
     through_log: bool = False,
+    further: T.StructType | bool | None = None,
 ) -> DataFrame:
     """All hours of one landing day under ``root``/year=/month=/day=/hour=, or with no ``day``
     the whole history.
 
     The day's folder is read directly, so the cost is that day's however long the history.
     ``through_log`` reads a folder written by ``land_records`` through its commit log, which
-    leaves out files of unfinished attempts; the day is then a partition filter.
+    leaves out files of unfinished attempts; the day is then a partition filter. ``further`` is
+    as in ``read_jsonl``.
     """
     reader = spark.read.option("basePath", root)
     if day is None:
@@ -92,4 +95,8 @@ def read_hour_partitions(
         records = reader.text(root if through_log else folder).where(
             (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
         )
-    return parse_records(records, schema, HOUR_PARTITIONS.names if keep_hours else ())
+    if further is True:
+        further = further_columns(records, schema)
+    return parse_records(
+        records, schema, HOUR_PARTITIONS.names if keep_hours else (), further or None
+    )

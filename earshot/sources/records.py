@@ -2,32 +2,64 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.operators.cleaning import apply_schema
 from earshot.schemas import json_form
 
-# How a parsed text column shows a bare NaN, which some JSON writers put for a missing value.
-# The text "NaN" comes without the quotes.
-_BARE_NAN = '"NaN"'
+# Where the reader puts text it can't parse; parsing proper fails on that.
+_CORRUPT = "_corrupt_record"
+
+# What stands before a bare NaN: anything but quotes and the start of one, or whole strings.
+_BARE_NAN = r'\G((?:[^"N]|"(?:[^"\\]|\\.)*+"|N(?!aN\b))*+)NaN\b'
+
+
+def without_bare_nan(value: Column) -> Column:
+    """JSON text in which a bare NaN, which some writers put for a missing value, is null. Text
+    in quotes stays as it is."""
+    return F.when(value.contains("NaN"), F.regexp_replace(value, _BARE_NAN, "$1null")).otherwise(
+        value
+    )
+
+
+def further_columns(records: DataFrame, schema: T.StructType) -> T.StructType:
+    """The columns the JSON in ``value`` has beyond ``schema``, with the types Spark finds in a
+    pass over all records. Columns that are null throughout are text."""
+    value = without_bare_nan(F.col("value").cast("string")).alias("value")
+    text = records.select(value).where(F.trim("value") != "")
+    spark = records.sparkSession
+    # The reader infers from a Dataset of text, which only the JVM's interface takes.
+    strings = getattr(text._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    found = T.StructType.fromJson(
+        json.loads(spark._jsparkSession.read().json(strings).schema().json())
+    )
+    known = {_CORRUPT, *(name.lower() for name in schema.names)}
+    return T.StructType([f for f in found.fields if f.name.lower() not in known])
 
 
 def parse_records(
-    records: DataFrame, schema: T.StructType, keep: Sequence[str] = ()
+    records: DataFrame,
+    schema: T.StructType,
+    keep: Sequence[str] = (),
+    further: T.StructType | None = None,
+    array: bool = False,
 ) -> DataFrame:
     """The JSON in ``value`` as columns typed to ``schema``, beside the columns in ``keep``.
 
     Blank values are skipped, a bare NaN is read as missing, and a malformed value fails the
-    query.
+    query. ``further`` are columns to read beyond the schema (``further_columns`` finds them); a
+    name they share with ``keep`` goes to the kept one. ``array``: a value is a list of objects.
     """
-    value = F.col("value").cast("string")
-    loose = json_form(schema)
-    event = F.from_json(value, loose, {"mode": "FAILFAST"}).alias("event")
-    parsed = records.where(F.trim(value) != "").select(event, *keep).select("event.*", *keep)
-    text = [f.name for f in loose.fields if isinstance(f.dataType, T.StringType)]
-    present = {c: F.nullif(F.col(f"`{c}`"), F.lit(_BARE_NAN)) for c in text}
-    return apply_schema(parsed.withColumns(present), schema)
+    value = without_bare_nan(F.col("value").cast("string"))
+    more = [f for f in further.fields if f.name not in keep] if further else []
+    loose = T.StructType([*json_form(schema).fields, *more])
+    shape = T.ArrayType(loose) if array else loose
+    event = F.from_json(value, shape, {"mode": "FAILFAST"})
+    event = (F.explode(event) if array else event).alias("event")
+    parsed = records.where(F.trim(F.col("value").cast("string")) != "").select(event, *keep)
+    return apply_schema(parsed.select("event.*", *keep), schema)

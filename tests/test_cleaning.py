@@ -6,12 +6,14 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from earshot import schemas
 from earshot.operators import profiling
 from earshot.operators.cleaning import (
     apply_schema,
     drop_duplicates_first,
+    fill_and_keep_first,
     fill_missing,
     parse_timestamps,
 )
@@ -115,3 +117,17 @@ def test_profiles(spark):
     assert [tuple(r) for r in profiling.profile({"t": df}).collect()] == [("t", 3, 2)]
     assert profiling.column_types(df) == [("k", "int"), ("v", "double")]
     assert profiling.preview(df, 2, [F.col("k").desc()]).count() == 2
+
+
+def test_fractions_are_no_whole_numbers(spark):
+    schema = T.StructType([T.StructField("age", T.IntegerType())])
+    whole = spark.createDataFrame([("19.0",), (None,), ("NaN",)], "age string")
+    assert [r.age for r in apply_schema(whole, schema).collect()] == [19, None, None]
+    with pytest.raises(Exception, match="not a whole number in age: 19.7"):
+        apply_schema(spark.createDataFrame([("19.7",)], "age string"), schema).collect()
+
+
+def test_a_missing_order_comes_last(spark):
+    df = spark.createDataFrame([(None, "a"), (3, "b"), (5, "c")], "id int, name string")
+    kept = fill_and_keep_first(df.withColumn("k", F.lit(1)), ["k"], ["id"])
+    assert [tuple(r) for r in kept.select("id", "name").collect()] == [(3, "b")]

@@ -87,6 +87,7 @@ def test_views_equal_their_data_frame_twins(spark, rows, dirty, name):
     fact, songs, _ = dirty
     twin = {
         "view_genre_kpi": lambda: kpi.genre_kpi(fact, songs),
+        "view_daily_genre_kpi": lambda: kpi.daily_genre_kpi(fact),
         "view_hourly_kpi": lambda: kpi.hourly_kpi(fact),
         "view_track_summary": lambda: kpi.track_summary(fact, songs),
     }[name]()

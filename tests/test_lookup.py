@@ -57,7 +57,7 @@ def test_small_means_few_rows_and_little_text(spark, skewed, monkeypatch):
 
 def test_hot_keys_and_their_slices(skewed):
     events, _ = skewed
-    hot = {r["k"]: r["_slices"] for r in lookup.hot_keys(events, "k", 100).collect()}
+    hot = {r["k"]: r["_slices"] for r in lookup.hot_keys(lookup.key_counts(events, "k"), "k", 100).collect()}
     count = events.where("k = 7").count()
     assert hot == {7: -(-count // 100)}
 
@@ -91,3 +91,16 @@ def test_other_joins_are_refused(skewed):
     events, table = skewed
     with pytest.raises(ValueError):
         lookup.lookup_join(events, table, "k", "right")
+
+
+def test_any_number_of_hot_keys_is_sliced(spark, rows, monkeypatch):
+    events = spark.range(60_000).select(
+        F.col("id").alias("event"), F.expr("if(id % 10 = 0, NULL, id % 6000)").alias("k")
+    )
+    table = spark.range(6000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    plain = rows(events.join(table, "k", "left").select("event", "k", "v"))
+    hot = lookup.hot_keys(lookup.key_counts(events, "k"), "k", 5)
+    assert hot.count() == 5401  # the null key too
+    assert rows(lookup.lookup_join(events, table, "k", "left", rows_per_slice=5)) == plain
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 100)
+    assert rows(lookup.lookup_join(events, table, "k", "left", rows_per_slice=5)) == plain

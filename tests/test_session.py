@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import pytest
+
 from earshot import session
 
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -25,3 +29,17 @@ def test_staged_frames_keep_rows_and_schema(spark):
     assert staged.dtypes == df.dtypes
     assert sorted(staged.collect()) == sorted(df.collect())
     assert folder.startswith(session.shared_folder(spark))
+
+
+def test_no_shared_folder_is_guessed(monkeypatch):
+    monkeypatch.setattr(session, "_own_folder", [])
+    unnamed = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: default),
+        sparkContext=SimpleNamespace(master="yarn"),
+    )
+    session.name_own_folder(unnamed)
+    with pytest.raises(ValueError):
+        session.fresh_folder(unnamed, "x")
+    unnamed.sparkContext.master = "local[2]"
+    session.name_own_folder(unnamed)
+    assert session.fresh_folder(unnamed, "x") != session.fresh_folder(unnamed, "x")

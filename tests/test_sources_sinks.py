@@ -211,7 +211,7 @@ def test_column_types():
         "user_country": "VARCHAR(255)", "created_at": "TEXT",
     }
     mixed = T.StructType().add("a", T.DoubleType()).add("b", T.BooleanType()).add("c", T.LongType())
-    assert list(jdbc.jdbc_column_types(mixed).values()) == ["FLOAT", "BOOLEAN", "INT"]
+    assert list(jdbc.jdbc_column_types(mixed).values()) == ["DOUBLE", "BOOLEAN", "INT"]
 
 
 def test_writer_options_parse_as_spark_types():
@@ -256,6 +256,8 @@ def test_ordinals_are_dense(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert sorted(r.ordinal for r in numbered) == list(range(1000))
     assert sorted(r.id for r in numbered) == list(range(1000))
+    plan = with_ordinal(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
     one = with_ordinal(spark.createDataFrame([("x",)], "a STRING"))
     assert tuple(kafka.to_kafka_records(one, "ordinal").first()) == ("0", '{"a":"x"}')
 
