@@ -70,7 +70,10 @@ def main(arguments: list[str]) -> int:
     failed = [f"{n}: only on one side" for n in sorted(set(queries) ^ set(oracles))]
     for name in arguments[1:] or queries:
         start = time.perf_counter()
-        found = difference(con, queries[name](spark, sf_dir), oracles[name])
+        try:
+            found = difference(con, queries[name](spark, sf_dir), oracles[name])
+        except Exception as error:  # one query's failure should not hide the others'
+            found = f"{type(error).__name__}: {str(error)[:500]}"
         print(f"{name:28s} {time.perf_counter() - start:6.2f}s {found or 'ok'}", flush=True)
         failed += [name] if found else []
     print(f"{Path(sf_dir).name}: {len(failed)} failed {failed}")

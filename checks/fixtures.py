@@ -7,9 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.operators.lookup import is_small
 from earshot.plans import enrich
-from earshot.plans.enrich import Small
 
 
 class Inputs:
@@ -109,14 +107,13 @@ class Inputs:
         return self.table("events").count()
 
     @cached_property
-    def small(self) -> Small:
-        """Users and songs, measured once per folder. The dirty variants clean to the same
-        keys with text of about the same length."""
-        return Small(users=is_small(self.users), songs=is_small(self.songs))
+    def sizes(self) -> enrich.Sizes:
+        """Each lookup is measured once per folder."""
+        return enrich.Sizes()
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return enrich.enrich_streams(self.streams, self.users, self.songs, small=self.small)
+        return enrich.enrich_streams(self.streams, self.users, self.songs, sizes=self.sizes)
 
     @cached_property
     def clean_streams(self) -> DataFrame:
@@ -133,7 +130,7 @@ class Inputs:
     @cached_property
     def enriched_dirty(self) -> DataFrame:
         return enrich.enrich_streams(
-            self.clean_streams, self.clean_users, self.clean_songs, small=self.small
+            self.clean_streams, self.clean_users, self.clean_songs, sizes=self.sizes
         )
 
 

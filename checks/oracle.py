@@ -205,10 +205,10 @@ LEFT JOIN {songs} d ON p.track_id = d.track_id"""
 
 _RECONCILE = """
 SELECT CAST(d AS BIGINT) AS daily_total, CAST(o AS BIGINT) AS overall_total, d = o AS matches
-FROM (SELECT (SELECT sum(n) FROM (SELECT count(listen_time) AS n FROM fact
-                                  GROUP BY listen_date, track_genre)) AS d,
-             (SELECT sum(n) FROM (SELECT count(listen_time) AS n FROM fact
-                                  GROUP BY track_genre)) AS o)"""
+FROM (SELECT (SELECT coalesce(sum(n), 0) FROM (SELECT count(listen_time) AS n FROM fact
+                                               GROUP BY listen_date, track_genre)) AS d,
+             (SELECT coalesce(sum(n), 0) FROM (SELECT count(listen_time) AS n FROM fact
+                                               GROUP BY track_genre)) AS o)"""
 
 
 def _nulls(table: str, columns: list[str]) -> list[str]:
@@ -252,6 +252,40 @@ FROM clean_streams s WHERE NOT EXISTS (SELECT 1 FROM {lookup} x WHERE x.{key} =
 
 _AUDIT_ROWS = f"SELECT user_id, track_id, {_text('listen_time')} AS listen_time"
 
+
+_EVENT = f"""'{{"user_id":' || user_id || ',"track_id":"' || track_id
+  || '","listen_time":"' || {_text('listen_time')} || '"}}' AS value"""
+
+
+def _any_missing(table: str, columns: list[str]) -> str:
+    found = " OR ".join(f"{c} IS NULL" for c in columns)
+    return f"SELECT '{table}' AS table_name, count(*) FILTER ({found}) > 0 AS missing FROM {table}"
+
+
+# Database types by column; those of columns the given tables don't fill come last.
+_SONG_TYPES = {
+    "id": "INT", "track_id": "VARCHAR(255)", "artists": "VARCHAR(255)",
+    "album_name": "VARCHAR(255)", "track_name": "VARCHAR(255)", "popularity": "INT",
+    "duration_ms": "INT", "explicit": "BOOLEAN", "tempo": "DOUBLE", "track_genre": "VARCHAR(255)",
+    "danceability": "DOUBLE", "energy": "DOUBLE", "key": "INT", "loudness": "DOUBLE",
+    "mode": "INT", "speechiness": "DOUBLE", "acousticness": "DOUBLE",
+    "instrumentalness": "DOUBLE", "liveness": "DOUBLE", "valence": "DOUBLE",
+    "time_signature": "INT",
+}
+_USER_TYPES = {
+    "user_id": "INT", "user_name": "VARCHAR(255)", "user_age": "INT",
+    "user_country": "VARCHAR(255)", "created_at": "VARCHAR(255)",
+}
+
+
+def _column_types(table: str, types: dict[str, str], have: list[str]) -> list[str]:
+    return [
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{kind}' AS type, "
+        f"{f'count({c})' if c in have else 'count(NULL)'} AS filled FROM {table}"
+        for c, kind in types.items()
+    ]
+
+
 def all_oracles() -> dict[str, str]:
     clean_streams = f"{_AUDIT_ROWS} FROM clean_streams"
     return {
@@ -358,14 +392,11 @@ def all_oracles() -> dict[str, str]:
         ),
         "kafka_keys": _sql(
             [_STREAMS],
-            "SELECT CAST(row_number() OVER () - 1 AS VARCHAR) AS key FROM streams",
+            f"SELECT CAST(row_number() OVER () - 1 AS VARCHAR) AS key, {_EVENT} FROM streams",
         ),
         "kafka_records": _sql(
             [_STREAMS],
-            "SELECT CAST(event_id AS VARCHAR) AS key, "
-            "'{\"user_id\":' || user_id || "
-            "',\"track_id\":\"' || track_id || '\",\"listen_time\":\"' || "
-            f"{_text('listen_time')} || '\"}}' AS value FROM events_mapped",
+            f"SELECT CAST(event_id AS VARCHAR) AS key, {_EVENT} FROM events_mapped",
         ),
         "kafka_events": _sql(
             [_STREAMS],
@@ -392,4 +423,76 @@ def all_oracles() -> dict[str, str]:
             + ", count(*) AS events FROM streams GROUP BY ALL",
         ),
         "stored_hourly_kpi": _sql(_FACT_DIRTY, _HOURLY_KPI),
+        "audit_missing_users_sliced": _sql(
+            _CLEANED, _AUDIT_ROWS + _unmatched("clean_users", "user_id")
+        ),
+        "audit_missing_songs_sliced": _sql(
+            _CLEANED, _AUDIT_ROWS + _unmatched("clean_songs", "track_id")
+        ),
+        "jsonl_extra_columns": _sql(
+            [_STREAMS],
+            "SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, track_id, "
+            f"{_text('listen_time')} AS listen_time, 'd' || (user_id % 7) AS device, "
+            "user_id % 11 AS volume FROM streams",
+        ),
+        "jsonl_bare_nan": _sql(
+            [_USERS],
+            "SELECT CAST(user_id AS INTEGER) AS user_id, "
+            "CASE WHEN user_id % 5 = 0 THEN 'NaN, it is' ELSE user_name END AS user_name, "
+            "CASE WHEN user_id % 9 = 0 THEN NULL ELSE user_age END AS user_age, "
+            "CASE WHEN user_id % 7 = 0 THEN NULL ELSE 'here' END AS user_country FROM users",
+        ),
+        "json_array_round_trip": _sql(
+            _INPUT_DIRTY, "SELECT * REPLACE (CAST(id AS INTEGER) AS id) FROM songs_dirty"
+        ),
+        "any_missing": _sql(
+            _CLEANED,
+            " UNION ALL ".join(
+                [
+                    _any_missing("streams_dirty", _STREAM_COLUMNS).replace(
+                        "'streams_dirty'", "'streams'"
+                    ),
+                    _any_missing("users_dirty", _USER_COLUMNS).replace("'users_dirty'", "'users'"),
+                    _any_missing("songs_dirty", _SONG_COLUMNS).replace("'songs_dirty'", "'songs'"),
+                    _any_missing("clean_streams", _STREAM_COLUMNS),
+                    _any_missing("clean_users", _USER_COLUMNS),
+                ]
+            ),
+        ),
+        "column_types": _sql(
+            [_USERS, _SONGS],
+            " UNION ALL ".join(
+                _column_types("songs", _SONG_TYPES, _SONG_COLUMNS)
+                + _column_types("users", _USER_TYPES, _USER_COLUMNS)
+            ),
+        ),
+        "clean_songs_missing_id": _sql([_SONGS], "SELECT * FROM songs"),
+        "reconcile_totals_empty": _sql(
+            [*_FACT[:-1], _FACT[-1].replace("fact AS", "all_plays AS"),
+             "\nfact AS (SELECT * FROM all_plays WHERE user_id IS NULL)"],
+            _RECONCILE,
+        ),
+        "stored_fact_two_days": _sql(
+            _FACT_DIRTY,
+            f"SELECT user_id, track_id, {_text('listen_time')} AS listen_time, user_name, "
+            "track_name, track_genre FROM fact",
+        ),
+        "stored_view_genre_kpi": _sql(_FACT_DIRTY, _genre_kpi("clean_songs")),
+        "stored_view_hourly_kpi": _sql(
+            _FACT_DIRTY,
+            f"SELECT * REPLACE (CAST(listen_date AS VARCHAR) AS listen_date) FROM ({_HOURLY_KPI})",
+        ),
+        "stored_view_track_summary": _sql(_FACT_DIRTY, _track_summary("clean_songs")),
+        "stored_daily_genre_kpi": _sql(
+            _FACT_DIRTY,
+            "SELECT * REPLACE (CAST(listen_date AS VARCHAR) AS listen_date) "
+            f"FROM ({_DAILY_GENRE_KPI})",
+        ),
+        "rerun_audit": _sql(
+            _CLEANED,
+            "SELECT CAST(user_id AS INTEGER) AS user_id, track_id, "
+            f"{_text('listen_time')} AS listen_time, 'missing_songs' AS audit"
+            + _unmatched("clean_songs", "track_id")
+            + " AND EXISTS (SELECT 1 FROM clean_users x WHERE x.user_id = s.user_id)",
+        ),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import lru_cache, reduce
 
@@ -12,9 +13,10 @@ from checks.fixtures import Inputs, map_events, times_as_text
 from earshot import schemas
 from earshot.operators import profiling
 from earshot.operators.ordinal import with_ordinal
-from earshot.plans import dims, enrich, facts, kpi, views
-from earshot.session import configure, fresh_folder, size_shuffles, stage
+from earshot.plans import daily, dims, enrich, facts, ingest, kpi, views
+from earshot.session import configure, exists, fresh_folder, name_own_folder, size_shuffles, stage
 from earshot.sinks.files import write_csv, write_jsonl
+from earshot.sinks.jdbc import jdbc_column_types
 from earshot.sinks.kafka import to_kafka_records
 from earshot.sources.files import read_csv_table, read_hour_partitions, read_jsonl
 from earshot.sources.records import parse_records
@@ -38,6 +40,7 @@ def _query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame
 def all_queries() -> dict[str, Query]:
     def bound(build: Callable[[Inputs], DataFrame]) -> Query:
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            name_own_folder(spark)
             inputs = _inputs(configure(spark), sf_dir)
             size_shuffles(spark, inputs.event_rows)
             return build(inputs)
@@ -114,27 +117,49 @@ def enrich_streams(i: Inputs) -> DataFrame:
 @_query
 def enrich_streams_left(i: Inputs) -> DataFrame:
     joined = enrich.enrich_streams(
-        i.clean_streams, i.clean_users, i.clean_songs, "left", i.small
+        i.clean_streams, i.clean_users, i.clean_songs, "left", i.sizes
     )
     return times_as_text(joined, "listen_time")
 
 
+# Small enough that the given tables have keys above it.
+_ROWS_PER_SLICE = 20
+
+
 @_query
 def enrich_streams_sliced(i: Inputs) -> DataFrame:
-    """The join for lookups too large to broadcast, planned whenever they were not measured."""
-    joined = enrich.enrich_streams(i.clean_streams, i.clean_users, i.clean_songs)
+    """The join for lookups too large to broadcast, with its hot keys cut into slices."""
+    joined = enrich.enrich_streams(
+        i.clean_streams, i.clean_users, i.clean_songs, rows_per_slice=_ROWS_PER_SLICE
+    )
     return times_as_text(joined, "listen_time")
 
 
 @_query
 def audit_missing_users(i: Inputs) -> DataFrame:
-    found = enrich.missing_users(i.clean_streams, i.clean_users, i.small)
+    found = enrich.missing_users(i.clean_streams, i.clean_users, i.sizes)
     return times_as_text(found, "listen_time")
 
 
 @_query
 def audit_missing_songs(i: Inputs) -> DataFrame:
-    found = enrich.missing_songs(i.clean_streams, i.clean_songs, i.small)
+    found = enrich.missing_songs(i.clean_streams, i.clean_songs, i.sizes)
+    return times_as_text(found, "listen_time")
+
+
+@_query
+def audit_missing_users_sliced(i: Inputs) -> DataFrame:
+    found = enrich.missing_users(
+        i.clean_streams, i.clean_users, rows_per_slice=_ROWS_PER_SLICE
+    )
+    return times_as_text(found, "listen_time")
+
+
+@_query
+def audit_missing_songs_sliced(i: Inputs) -> DataFrame:
+    found = enrich.missing_songs(
+        i.clean_streams, i.clean_songs, rows_per_slice=_ROWS_PER_SLICE
+    )
     return times_as_text(found, "listen_time")
 
 
@@ -357,8 +382,8 @@ def streams_full_cleaned(i: Inputs) -> DataFrame:
 
 @_query
 def kafka_keys(i: Inputs) -> DataFrame:
-    """The keys of the published events: their ordinals, whichever row has which."""
-    return to_kafka_records(with_ordinal(_text_events(i)), key="ordinal").select("key")
+    """Published events keyed by their ordinals, in the order of the file."""
+    return to_kafka_records(with_ordinal(_text_events(i)), key="ordinal")
 
 
 @_query
@@ -414,3 +439,176 @@ def stored_hourly_kpi(i: Inputs) -> DataFrame:
     """Hourly KPI over a fact that was cleaned, joined and stored first."""
     folder = fresh_folder(i.spark, "fact")
     return kpi.hourly_kpi(stage(_fact_dirty(i), folder))
+
+
+@_query
+def jsonl_extra_columns(i: Inputs) -> DataFrame:
+    """Events with columns no schema names, written and read back with them."""
+    folder = fresh_folder(i.spark, "extra")
+    write_jsonl(_text_events(i).withColumns(
+        {"device": F.concat(F.lit("d"), F.col("user_id") % 7), "volume": F.col("user_id") % 11}
+    ), folder)
+    back = read_jsonl(i.spark, folder, schemas.STREAMS, further=True)
+    return times_as_text(enrich.clean_streams(back), "listen_time")
+
+
+@_query
+def jsonl_bare_nan(i: Inputs) -> DataFrame:
+    """Lines with a bare NaN for a missing value, blank lines between, and NaN within text."""
+    folder = fresh_folder(i.spark, "nan")
+    named = F.when(F.col("user_id") % 5 == 0, '"NaN, it is"').otherwise(
+        F.concat(F.lit('"'), F.col("user_name"), F.lit('"'))
+    )
+    age = F.when(F.col("user_id") % 9 == 0, "NaN").otherwise(F.col("user_age").cast("string"))
+    country = F.when(F.col("user_id") % 7 == 0, "NaN").otherwise('"here"')
+    line = F.concat(
+        F.lit('{"user_id": '), "user_id", F.lit(', "user_name": '), named,
+        F.lit(', "user_age": '), age, F.lit(', "user_country": '), country,
+        F.lit(', "created_at": NaN}'),
+    )
+    blank = F.array(line, F.lit("   "))
+    i.users.select(F.explode(blank)).write.text(folder)
+    return read_jsonl(i.spark, folder, schemas.USERS).drop("created_at")
+
+
+@_query
+def json_array_round_trip(i: Inputs) -> DataFrame:
+    """Songs as files that hold one JSON array each, several lines long."""
+    folder = fresh_folder(i.spark, "array")
+    songs = i.songs_dirty.groupBy((F.col("id") % 4).alias("part")).agg(
+        F.to_json(
+            F.collect_list(F.struct("*")), {"ignoreNullFields": "false", "pretty": "true"}
+        ).alias("value")
+    )
+    songs.write.partitionBy("part").text(folder)
+    lists = read_jsonl(i.spark, folder, schemas.SONGS, multiline=True)
+    return lists.select(i.songs.columns)
+
+
+@_query
+def any_missing(i: Inputs) -> DataFrame:
+    """Whether a table has any missing value."""
+    tables = {
+        "streams": i.streams_dirty, "users": i.users_dirty, "songs": i.songs_dirty,
+        "clean_streams": i.clean_streams, "clean_users": i.clean_users,
+    }
+    flags = [
+        profiling.null_profile(df).agg((F.max("missing") > 0).alias("missing"))
+        .withColumn("table_name", F.lit(name))
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, flags)
+
+
+@_query
+def column_types(i: Inputs) -> DataFrame:
+    """The database types declared for songs and users as their CSV files are loaded."""
+    folder = fresh_folder(i.spark, "types")
+    write_csv(_all_song_columns(i), f"{folder}/songs")
+    write_csv(times_as_text(i.users, "created_at"), f"{folder}/users")
+    frames = ingest.database_frames(i.spark, f"{folder}/songs", f"{folder}/users")
+    rows = [
+        (table, column, kind, df.where(F.col(f"`{column}`").isNotNull()).count())
+        for table, df in frames.items()
+        for column, kind in jdbc_column_types(df.schema).items()
+    ]
+    return i.spark.createDataFrame(
+        rows, "table_name string, column_name string, type string, filled long"
+    )
+
+
+def _all_song_columns(i: Inputs) -> DataFrame:
+    """All 21 song columns; those the tables don't have are null."""
+    have = i.songs.columns
+    return i.songs.select(
+        *[c if c in have else F.lit(None).cast(schemas.SONGS[c].dataType).alias(c)
+          for c in schemas.SONGS.names]
+    )
+
+
+@_query
+def clean_songs_missing_id(i: Inputs) -> DataFrame:
+    """Repeated tracks whose row without an id must not win."""
+    unnumbered = i.songs.where("id % 3 = 0").withColumns(
+        {"id": F.lit(None).cast("int"), "popularity": F.lit(-1)}
+    )
+    return enrich.clean_songs(i.songs.unionByName(unnumbered))
+
+
+@_query
+def reconcile_totals_empty(i: Inputs) -> DataFrame:
+    """No plays at all: both totals are 0."""
+    return kpi.reconcile_totals(_fact(i).where(F.col("user_id").isNull()))
+
+
+# --- the daily job: through write_fact, write_table and create_views ---------------------
+
+
+def _database(i: Inputs) -> views.Tables:
+    """A database of this call's own, in the shared folder."""
+    name = f"listening_{uuid.uuid4().hex[:12]}"
+    i.spark.sql(f"CREATE DATABASE {name} LOCATION '{fresh_folder(i.spark, name)}'")
+    return views.Tables(name)
+
+
+def _daily(i: Inputs, streams: DataFrame, day: str, tables: views.Tables, audits: str):
+    places = daily.Locations("", "", "", audits)
+    return daily.load(i.spark, i.songs_dirty, i.users_dirty, streams, places, day, tables=tables)
+
+
+@lru_cache(maxsize=8)
+def _stored(i: Inputs) -> views.Tables:
+    """The dirty events as two load days would bring them, with a third of them in both."""
+    tables, audits = _database(i), fresh_folder(i.spark, "audits")
+    part = F.pmod(F.xxhash64("user_id", "track_id", "listen_time"), F.lit(3))
+    _daily(i, i.streams_dirty.where(part < 2), "2024-02-01", tables, audits)
+    _daily(i, i.streams_dirty.where(part > 0), "2024-02-02", tables, audits)
+    return tables
+
+
+@_query
+def stored_fact_two_days(i: Inputs) -> DataFrame:
+    """The fact after two load days: a play that landed on both counts once."""
+    fact = i.spark.table(_stored(i).fact).drop("load_date", "listen_date", "listen_hour")
+    return times_as_text(fact, "listen_time").select(
+        "user_id", "track_id", "listen_time", "user_name", "track_name", "track_genre"
+    )
+
+
+@_query
+def stored_view_genre_kpi(i: Inputs) -> DataFrame:
+    return i.spark.table(_stored(i).named("view_genre_kpi"))
+
+
+@_query
+def stored_view_hourly_kpi(i: Inputs) -> DataFrame:
+    hours = i.spark.table(_stored(i).named("view_hourly_kpi"))
+    return hours.withColumn("listen_date", F.col("listen_date").cast("string"))
+
+
+@_query
+def stored_view_track_summary(i: Inputs) -> DataFrame:
+    return i.spark.table(_stored(i).named("view_track_summary"))
+
+
+@_query
+def stored_daily_genre_kpi(i: Inputs) -> DataFrame:
+    days = i.spark.table(_stored(i).named("view_daily_genre_kpi"))
+    return days.withColumn("listen_date", F.col("listen_date").cast("string"))
+
+
+@_query
+def rerun_audit(i: Inputs) -> DataFrame:
+    """The audit folders after a second run of a day in which no user is missing any more."""
+    tables, audits = _database(i), fresh_folder(i.spark, "audits")
+    _daily(i, i.streams_dirty, "2024-02-01", tables, audits)
+    known = i.streams_dirty.join(i.users_dirty.select("user_id").distinct(), "user_id")
+    _daily(i, known, "2024-02-01", tables, audits)
+    found = [
+        read_csv_table(i.spark, f"{audits}/2024-02-01/{name}", schemas.STREAMS).withColumn(
+            "audit", F.lit(name)
+        )
+        for name in ("missing_users", "missing_songs")
+        if exists(i.spark, f"{audits}/2024-02-01/{name}")
+    ]
+    return times_as_text(reduce(DataFrame.unionByName, found), "listen_time")

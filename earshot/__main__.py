@@ -21,6 +21,13 @@ def arguments(given: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--audits", required=True, help="folder for unmatched events")
     parser.add_argument("--tables", help="folder for the tables' files; default: warehouse")
     parser.add_argument("--exports", help="folder for cleaned CSV and JSON; default: none")
+    parser.add_argument(
+        "--through-log", action="store_true", help="read the landing through its commit log"
+    )
+    parser.add_argument(
+        "--rebalance", action=argparse.BooleanOptionalAction,
+        help="even out the fact's files; default: if the load has many dates",
+    )
     parser.add_argument("--database", help="database of the tables; default: the current one")
     parser.add_argument("--day", default=str(daily.LANDING_DAY), help="landing day to read")
     parser.add_argument("--reference", default=str(WEEK_REFERENCE), help="last day of the week")
@@ -34,7 +41,7 @@ def main(given: Sequence[str] | None = None) -> None:
         **{f.name: getattr(args, f.name) for f in dataclasses.fields(daily.Locations)}
     )
     tables = views.Tables(args.database)
-    report = daily.run(spark, places, args.day, args.reference, tables)
+    report = daily.run(spark, places, args.day, args.reference, tables, args.rebalance)
     print(json.dumps(dataclasses.asdict(report)))
 
 

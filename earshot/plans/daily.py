@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 
 from earshot import schemas
 from earshot.functions.columns import WEEK_REFERENCE
-from earshot.operators.lookup import is_small
+from earshot.operators.lookup import key_counts
 from earshot.operators.profiling import null_profile
-from earshot.plans import dims, enrich, facts, views
-from earshot.session import configure, shared_folder, size_shuffles, stage
+from earshot.plans import dims, enrich, facts, kpi, views
+from earshot.session import configure, fresh_folder, remove_folder, size_shuffles, stage
 from earshot.sinks.files import write_audit, write_csv, write_jsonl
 from earshot.sinks.tables import write_fact, write_table
 from earshot.sources.files import read_hour_partitions, read_jsonl
@@ -21,6 +22,9 @@ from earshot.sources.files import read_hour_partitions, read_jsonl
 # Fixed value: the landing day read unless another is asked for.
 LANDING_DAY = dt.date(2025, 6, 20)
 
+# A load of more listening dates than this is rebalanced before it is written, unless told.
+FEW_DATES = 8
+
 
 @dataclass(frozen=True)
 class Locations:
@@ -32,6 +36,8 @@ class Locations:
     audits: str
     tables: str | None = None
     exports: str | None = None
+    # Whether ``landing`` was written by ``land_records`` and is read through its commit log.
+    through_log: bool = False
 
 
 @dataclass(frozen=True)
@@ -41,12 +47,16 @@ class Report:
     songs: int
     users: int
     streams: int
+    # Distinct events that no other load day had stored before.
     clean_streams: int
     # Per table and column, before filling.
     missing_values: dict[str, dict[str, int]]
     # Clean events without a known user or song.
     missing_users: int
     missing_songs: int
+    # Plays stored over all days, summed over days and genres and over genres.
+    daily_total: int
+    overall_total: int
     views: tuple[str, ...]
 
 
@@ -56,15 +66,30 @@ def run(
     day: dt.date | str = LANDING_DAY,
     reference: dt.date | str = WEEK_REFERENCE,
     tables: views.Tables = views.Tables(),
+    rebalance: bool | None = None,
 ) -> Report:
     """Read one landing day and the current songs and users, and bring the tables up to date.
 
-    A second run of the same day replaces what the first one wrote.
+    A second run of the same day replaces what the first one wrote. Columns the files have beyond
+    the schemas are kept.
     """
-    songs = read_jsonl(spark, places.songs, schemas.SONGS)
-    users = read_jsonl(spark, places.users, schemas.USERS)
-    streams = read_hour_partitions(spark, places.landing, day, schemas.STREAMS)
-    return load(spark, songs, users, streams, places, day, reference, tables)
+    configure(spark)
+    songs = read_jsonl(spark, places.songs, schemas.SONGS, further=True)
+    users = read_jsonl(spark, places.users, schemas.USERS, further=True)
+    streams = read_hour_partitions(
+        spark, places.landing, day, schemas.STREAMS, False, places.through_log, further=True
+    )
+    return load(spark, songs, users, streams, places, day, reference, tables, rebalance)
+
+
+def _received(frames: Mapping[str, DataFrame]) -> tuple[dict[str, int], dict[str, dict[str, int]]]:
+    """Rows and missing values per column of each table, in one pass over each."""
+    rows, missing = {}, {}
+    for name, df in frames.items():
+        marked = df.withColumn("_rows", F.lit(None).cast("int"))
+        found = dict(map(tuple, null_profile(marked).collect()))
+        rows[name], missing[name] = found.pop("_rows"), found
+    return rows, missing
 
 
 def load(
@@ -76,16 +101,20 @@ def load(
     day: dt.date | str,
     reference: dt.date | str = WEEK_REFERENCE,
     tables: views.Tables = views.Tables(),
-    rebalance: bool = False,
+    rebalance: bool | None = None,
 ) -> Report:
     """The same from typed frames.
 
-    Text is parsed once: the frames as received and the clean ones are staged as Parquet in
-    the folder the cluster shares, and everything after reads from there. The clean lookups
-    are measured there, and their sizes choose how they are joined.
+    The clean frames are staged as Parquet in a folder of this run's own, in the one the cluster
+    shares; it is removed when all is written, and left for inspection if the job fails. An event
+    that another load day has stored is left out, so a play counts once however often it lands.
+    The clean lookups are measured where they are staged, and their sizes choose how they are
+    joined; rows per key are counted once, for the joins and the audits. Without ``rebalance``
+    the number of listening dates decides.
     """
     configure(spark)
-    folder = f"{shared_folder(spark)}/earshot-{tables.database or 'default'}-{day}"
+    day = dt.date.fromisoformat(str(day))
+    folder = fresh_folder(spark, f"daily-{day}")
 
     def staged(name: str, df: DataFrame) -> DataFrame:
         return stage(df, f"{folder}/{name}")
@@ -93,47 +122,55 @@ def load(
     def location(table: str) -> str | None:
         return f"{places.tables}/{table}" if places.tables else None
 
-    raw = {
-        "songs": staged("songs_raw", songs),
-        "users": staged("users_raw", users),
-        "streams": staged("streams_raw", streams),
-    }
-    received = {name: df.count() for name, df in raw.items()}
+    received, missing = _received({"songs": songs, "users": users, "streams": streams})
     size_shuffles(spark, max(received.values()))
-    clean_users = staged("users", enrich.clean_users(raw["users"]))
-    clean_songs = staged("songs", enrich.clean_songs(raw["songs"]))
-    clean = staged("streams", enrich.clean_streams(raw["streams"]))
-    small = enrich.Small(users=is_small(clean_users), songs=is_small(clean_songs))
-
-    enriched = enrich.enrich_streams(clean, clean_users, clean_songs, small=small)
-    write_fact(
-        facts.fact_streams(enriched), tables.fact, day, location("fact_streams"), rebalance
-    )
+    users = enrich.told_apart(users, "user_", schemas.USER_KEY, songs)
+    streams = enrich.told_apart(streams, "event_", schemas.STREAM_KEY, users, songs)
+    clean_users = staged("users", enrich.clean_users(users))
+    clean_songs = staged("songs", enrich.clean_songs(songs))
+    clean = enrich.clean_streams(streams)
+    if spark.catalog.tableExists(tables.fact):
+        others = spark.table(tables.fact).where(F.col("load_date") != F.lit(day))
+        clean = enrich.not_yet_stored(clean, others)
+    clean = staged("streams", clean)
+    counts = {k: staged(f"rows_{k}", key_counts(clean, k)) for k in ("user_id", "track_id")}
+    sizes = enrich.Sizes()
+
+    enriched = enrich.enrich_streams(clean, clean_users, clean_songs, "inner", sizes, counts)
+    if rebalance is None:
+        dates = clean.select(F.to_date("listen_time")).distinct().limit(FEW_DATES + 1).count()
+        rebalance = dates > FEW_DATES
+    fact = facts.fact_streams(enriched)
+    write_fact(fact, tables.fact, day, location("fact_streams"), rebalance)
     write_table(dims.dim_users(clean_users, reference), tables.users, location("dim_users"))
     write_table(dims.dim_songs(clean_songs), tables.songs, location("dim_songs"))
 
-    unmatched = dict(map(tuple, enrich.audit_counts(clean, clean_users, clean_songs).collect()))
+    audited = enrich.audit_counts(clean, clean_users, clean_songs, counts).collect()
+    unmatched = dict(map(tuple, audited))
     for audit, found in (
-        ("missing_users", enrich.missing_users(clean, clean_users, small)),
-        ("missing_songs", enrich.missing_songs(clean, clean_songs, small)),
+        ("missing_users", enrich.missing_users(clean, clean_users, sizes, counts)),
+        ("missing_songs", enrich.missing_songs(clean, clean_songs, sizes, counts)),
     ):
         write_audit(found, f"{places.audits}/{day}/{audit}", unmatched[audit])
     if places.exports:
-        stored = spark.table(tables.fact).where(F.col("load_date") == F.lit(day).cast("date"))
+        stored = spark.table(tables.fact).where(F.col("load_date") == F.lit(day))
         full = stored.select(*[F.col(f"`{c}`") for c in enriched.columns])
         write_csv(full, f"{places.exports}/{day}/streams_full_cleaned")
         write_jsonl(clean_users, f"{places.exports}/{day}/users")
         write_jsonl(clean_songs, f"{places.exports}/{day}/songs")
+    totals = kpi.reconcile_totals(spark.table(tables.fact)).first()
 
-    return Report(
+    report = Report(
         songs=received["songs"],
         users=received["users"],
         streams=received["streams"],
-        clean_streams=clean.count(),
-        missing_values={
-            name: dict(map(tuple, null_profile(df).collect())) for name, df in raw.items()
-        },
+        clean_streams=counts["user_id"].agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0],
+        missing_values=missing,
         missing_users=unmatched["missing_users"],
         missing_songs=unmatched["missing_songs"],
+        daily_total=totals["daily_total"],
+        overall_total=totals["overall_total"],
         views=tuple(views.create_views(spark, tables)),
     )
+    remove_folder(spark, folder)
+    return report

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from earshot import schemas
 from earshot.operators.ordinal import with_ordinal
+from earshot.session import configure
 from earshot.sinks.files import write_jsonl
 from earshot.sinks.jdbc import write_jdbc
 from earshot.sinks.kafka import to_kafka_records, write_kafka
@@ -30,6 +31,7 @@ def database_frames(
     spark: SparkSession, songs_csv: str, users_csv: str
 ) -> dict[str, DataFrame]:
     """Songs and users as the database holds them: times as text, flags as booleans."""
+    configure(spark)
     songs = read_csv_table(spark, songs_csv, schemas.SONGS)
     users = read_csv_table(spark, users_csv, schemas.with_text_times(schemas.USERS))
     flags = {c: F.col(c).cast("boolean") for c in schemas.FLAGS}
@@ -48,12 +50,14 @@ def export_database(
     spark: SparkSession, url: str, options: Mapping[str, str], songs_path: str, users_path: str
 ) -> None:
     """Write both tables as JSON lines, reading each in parallel over its numeric key."""
+    configure(spark)
     write_jsonl(read_jdbc(spark, url, "songs", options, "id"), songs_path)
     write_jsonl(read_jdbc(spark, url, "users", options, "user_id"), users_path)
 
 
 def stream_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Events of all files as records: the ordinal over all files, and the event as JSON."""
+    configure(spark)
     events = read_csv_table(spark, paths, schemas.with_text_times(schemas.STREAMS))
     return to_kafka_records(with_ordinal(events), "ordinal")
 
@@ -77,8 +81,11 @@ def land_topic(
     options: Mapping[str, str] | None = None,
     hour_of: Column | None = None,
     once: bool = True,
+    files_per_hour: int | None = None,
 ) -> StreamingQuery:
-    """Land a topic by hour: that of ``hour_of``, by default the record's own timestamp."""
+    """Land a topic by hour: that of ``hour_of``, by default the record's own timestamp. A
+    backlog of many hours should set ``files_per_hour``."""
+    configure(spark)
     records = read_kafka_records(spark, servers, topic, options)
     hour = F.col("timestamp") if hour_of is None else hour_of
-    return land_records(records, root, checkpoint, hour, once)
+    return land_records(records, root, checkpoint, hour, once, files_per_hour)

@@ -1,4 +1,4 @@
-"""The three KPI views as SQL text over the stored tables.
+"""The KPI views as SQL text over the stored tables.
 
 The views hold text only; each query plans them afresh on the tables as they are then.
 """
@@ -67,6 +67,27 @@ FROM totals
 LEFT JOIN tops ON totals.listen_date = tops.listen_date AND totals.listen_hour = tops.listen_hour
 """
 
+DAILY_GENRE_KPI = """
+WITH plays AS (
+  SELECT listen_date, track_genre,
+         count(listen_time) AS total_streams,
+         avg(popularity) AS avg_popularity,
+         count(DISTINCT user_id) AS unique_listeners,
+         avg(duration_ms) AS avg_duration
+  FROM {fact} GROUP BY listen_date, track_genre
+), placed AS (
+  SELECT listen_date, track_genre, track_id,
+         row_number() OVER (PARTITION BY listen_date, track_genre
+                            ORDER BY n DESC, track_id ASC NULLS LAST) AS place
+  FROM (SELECT listen_date, track_genre, track_id, count(*) AS n
+        FROM {fact} GROUP BY listen_date, track_genre, track_id)
+)
+SELECT plays.*, track_id
+FROM plays
+LEFT JOIN placed ON plays.listen_date = placed.listen_date
+                AND plays.track_genre = placed.track_genre AND place = 1
+"""
+
 TRACK_SUMMARY = """
 WITH plays AS (
   SELECT track_id, count(*) AS total_streams, count(DISTINCT user_id) AS unique_listeners
@@ -79,6 +100,7 @@ FROM plays LEFT JOIN {songs} about ON plays.track_id = about.track_id
 
 VIEWS = {
     "view_genre_kpi": GENRE_KPI,
+    "view_daily_genre_kpi": DAILY_GENRE_KPI,
     "view_hourly_kpi": HOURLY_KPI,
     "view_track_summary": TRACK_SUMMARY,
 }
@@ -107,7 +129,7 @@ class Tables:
 
 
 def create_views(spark: SparkSession, tables: Tables = Tables()) -> list[str]:
-    """Create or replace the three views beside the tables; returns their names."""
+    """Create or replace the views beside the tables; returns their names."""
     for name, text in VIEWS.items():
         select = text.format(fact=tables.fact, songs=tables.songs)
         spark.sql(f"CREATE OR REPLACE VIEW {tables.named(name)} AS {select}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import json
 
 import pytest
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from earshot import __main__ as command
 from earshot import schemas
-from earshot.plans import daily, views
+from earshot.plans import daily, enrich, views
+from earshot.session import configure, fresh_folder
 from earshot.sources.files import read_csv_table, read_hour_partitions
 from earshot.streaming.landing import land_records
 
@@ -88,10 +90,100 @@ def test_audits_and_exports(spark, places):
     assert export.count() == 3 and "track_genre" in export.columns
 
 
+def test_hours_are_utc_whatever_the_session(spark, places, rows):
+    daily.run(spark, places, "2025-06-20", tables=MUSIC)
+    expected = rows(spark.table("music.view_hourly_kpi"))
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Jakarta")
+    try:
+        command.main([
+            "--songs", places.songs, "--users", places.users, "--landing", places.landing,
+            "--audits", places.audits, "--tables", places.tables, "--database", "music",
+        ])
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert rows(spark.table("music.view_hourly_kpi")) == expected
+    finally:
+        configure(spark)
+
+
+def test_a_rerun_leaves_no_stale_audit(spark, places, tmp_path):
+    daily.run(spark, places, "2025-06-20", tables=MUSIC)
+    audits = tmp_path / "audits/2025-06-20"
+    assert (audits / "missing_users").is_dir()
+    lines(tmp_path / "in/topic/year=2025/month=06/day=20/hour=09/a.json", [
+        listen(1, "T0", "2024-06-25 09:00:00"), listen(3, "X", "2024-06-25 10:00:00")])
+    report = daily.run(spark, places, "2025-06-20", tables=MUSIC)
+    assert report.missing_users == 0 and report.missing_songs == 1
+    assert not (audits / "missing_users").exists() and (audits / "missing_songs").is_dir()
+
+
+def test_a_play_landed_on_two_days_counts_once(spark, places, tmp_path):
+    daily.run(spark, places, "2025-06-20", tables=MUSIC)
+    before = spark.table("music.fact_streams").count()
+    lines(tmp_path / "in/topic/year=2025/month=06/day=22/hour=00/a.json", [
+        listen(1, "T0", "2024-06-25 09:00:00"), listen(2, "T2", "2024-06-25 09:00:00")])
+    for _ in range(2):
+        report = daily.run(spark, places, "2025-06-22", tables=MUSIC)
+        assert report.clean_streams == 1
+        assert report.daily_total == report.overall_total == before + 1
+        assert spark.table("music.fact_streams").count() == before + 1
+
+
+def test_further_columns_reach_the_fact(spark, places, tmp_path):
+    daily.run(spark, places, "2025-06-20", tables=MUSIC)
+    lines(tmp_path / "in/topic/year=2025/month=06/day=22/hour=00/a.json", [
+        listen(1, "T0", "2024-06-26 09:00:00") | {"device": "phone", "artists": "mine"},
+        listen(2, "T1", "2024-06-26 09:00:00")])
+    daily.run(spark, places, "2025-06-22", tables=MUSIC)
+    fact = spark.table("music.fact_streams").where("load_date = DATE'2025-06-22'")
+    found = {r.user_id: (r.device, r.event_artists) for r in fact.collect()}
+    assert found == {1: ("phone", "mine"), 2: ("Unknown", "Unknown")}
+    assert spark.table("music.fact_streams").where("device IS NULL").count() == 3
+
+
+def test_staging_is_removed_after_success_and_kept_after_failure(
+    spark, places, tmp_path, monkeypatch
+):
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(daily, "fresh_folder", lambda _, label: f"{shared}/{label}-1")
+    daily.run(spark, places, "2025-06-20", tables=MUSIC)
+    assert list(shared.glob("daily-*")) == []
+    assert len({fresh_folder(spark, "daily-2025-06-20") for _ in range(2)}) == 2
+    (tmp_path / "audits/2025-06-20").rename(tmp_path / "gone")
+    (tmp_path / "audits/2025-06-20").write_text("in the way")
+    with pytest.raises(Exception):
+        daily.run(spark, places, "2025-06-20", tables=MUSIC)
+    assert len(list(shared.glob("daily-*"))) == 1
+
+
+def test_torn_files_are_left_out_through_the_log(spark, places, tmp_path):
+    root, source = str(tmp_path / "topic"), tmp_path / "source"
+    lines(source / "1.json", [listen(1, "T0", "2025-06-20 09:59:59")])
+    hour = F.to_timestamp(F.get_json_object("value", "$.listen_time"))
+    records = spark.readStream.text(str(source))
+    land_records(records, root, str(tmp_path / "checkpoint"), hour).awaitTermination()
+    torn = tmp_path / "topic/year=2025/month=06/day=20/hour=09/part-torn.txt"
+    torn.write_text('{"user_id": 2, "tra')
+    with pytest.raises(Exception):
+        daily.run(spark, dataclasses.replace(places, landing=root), "2025-06-20", tables=MUSIC)
+    logged = dataclasses.replace(places, landing=root, through_log=True)
+    assert daily.run(spark, logged, "2025-06-20", tables=MUSIC).streams == 1
+
+
+@pytest.mark.parametrize("rebalance", [False, True, None])
+def test_files_of_many_dates(spark, places, tmp_path, rebalance):
+    times = [f"2024-{1 + n % 12:02d}-{1 + n // 12:02d} 0{n % 9}:00:00" for n in range(120)]
+    lines(tmp_path / "in/topic/year=2025/month=06/day=23/hour=00/a.json", [
+        listen(1 + n % 3, f"T{n % 3}", time) for n, time in enumerate(times)])
+    daily.run(spark, places, "2025-06-23", tables=MUSIC, rebalance=rebalance)
+    files = list((tmp_path / "tables/fact_streams/load_date=2025-06-23").rglob("*.parquet"))
+    assert spark.table("music.fact_streams").count() == 120
+    assert len(files) == 120 or rebalance is False
+
+
 def test_large_lookups_give_the_same_tables(spark, places, rows, monkeypatch):
     daily.run(spark, places, "2025-06-20", tables=MUSIC)
     expected = rows(spark.table("music.fact_streams"))
-    monkeypatch.setattr(daily, "is_small", lambda lookup: False)
+    monkeypatch.setattr(enrich, "is_small", lambda lookup: False)
     daily.run(spark, places, "2025-06-20", tables=MUSIC)
     assert rows(spark.table("music.fact_streams")) == expected
 
