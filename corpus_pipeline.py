@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.llm import decontaminate, packing, quality, simhash, substring_dedup
-from earshot.llm.common import prepare, shuffle_partitions, staged, table
+from earshot.llm.common import prepare, staged, table
 from earshot.llm.language import remainder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -59,7 +59,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents, in sequences of at most 1024 token ids."""
     prepare(spark)
     path = public_tokenizers.path("byte_bpe_50k.json")
-    packed = packing.pieces(docs, path, 0, shuffle_partitions(spark))
+    packed = packing.pieces(docs, path, 0)
     return packed.withColumn("ids_crc32", F.crc32("ids")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )

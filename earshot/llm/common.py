@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from earshot.session import fresh_folder, stage
+from earshot.session import fresh_folder, name_own_folder, stage
 
 # Rows and bytes of text a Python worker is handed at a time.
 ARROW_ROWS = 512
@@ -41,10 +41,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("name a folder all executors share in spark.checkpoint.dir")
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shared-"))
+    name_own_folder(spark)
     return spark
 
 

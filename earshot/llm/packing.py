@@ -9,9 +9,10 @@ are closed by laying their pieces in a row and cutting that into full windows; a
 left over is cut at powers of two, which need no padding. So nothing is padded, and only those
 last pieces and documents longer than a window are cut.
 
-Ranges of doc_id are packed apart, each in one streaming pass that keeps its open windows alone.
-Null texts are empty and have the end id only; null doc_ids come first; repeated rows are packed
-as often as they occur. An empty table gives no pieces.
+Each task packs the documents of its part of the table as it reads them, in one streaming pass
+that keeps its open windows alone; nothing is shuffled. Null texts are empty and have the end id
+only; a null doc_id is kept; repeated rows are packed as often as they occur. An empty table gives
+no pieces.
 """
 
 from __future__ import annotations
@@ -25,15 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.llm.common import staged
-from earshot.llm.tokens import tokenized, wide
+from earshot.llm.tokens import encoder
 
 WINDOW = 1024
 
 # Windows a task keeps open at most, so that its memory is bounded.
 MOST_OPEN = 8192
 
-# Ranges packed apart; their numbers of sequences are all that is broadcast.
-MOST_RANGES = 10_000
+# Parts packed apart; their numbers of sequences are all that is broadcast.
+MOST_PARTS = 10_000
 
 # A piece: doc_id, its document's ids before it, its ids, its document's number of ids.
 Piece = tuple[int | None, int, np.ndarray, int]
@@ -95,7 +96,7 @@ class SumOfSquares:
             yield held
 
 
-def pieces(docs: DataFrame, path: str, end_id: int, ranges: int, window: int = WINDOW) -> DataFrame:
+def pieces(docs: DataFrame, path: str, end_id: int, window: int = WINDOW) -> DataFrame:
     """doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id,
     offset: one row per piece."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -103,13 +104,14 @@ def pieces(docs: DataFrame, path: str, end_id: int, ranges: int, window: int = W
     schema = pa.schema(
         [
             ("doc_id", id_type), ("start", pa.int64()), ("length", pa.int64()),
-            ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("_range", pa.int32()),
+            ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("_part", pa.int32()),
             ("_number", pa.int64()), ("offset", pa.int64()),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, number, part, rows = SumOfSquares(window), 0, 0, []
+        enc, end = encoder(path), np.array([end_id], np.uint32)
 
         def lay(held: list[Piece]) -> None:
             nonlocal number
@@ -126,13 +128,10 @@ def pieces(docs: DataFrame, path: str, end_id: int, ranges: int, window: int = W
             return pa.RecordBatch.from_arrays(values, schema=schema)
 
         for batch in batches:
-            for doc, data, part in zip(
-                batch.column("doc_id").to_pylist(),
-                batch.column("ids").to_pylist(),
-                batch.column("_range").to_pylist(),
-                strict=True,
-            ):
-                ids = wide(data)
+            docs_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            part = batch.column("_part")[0].as_py() if len(texts) else part
+            for doc, ids in zip(docs_ids, enc.each(texts), strict=True):
+                ids = np.append(ids, end)
                 for start in range(0, len(ids), window):
                     for held in packer.add((doc, start, ids[start : start + window], len(ids))):
                         lay(held)
@@ -143,24 +142,21 @@ def pieces(docs: DataFrame, path: str, end_id: int, ranges: int, window: int = W
         if rows:
             yield flush()
 
-    tokens = tokenized(docs, path, end_id).withColumn("_crc", F.crc32("ids"))
-    dealt = tokens.repartitionByRange(min(ranges, MOST_RANGES), "doc_id", "_crc")
-    dealt = dealt.sortWithinPartitions("doc_id", "_crc")
-    dealt = dealt.select("doc_id", "ids", F.spark_partition_id().alias("_range"))
+    parts = docs.select("doc_id", "text").coalesce(MOST_PARTS)
     packed = staged(
-        dealt.mapInArrow(
+        parts.withColumn("_part", F.spark_partition_id()).mapInArrow(
             run,
             f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, "
-            "_range int, _number long, offset long",
+            "_part int, _number long, offset long",
         ),
         "packing",
     )
-    counts = packed.groupBy("_range").agg(F.max("_number").alias("_last"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = packed.groupBy("_part").agg(F.max("_number").alias("_last"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
-        F.col("_range"), F.coalesce(F.sum(F.col("_last") + 1).over(before), F.lit(0)).alias("_from")
+        "_part", F.coalesce(F.sum(F.col("_last") + 1).over(before), F.lit(0)).alias("_from")
     )
-    return packed.join(F.broadcast(starts), "_range").select(
+    return packed.join(F.broadcast(starts), "_part").select(
         "doc_id", "start", "length", "ids", "doc_tokens",
         (F.col("_from") + F.col("_number")).alias("sequence_id"), "offset",
     )

@@ -33,7 +33,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
-    packed = pieces(docs, _tokenizer("byte_bpe_50k.json"), 0, shuffle_partitions(spark))
+    packed = pieces(docs, _tokenizer("byte_bpe_50k.json"), 0)
     return packed.withColumn("ids_crc32", F.crc32("ids")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )

@@ -1,24 +1,27 @@
 """Token ids of whole texts, one piece of text between spaces at a time.
 
 A public tokenizer's splitting never joins what stands on two sides of a space after a character
-that is no white space, so a text's ids are those of its pieces in a row. Pieces repeat far more
-often than texts; a worker keeps the ids of those it has met, up to a bound, and the tokenizer
-runs over new ones only. Every id comes from the tokenizer.
+that is no white space, nor a letter with the stop after it, so a text's ids are those of its
+pieces in a row. Pieces repeat far more often than texts; a worker keeps the ids of those it has
+met, up to a bound, and the tokenizer runs over new ones only. Every id comes from the tokenizer; a piece that is one plain word, which
+it would split no further, goes to its merge model directly.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-# Pieces a worker keeps; when they are more it starts anew.
-MOST_PIECES = 800_000
+# Pieces a worker keeps; when they are more it forgets those it has met but once or twice.
+MOST_PIECES = 1_200_000
 
 # Characters of text turned into ids at a time (a longer text goes alone).
 CHARS_AT_ONCE = 1 << 20
@@ -28,6 +31,62 @@ CHARS_AT_ONCE = 1 << 20
 _UNSAFE = re.compile(r"\s ")
 _SAFE_CUT = re.compile(r"(?<=\S) ")
 
+# A word, its stops, and a line break with another word: these are always apart.
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+_PARTS = re.compile(f"({_LETTERS})([.,!?;:]+)?(?:(\n)({_LETTERS})([.,!?;:]+)?)?")
+
+
+# The ways of splitting that leave a plain word whole, in the tokenizer files' terms.
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
+_SPACED = _BYTES | {"use_regex": True}
+_BARE = [
+    {
+        "type": "Split",
+        "pattern": {
+            "Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+        },
+        "behavior": "Removed",
+        "invert": True,
+    },
+    _BYTES | {"use_regex": False},
+]
+_LOWERED = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte: itself if it prints in Latin-1, else the next
+    from U+0100."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in prints)
+    return {b: chr(b) for b in prints} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+def _of_words(tokenizer) -> Callable[[str, str], list[int]] | None:
+    """The ids of a plain word after nothing or a space, if the tokenizer leaves words whole."""
+    steps = json.loads(tokenizer.to_str())
+    normal, split = steps["normalizer"], steps["pre_tokenizer"]
+    letters, tokenize = _byte_letters(), tokenizer.model.tokenize
+    if normal is None and split == _SPACED:
+        lowered, space = False, letters[32]
+    elif normal == {"type": "Sequence", "normalizers": _LOWERED} and split == {
+        "type": "Sequence", "pretokenizers": _BARE
+    }:
+        lowered, space = True, ""
+    else:
+        return None
+
+    def ids(word: str, before: str) -> list[int]:
+        word = word.lower() if lowered else word
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(letters)
+        return [token.id for token in tokenize(space + word if before else word)]
+
+    return ids
+
 
 class PieceEncoder:
     """Ids of texts, by a tokenizer file of the tokenizers library."""
@@ -37,41 +96,110 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._of_word = _of_words(self._tokenizer)
         self._most = most_pieces
-        self._forget()
-
-    def _forget(self) -> None:
+        # Where a piece's ids are: of pieces after a space, and of others.
         self._rest: dict[str, int] = {}
         self._first: dict[str, int] = {}
         self._starts = np.zeros(1024, np.int64)
         self._sizes = np.zeros(1024, np.int64)
+        self._met = np.zeros(1024, np.int64)
         self._ids = np.zeros(1 << 16, np.uint32)
         self._pieces = self._used = 0
 
-    def _learn(self, known: dict[str, int], pieces: list[str], before: str) -> None:
-        found = self._tokenizer.encode_batch_fast(
-            [before + p for p in pieces], add_special_tokens=False
-        )
-        ids = [x.ids for x in found]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-        n, m = self._pieces + len(ids), self._used + len(flat)
+    def _forget(self) -> None:
+        """Keep the pieces met more than twice, or if those are too many too, none."""
+        often = self._met[: self._pieces] > 2
+        if often.sum() > self._most // 2:
+            often[:] = False
+        moved = np.cumsum(often) - 1
+        for known in (self._rest, self._first):
+            kept = {p: int(moved[i]) for p, i in known.items() if often[i]}
+            known.clear()
+            known.update(kept)
+        held = np.flatnonzero(often)
+        flat, sizes = self._gather(held), self._sizes[held]
+        self._pieces = self._used = 0
+        self._store(flat, sizes)
+        self._met[:] = 0
+
+    def _store(self, flat: np.ndarray, sizes: np.ndarray) -> range:
+        """Append the ids of some pieces; returns their places."""
+        n, m = self._pieces + len(sizes), self._used + len(flat)
         if n > len(self._sizes):
-            self._starts = np.resize(self._starts, 2 * n)
-            self._sizes = np.resize(self._sizes, 2 * n)
+            self._starts, self._sizes, self._met = (
+                np.concatenate([x, np.zeros(2 * n - len(x), np.int64)])
+                for x in (self._starts, self._sizes, self._met)
+            )
         if m > len(self._ids):
-            self._ids = np.resize(self._ids, 2 * m)
+            self._ids = np.concatenate([self._ids, np.zeros(2 * m - len(self._ids), np.uint32)])
         self._sizes[self._pieces : n] = sizes
         self._starts[self._pieces : n] = self._used + np.cumsum(sizes) - sizes
         self._ids[self._used : m] = flat
-        known.update(zip(pieces, range(self._pieces, n), strict=True))
+        places = range(self._pieces, n)
         self._pieces, self._used = n, m
+        return places
+
+    def _gather(self, places: np.ndarray) -> np.ndarray:
+        """The ids of pieces in a row."""
+        sizes = self._sizes[places]
+        ends = np.cumsum(sizes)
+        at = np.arange(int(ends[-1]) if len(ends) else 0)
+        at += np.repeat(self._starts[places] - (ends - sizes), sizes)
+        return self._ids[at]
+
+    def _ask(
+        self, known: dict[str, int], words: list[str], others: list[str], before: str
+    ) -> None:
+        """Have the tokenizer encode plain words and other pieces that aren't known."""
+        if self._of_word is None:
+            words, others = [], [*words, *others]
+        ids = [self._of_word(p, before) for p in words]
+        if others:
+            found = self._tokenizer.encode_batch_fast(
+                [before + p for p in others], add_special_tokens=False
+            )
+            ids += [x.ids for x in found]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        known.update(zip([*words, *others], self._store(flat, sizes), strict=True))
+
+    def _learn(self, known: dict[str, int], pieces: list[str], before: str) -> None:
+        words, others, compound, tails = [], [], {}, {}
+        for piece in pieces:
+            parts = _PARTS.fullmatch(piece)
+            if parts is None:
+                others.append(piece)
+            elif parts.end(1) == len(piece):
+                words.append(piece)
+            else:
+                split = [p for p in parts.groups() if p]
+                compound[piece] = split
+                tails.update((p, i == 2) for i, p in enumerate(parts.groups()[1:]) if p)
+        words += dict.fromkeys(x[0] for x in compound.values() if x[0] not in known)
+        self._ask(known, list(dict.fromkeys(words)), others, before)
+        new = [(p, word) for p, word in tails.items() if p not in self._first]
+        if new:
+            self._ask(self._first, [p for p, w in new if w], [p for p, w in new if not w], "")
+        if compound:
+            places = np.array(
+                [
+                    self._first[p] if i else known[p]
+                    for split in compound.values()
+                    for i, p in enumerate(split)
+                ]
+            )
+            counts = np.fromiter(map(len, compound.values()), np.int64, len(compound))
+            sizes = np.add.reduceat(self._sizes[places], np.cumsum(counts) - counts)
+            known.update(zip(compound, self._store(self._gather(places), sizes), strict=True))
 
     def _places(self, known: dict[str, int], pieces: list[str], before: str) -> np.ndarray:
-        new = list(dict.fromkeys(p for p in pieces if p not in known))
+        found = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(found < 0).tolist()
         if new:
-            self._learn(known, new, before)
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+            self._learn(known, list(dict.fromkeys(pieces[i] for i in new)), before)
+            found[new] = [known[pieces[i]] for i in new]
+        return found
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has."""
@@ -85,17 +213,14 @@ class PieceEncoder:
             rest += cut[1:]
         counts = np.array(counts, np.int64)
         starts = np.cumsum(counts) - counts
-        place = np.empty(int(counts.sum()), np.int64)
-        is_first = np.zeros(len(place), bool)
+        places = np.empty(int(counts.sum()), np.int64)
+        is_first = np.zeros(len(places), bool)
         is_first[starts] = True
-        place[~is_first] = self._places(self._rest, rest, " ")
-        place[is_first] = self._places(self._first, first, "")
-        sizes = self._sizes[place]
-        ends = np.cumsum(sizes)
-        at = np.arange(int(ends[-1]) if len(ends) else 0)
-        at += np.repeat(self._starts[place] - (ends - sizes), sizes)
-        lengths = np.add.reduceat(sizes, starts) if len(starts) else np.zeros(0, np.int64)
-        return self._ids[at], lengths
+        places[~is_first] = self._places(self._rest, rest, " ")
+        places[is_first] = self._places(self._first, first, "")
+        np.add.at(self._met, places, 1)
+        lengths = np.add.reduceat(self._sizes[places], starts) if len(starts) else counts
+        return self._gather(places), lengths
 
     def each(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of every text, null as empty, a bounded stretch of text at a time."""
