@@ -1,0 +1,96 @@
+"""The pipeline's stages against plain code, and the package without the subpackage."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from earshot.llm.common import staged
+from tests.conftest import SMALL
+from tests.llm import brute
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """What each stage was given and returned."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    out = {"": docs}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = out[name] = staged(stage(spark, docs, SMALL), "test-pipeline")
+    return out
+
+
+def _texts(df):
+    return {r.doc_id: r.text for r in df.collect()}
+
+
+def test_all_but_the_last_return_documents(stages):
+    given = stages[""].schema
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        assert stages[name].schema.simpleString() == given.simpleString()
+
+
+def test_quality_keeps_what_scores_well(spark, stages):
+    labels = dict(map(tuple, spark.read.parquet(f"{SMALL}/labels.parquet")
+                      .select("doc_id", "quality").collect()))
+    kept = _texts(stages["quality classifier"])
+    good = [d for d, q in labels.items() if q == 1]
+    bad = [d for d, q in labels.items() if q == 0]
+    assert np.mean([d in kept for d in good]) >= 0.95
+    assert np.mean([d in kept for d in bad]) <= 0.1
+
+
+def test_one_of_each_group_stays(stages):
+    given = list(_texts(stages["quality classifier"]).items())
+    expected = {c for _, _, c in brute.near_duplicates(given)}
+    assert set(_texts(stages["simhash near-dedup"])) == expected
+
+
+def test_passages_are_cut(stages):
+    given = _texts(stages["simhash near-dedup"])
+    found = stages["substring dedup"].collect()
+    removed = {d: n for d, _, n, _ in brute.substring_dedup(list(given.items()))}
+    assert {r.doc_id for r in found} == set(given)
+    for r in found:
+        if removed[r.doc_id] == 0:
+            assert r.text == given[r.doc_id]
+        else:
+            assert len(brute.words(r.text)) == len(brute.words(given[r.doc_id])) - removed[r.doc_id]
+        assert r.n_chars == len(r.text)
+
+
+def test_contaminated_documents_go(spark, stages):
+    given = list(_texts(stages["substring dedup"]).items())
+    items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet")
+             .select("item_id", "text").collect()]
+    expected = {r[0] for r in brute.decontaminate(given, items) if not r[-1]}
+    assert set(_texts(stages["benchmark decontamination"])) == expected
+
+
+def test_everything_left_is_packed(stages):
+    given = set(_texts(stages["benchmark decontamination"]))
+    pieces = stages["packing"]
+    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == given
+    whole = pieces.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m"))
+    assert whole.where("n != m").count() == 0
+
+
+def test_run_is_all_stages(spark, stages):
+    found = corpus_pipeline.run(spark, SMALL)
+    assert found.columns == stages["packing"].columns
+    total = F.sum("length")
+    assert found.agg(total).first()[0] == stages["packing"].agg(total).first()[0]
+
+
+def test_stages_take_odd_rows_and_extra_columns(spark, docs):
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, SMALL)
+        assert found.columns == docs.columns
+        assert stage(spark, docs.limit(0), SMALL).count() == 0
+    name, pack = corpus_pipeline.STAGES[-1]
+    assert pack(spark, docs, SMALL).select("doc_id").distinct().count() == docs.count()
+    assert pack(spark, docs.limit(0), SMALL).count() == 0

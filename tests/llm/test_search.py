@@ -1,0 +1,219 @@
+"""Top-k search, decontamination, sharding and URL rules."""
+
+from __future__ import annotations
+
+import itertools
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from earshot.llm import decontaminate, sharding, topk, url_rules
+from earshot.llm.queries import all_queries
+from tests.conftest import MEDIUM
+from tests.llm import brute
+
+
+# --- top k
+
+
+def test_top_k_against_all_scores(spark, docs, collected, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "_FIRST_DEPTH", 2)
+    draw = np.random.default_rng(0)
+    rows = [(n, np.round(draw.normal(size=4), 1).tolist()) for n in range(200)]
+    rows += [(200, None), (201, [1.0, None, 0.0, 0.0]), (202, [float("nan"), 0.0, 0.0, 0.0]),
+             (203, [float("inf"), 0.0, 0.0, 0.0]), (220, [0.0, 0.0, 0.0, 0.0]), (240, [1.0, 2.0]),
+             (241, [3.0, 1.0]), (260, []), (280, [1.0] * 4), (281, [1.0] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    single = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v])
+              for i, v in rows]
+    for k in (1, 20):
+        found = topk.search(df, F.col("vec_id") % 20 == 0, k)
+        expected = sorted(brute.top_k(single, k), key=repr)
+        assert collected(found, "query_id", "rank", "vec_id", "score") == expected
+    assert topk.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    twice = topk.search(df.unionByName(df), F.col("vec_id") % 20 == 0, 20)
+    assert twice.count() == len(brute.top_k(single, 20))
+
+
+def test_the_threshold_stops_early():
+    vectors = np.zeros((5000, 8), np.int64)
+    vectors[:, 0] = np.arange(5000)
+    lists = topk.Lists(np.arange(5000), vectors)
+    read = []
+    score = lists.score
+    lists.score = lambda rows, *rest: read.append(len(rows)) or score(rows, *rest)
+    ids, scores = lists.top(7, np.array([1, 0, 0, 0, 0, 0, 0, 0]), 3)
+    assert ids.tolist() == [4999, 4998, 4997] and sum(read) < 200
+
+
+# --- decontamination
+
+
+ITEMS = [
+    (10, "shared3 SHARED4 shared5, shared6 shared7 shared8 shared9 shared10 shared11 shared12 x"),
+    (2, "Two words"), (3, None), (4, " .,! "), (11, "two WORDS"), (5, "the same text"),
+    (6, " ".join(f"w{n}" for n in range(100, 115))), (7, "é"),
+]
+
+
+@pytest.mark.parametrize("bound", [100_000, 0])
+def test_windows_of_items_are_found(spark, docs, pairs, collected, monkeypatch, bound):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", bound)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    found = decontaminate.decontaminate(docs, items).select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("s"), "contaminated",
+    )
+    expected = brute.decontaminate(pairs, ITEMS)
+    assert collected(found, "*") == sorted(expected, key=repr)
+    clean = decontaminate.clean(docs, items)
+    assert clean.columns == docs.columns
+    assert {r.doc_id for r in clean.collect()} == {r[0] for r in expected if not r[-1]}
+
+
+def test_no_items_and_no_documents(spark, docs):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    found = decontaminate.decontaminate(docs, items.limit(0))
+    assert found.where("contaminated").count() == 0 and found.count() == docs.count()
+    assert decontaminate.decontaminate(docs.limit(0), items).count() == 0
+
+
+def test_rows_that_share_an_id_are_judged_apart(spark, docs):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    rows = [(1, "two words"), (1, "clean"), (1, "clean"), (None, "two words"), (None, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontaminate.decontaminate(df, items).collect()
+    assert sorted((r.doc_id or 0, r.n_hit) for r in found) == [(0, 0), (0, 2), (1, 0), (1, 0), (1, 2)]
+    kept = decontaminate.clean(df, items).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, "x"), (1, "clean"), (1, "clean")]
+
+
+# --- sharding
+
+
+def _network(v: int, a: int, b: int, seed: int) -> int:
+    import hashlib
+
+    x, y = v % a, v // a
+    for r in range(sharding.ROUNDS):
+        bits = int(hashlib.md5(f"{seed}:{r}:{x if r % 2 else y}".encode()).hexdigest()[:8], 16)
+        x, y = (x, (y + bits) % b) if r % 2 else ((x + bits) % a, y)
+    return x + y * a
+
+
+@pytest.mark.parametrize("rows", [0, 1, 2, 3, 40, 41, 997, 1024])
+def test_shards_are_computable(spark, docs, rows):
+    df = spark.range(rows).select(
+        (F.col("id") * 7).alias("doc_id"), F.lit("x").alias("row"), F.lit(1).alias("slot")
+    )
+    found = sharding.shard(df, ["doc_id"], 40, seed=5, ranges=4).collect()
+    a, b = sharding.halves_of(rows)
+    assert len(found) == rows and sorted(r.row_number for r in found) == list(range(rows))
+    for r in found:
+        assert r.doc_id == 7 * r.row_number
+        place = _network(r.row_number, a, b, 5)
+        while place >= rows:
+            place = _network(place, a, b, 5)
+        assert (r.shard, r.slot) == (place % 40, place // 40)
+    counts = Counter(r.shard for r in found)
+    if rows:
+        assert max(counts.values()) - min(counts.get(s, 0) for s in range(40)) <= 1
+    for shard, n in counts.items():
+        assert sorted(r.slot for r in found if r.shard == shard) == list(range(n))
+
+
+def test_equal_rows_and_nulls_are_sharded(spark, docs):
+    df = spark.createDataFrame([(1,)] * 500 + [(None,)] * 300 + [(2,)], "doc_id long")
+    found = sharding.shard(df, ["doc_id"], 7, ranges=5).collect()
+    assert sorted((r.slot, r.shard) for r in found) == sorted((n // 7, n % 7) for n in range(801))
+    with pytest.raises(ValueError):
+        sharding.shard(df, ["doc_id"], 0)
+
+
+# --- URL rules
+
+
+def test_hosts_paths_and_stated_rules(spark, docs):
+    urls = {
+        "https://WWW.Example.com/en/x?q#f": ("www.example.com", "/en/x", "www.example.com/en/", "allow"),
+        "http://a.example.com/en/": ("a.example.com", "/en/", "example.com/en/", "block"),
+        "http://a.example.com/EN/": ("a.example.com", "/EN/", "com/", "allow"),
+        "http://badexample.com/en/": ("badexample.com", "/en/", "com/", "allow"),
+        "http://x.net/fr/1": ("x.net", "/fr/1", "net/fr/", "block"),
+        "http://net/es/": ("net", "/es/", "net/es/", "block"),
+        "http://x.net": ("x.net", "", None, "allow"),
+        "http://x.com?y=/en/": ("x.com", "", None, "allow"),
+        "http://É.com/\n/": ("É.com", "/\n/", "com/", "allow"),
+        "no scheme": ("", "", None, "allow"),
+        "a://b://c": ("b:", "//c", None, "allow"),
+        "://#": ("", "", None, "allow"),
+        None: ("", "", None, "allow"),
+    }
+    pages = spark.createDataFrame(
+        [(n, u, 1) for n, u in enumerate(urls)], "page_id long, url string, tokens int"
+    )
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    found = url_rules.judge(pages, labels).collect()
+    expected = dict(enumerate(urls.values()))
+    assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in found} == expected
+    assert url_rules.judge(pages.limit(0), labels).count() == 0
+
+
+def test_mined_rules(spark, docs):
+    """Rules and verdicts against all token sets, enumerated."""
+    hosts = ["spam.test", "ham.test", "spam.ok", "eggs.test"]
+    rows, labels = [], []
+    for n in range(400):
+        path = "/buy/now" if n % 3 == 0 else "/read/it"
+        rows.append((n, f"http://{hosts[n % 4]}{path}/{n}"))
+        bad = n % 4 == 0 and n % 3 == 0 or n % 29 == 0
+        if n % 2 == 0 or n % 5 == 0:
+            labels.append((n, 0 if bad else 1, None))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    known = spark.createDataFrame([*labels, labels[0], (9999, None, 1)],
+                                  "doc_id long, quality int, toxic int")
+    tokens = {n: frozenset(
+        [f"h:{t}" for t in hosts[n % 4].split(".")] + [f"p:{t}" for t in u.split("/")[3:5]]
+    ) for n, u in rows}
+    bad = {n: q == 0 for n, q, _ in labels}
+    support = max(25 / len(labels), 0.002)
+    counts, hits = Counter(), Counter()
+    for n, is_bad in bad.items():
+        for size in range(1, 5):
+            for part in itertools.combinations(sorted(tokens[n]), size):
+                counts[part] += 1
+                hits[part] += is_bad
+    rules = {p: hits[p] / counts[p] for p in counts
+             if hits[p] >= support * len(labels) and hits[p] / counts[p] >= 0.6}
+    rules = {p: c for p, c in rules.items()
+             if not any(set(o) < set(p) and rules[o] >= c for o in rules)}
+    assert rules
+    urls = pages.select("page_id", *[c.alias(a) for c, a in zip(
+        url_rules.host_and_path(F.col("url")), ("host", "path"))]).withColumn(
+        "tokens", url_rules.tokens_of(F.col("host"), F.col("path")))
+    mined = url_rules.mine(urls, known).collect()
+    assert {tuple(r.tokens): round(r.confidence, 9) for r in mined} == {
+        p: round(c, 9) for p, c in rules.items()
+    }
+    found = {r.page_id: r.verdict for r in url_rules.judge(pages, known).collect()}
+    assert found == {
+        n: "block" if any(set(p) <= t for p in rules) else "allow" for n, t in tokens.items()
+    }
+
+
+# --- the given tables
+
+
+@pytest.mark.parametrize(
+    "name", ["op4_benchmark_decontamination", "op5_sharding", "op10_top_k", "op1_substring_dedup"]
+)
+def test_queries_equal_their_sql(spark, name):
+    from checks.compare import connect, difference
+    from earshot.llm.oracle import all_oracles
+
+    found = all_queries()[name](spark, MEDIUM)
+    assert difference(connect(MEDIUM), found, all_oracles()[name]) is None
