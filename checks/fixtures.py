@@ -7,7 +7,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.plans import enrich
+from earshot.plans import enrich, facts
+from earshot.session import fresh_folder, stage
 
 
 class Inputs:
@@ -133,6 +134,16 @@ class Inputs:
             self.clean_streams, self.clean_users, self.clean_songs, sizes=self.sizes
         )
 
+    @cached_property
+    def fact(self) -> DataFrame:
+        """The stored fact of the clean mapping."""
+        return stage(facts.fact_streams(self.enriched), fresh_folder(self.spark, "fact"))
+
+    @cached_property
+    def fact_dirty(self) -> DataFrame:
+        """The stored fact of the cleaned dirty events."""
+        return stage(facts.fact_streams(self.enriched_dirty), fresh_folder(self.spark, "fact"))
+
 
 # The number in {"k": 76}. A pattern finds it several times faster than a JSON parser; props of
 # any other shape go to the parser.
