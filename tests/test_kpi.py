@@ -111,7 +111,7 @@ def test_joined_and_unmatched_events_make_up_all(dirty):
     """Left rows = all events; an event is joined, or misses its user, or misses its song."""
     _, _, i = dirty
     clean = i.clean_streams
-    left = enrich.enrich_streams(clean, i.clean_users, i.clean_songs, "left", i.small)
+    left = enrich.enrich_streams(clean, i.clean_users, i.clean_songs, "left", i.sizes)
     no_user = enrich.missing_users(clean, i.clean_users)
     no_song = enrich.missing_songs(clean, i.clean_songs)
     unmatched = no_user.union(no_song).distinct().count()
