@@ -40,8 +40,8 @@ FEATURES = 256 + _EXTRA
 
 def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Features of all passages, and how many each text has."""
-    # A word and a space between texts keep the last word of one from the first of the next.
-    starts, ends, words = word_spans(b" ".join(texts))
+    joined = b" ".join(texts)
+    starts, ends, words = word_spans(joined)
     offsets = np.cumsum([0, *(len(t) + 1 for t in texts)])
     first = np.searchsorted(starts, offsets)
     counts = np.diff(first)
@@ -55,11 +55,14 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if not total:
         return x, passages
     heads = np.flatnonzero(place % PASSAGE_WORDS == 0)
-    raw = np.frombuffer(b" ".join(texts), np.uint8)
-    # A passage's bytes run from its first word to the next passage's first word.
-    spans = np.append(starts[heads], len(raw))
-    owner = np.repeat(np.arange(total), np.diff(spans))
-    held = np.bincount(owner * 256 + raw[spans[0] :], minlength=total * 256).reshape(total, 256)
+    # A passage's bytes run from its first word to the next passage's, or to its text's end; what
+    # lies between texts belongs to none.
+    begin = starts[heads]
+    end = np.minimum(np.append(begin[1:], len(joined)), offsets[of_text[heads] + 1] - 1)
+    spans = np.stack([end - begin, np.append(begin[1:], len(joined)) - end], 1).ravel()
+    owner = np.repeat(np.stack([np.arange(total), np.full(total, total)], 1).ravel(), spans)
+    raw = np.frombuffer(joined, np.uint8)[begin[0] :]
+    held = np.bincount(owner * 256 + raw, minlength=(total + 1) * 256).reshape(-1, 256)[:total]
     x[:, :256] = np.sqrt(held / np.maximum(1, held.sum(1, keepdims=True)))
     n = np.bincount(of, minlength=total).astype(np.float32)
     same = np.zeros(len(words), bool)
