@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +13,15 @@ from pyspark.sql import functions as F
 MOST_BITS = 1 << 28
 
 
+# Words that are sent together.
+_CHUNK = 1 << 13
+
+
 def build(hashes: DataFrame, column: str, rows: int) -> np.ndarray:
     """The words of a filter over ``rows`` evenly spread longs. Bits are joined per word before
-    they are shuffled, so the driver gets a row per word at most."""
-    bits = 1 << 16
+    they are shuffled, and words are laid into chunks, so the driver gets the filter's own size
+    at most."""
+    bits = 1 << 19
     while bits < MOST_BITS and bits < 10 * rows:
         bits *= 2
     places = F.array(
@@ -27,9 +35,31 @@ def build(hashes: DataFrame, column: str, rows: int) -> np.ndarray:
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
     )
+
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            word, found = batch.column("word").to_numpy(), batch.column("bits").to_numpy()
+            for chunk in np.unique(word // _CHUNK).tolist():
+                mine = word // _CHUNK == chunk
+                held = chunks.setdefault(chunk, np.zeros(_CHUNK, np.int64))
+                held[word[mine] % _CHUNK] = found[mine]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(list(chunks), pa.int64()),
+                pa.array([x.tobytes() for x in chunks.values()], pa.binary()),
+            ],
+            names=["chunk", "words"],
+        )
+
+    chunked = joined.repartition(16, F.shiftright("word", 13)).mapInArrow(
+        lay, "chunk long, words binary"
+    )
     words = np.zeros(bits // 64, np.int64)
-    found = joined.toPandas()
-    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    for row in chunked.collect():
+        words[row["chunk"] * _CHUNK : (row["chunk"] + 1) * _CHUNK] = np.frombuffer(
+            row["words"], np.int64
+        )
     return words.view(np.uint64)
 
 

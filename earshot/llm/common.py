@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from earshot.session import fresh_folder, name_own_folder, stage
+from earshot.session import fresh_folder, name_own_folder
 
 # Rows and bytes of text a Python worker is handed at a time.
 ARROW_ROWS = 512
@@ -46,8 +46,10 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder once and go on from its files."""
-    return stage(df, fresh_folder(df.sparkSession, label))
+    """Write ``df`` to the shared folder once, tightly, and go on from its files."""
+    folder = fresh_folder(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
