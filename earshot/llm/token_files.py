@@ -68,11 +68,12 @@ def frequencies(tokens: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
-            for data in batch.column("ids").to_pylist():
-                new = np.bincount(wide(data))
-                if len(new) > len(counts):
-                    counts, new = new, counts
-                counts[: len(new)] += new
+            if not batch.num_rows:
+                continue
+            new = np.bincount(np.concatenate([wide(x) for x in batch.column("ids").to_pylist()]))
+            if len(new) > len(counts):
+                counts, new = new, counts
+            counts[: len(new)] += new
         met = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(met, pa.int64()), pa.array(counts[met], pa.int64())], names=["id", "n"]
