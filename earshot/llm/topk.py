@@ -25,8 +25,8 @@ from earshot.llm.common import staged
 # Vectors and queries of a group.
 BLOCK = 16_384
 QUERY_BLOCK = 512
-# Depth of the first read of the lists; each further one doubles it.
-_FIRST_DEPTH = 64
+# How far the lists are read at a time.
+_DEPTH = 256
 
 _LARGEST = float(2**31)
 
@@ -44,35 +44,28 @@ def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
     return usable.groupBy("vec_id").agg(F.min(x).alias("vector"))
 
 
-def _scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact products: by doubles where every sum fits them, else by integers."""
-    most = float(np.abs(vectors).max(initial=0)) * float(np.abs(query).sum())
-    if most < 2**53:
-        return vectors.astype(np.float64) @ query.astype(np.float64)
-    return vectors @ query
-
-
 class Lists:
     """A block's vectors, sorted along each dimension."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self._exact = self.vectors.astype(np.float64)
-        self._fits = float(np.abs(self._exact).max(initial=0))
+        # Products are exact in floats that hold all their sums, else in integers.
+        self._largest = float(np.abs(self.vectors.astype(np.float64)).max(initial=0))
+        self._as: dict[type, np.ndarray] = {}
         self.order = np.argsort(self.vectors, axis=0, kind="stable")
         self.sorted = np.take_along_axis(self.vectors, self.order, axis=0)
 
-    def score(self, rows: np.ndarray, query: np.ndarray, exact: np.ndarray | None) -> np.ndarray:
-        if exact is not None:
-            return (self._exact[rows] @ exact).astype(np.int64)
-        return self.vectors[rows] @ query
+    def score(self, rows: np.ndarray, query: np.ndarray, kind: type) -> np.ndarray:
+        if kind not in self._as:
+            self._as[kind] = self.vectors.astype(kind)
+        return (self._as[kind][rows] @ query.astype(kind)).astype(np.int64)
 
     def top(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best but ``own``, ties to smaller ids."""
         n = len(self.ids)
-        fits = self._fits * float(np.abs(query).sum()) < 2**53
-        exact = query.astype(np.float64) if fits else None
+        most = self._largest * float(np.abs(query).sum())
+        kind = np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
         weights_up, weights_down = query[up], query[down]
         seen = np.zeros(n, bool)
@@ -80,9 +73,9 @@ class Lists:
         if mine < n and self.ids[mine] == own:
             seen[mine] = True
         rows, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        depth, size = 0, _FIRST_DEPTH
+        depth = 0
         while True:
-            end = min(n, depth + size)
+            end = min(n, depth + _DEPTH)
             met = np.zeros(n, bool)
             met[self.order[n - end : n - depth, up].ravel()] = True
             met[self.order[depth:end, down].ravel()] = True
@@ -91,7 +84,7 @@ class Lists:
             new = np.flatnonzero(met & ~seen)
             seen[new] = True
             rows = np.concatenate([rows, new])
-            scores = np.concatenate([scores, self.score(new, query, exact)])
+            scores = np.concatenate([scores, self.score(new, query, kind)])
             if len(rows) > k:
                 # The kth score and all above it; ties are cut by id, which is the row order.
                 least = np.partition(scores, len(scores) - k)[len(scores) - k]
@@ -106,7 +99,7 @@ class Lists:
             # An unread vector that ties with the kth may have the smaller id.
             if len(rows) >= k and int(scores.min()) > bound:
                 break
-            depth, size = end, 2 * size
+            depth = end
         order = np.lexsort((rows, -scores))
         return self.ids[rows[order]], scores[order]
 
