@@ -28,6 +28,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -171,36 +172,41 @@ def segments(docs: DataFrame, filter_words) -> DataFrame:
     )
 
 
+class _Symbols(dict):
+    """A character for each word met. Surrogates are no characters."""
+
+    def __missing__(self, word: bytes) -> str:
+        code = len(self)
+        self[word] = symbol = chr(code if code < 0xD800 else code + 0x800)
+        return symbol
+
+
 def first_documents(held: dict[tuple[int, int], list]) -> Iterator[tuple[int, int, list[int]]]:
     """anchor, key and the first document of each window, for the segments that recur. ``held``
-    has (words, first, last) by anchor and key, whole anchors."""
-    import ahocorasick
-
-    symbols: dict[bytes, str] = {}
+    has (words, first, last) by anchor and key, whole anchors.
 
-    def coded(words: bytes) -> str:
-        text = []
-        for word in words.split(b" "):
-            symbol = symbols.get(word)
-            if symbol is None:
-                code = len(symbols)
-                # Surrogates are no characters.
-                symbol = symbols[word] = chr(code if code < 0xD800 else code + 0x800)
-            text.append(symbol)
-        return "".join(text)
+    A segment that is its anchor's only one is a phrase as a whole; of others, that may share but
+    some windows, each window is. No phrase of one anchor lies in a segment of another.
+    """
+    import ahocorasick
 
+    symbols = _Symbols()
     automaton = ahocorasick.Automaton()
+    texts_of = Counter(anchor for anchor, _ in held)
     # The later first document is overwritten by the earlier one.
-    rows = sorted(held.items(), key=lambda x: -x[1][1])
-    texts = [coded(words) for _, (words, _, _) in rows]
-    for (_, (_, first, _)), text in zip(rows, texts, strict=True):
-        for j in range(len(text) - WINDOW + 1):
-            automaton.add_word(text[j : j + WINDOW], first)
+    rows = [
+        (anchor, key, "".join(map(symbols.__getitem__, words.split(b" "))), first, last)
+        for (anchor, key), (words, first, last) in sorted(held.items(), key=lambda x: -x[1][1])
+    ]
+    for anchor, _, text, first, _ in rows:
+        size = len(text) if texts_of[anchor] == 1 else WINDOW
+        for j in range(len(text) - size + 1):
+            automaton.add_word(text[j : j + size], first)
     automaton.make_automaton()
-    for ((anchor, key), (_, _, last)), text in zip(rows, texts, strict=True):
+    for anchor, key, text, _, last in rows:
         firsts = [first for _, first in automaton.iter(text)]
         if min(firsts) < last:
-            yield anchor, key, firsts
+            yield anchor, key, firsts * (len(text) - WINDOW + 1 if texts_of[anchor] == 1 else 1)
 
 
 def recurring(found: DataFrame, partitions: int) -> DataFrame:
