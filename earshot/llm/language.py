@@ -4,13 +4,14 @@ Each language has a tree of contexts of up to three bytes. A byte's probability
 its count over the context's total plus its number of different bytes; a byte not seen there
 escapes, at that number over the same sum, to the next shorter context, and at last to one in
 256. The counts are gathered from all training texts and then frozen, so the code length of a
-byte after the three before it is a constant: it is tabulated for every context kept, and scoring
-a text is a lookup per byte and language and a sum. Lengths are whole numbers of 1/1024 bit, so
+byte after the three before it is a constant, and scoring a text is a lookup per byte and a sum. Lengths are whole numbers of 1/1024 bit, so
 sums don't depend on how texts are batched.
 
-The tree is pruned by a rule: a context is kept if its share of a language's bytes is at least
-``MIN_SHARE``, which bounds the contexts of each length by 1/MIN_SHARE. A context that was pruned
-is looked up as its longest suffix kept.
+No gram is left out: totals, kinds and lengths come from every run of four bytes in the training
+texts, so the model grows with what is new in them. It holds a row per distinct run and is sorted,
+not tabulated: a byte is looked up after the longest context that has it in some language, and
+what other languages escape to is part of its row. A context can be pruned by its share of a
+language's bytes, after all counts are taken; it is then looked up as its longest suffix kept.
 
 A text that is null or has no letter is ``und`` with score 0; so is every text if there is
 nothing to learn from. Ties go to the first language in order. Rows without a doc_id aren't held
@@ -29,9 +30,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ORDER = 3
-# Grams and contexts rarer than this in every language are not told apart from shorter ones.
-MIN_SHARE = 2.0**-16
 UNIT = 1024
+# Parts of a unit in which escapes are added up, so that a byte's length is rounded once.
+_FINE = 64
 
 _PAD = b"\n" * ORDER
 _STRETCH = 1 << 19
@@ -50,6 +51,12 @@ def _stretches(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
+def _grams(texts: list[bytes]) -> np.ndarray:
+    """Each run of four bytes, the first as the high byte; three newlines before each text."""
+    raw = np.frombuffer(_PAD + _PAD.join(texts), np.uint8).astype("u4")
+    return raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
+
+
 def gram_counts(texts: DataFrame) -> DataFrame:
     """lang, gram, n: runs of four bytes over all ``texts`` (lang, text), the first as the high
     byte. Each text starts after three newlines."""
@@ -68,10 +75,9 @@ def gram_counts(texts: DataFrame) -> DataFrame:
             for lang in sorted(set(langs)):
                 own = [t.encode() for t, own in zip(data, langs, strict=True) if own == lang]
                 for begin, end in _stretches(own):
-                    raw = np.frombuffer(_PAD + _PAD.join(own[begin:end]), np.uint8).astype("u4")
-                    if len(raw) <= ORDER:
+                    gram = _grams(own[begin:end])
+                    if not len(gram):
                         continue
-                    gram = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
                     parts = held.setdefault(lang, [])
                     parts.append(np.unique(gram, return_counts=True))
                     if sum(len(k) for k, _ in parts) > _MERGE:
@@ -91,96 +97,111 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+@dataclass(frozen=True)
+class Order:
+    """The grams (context and byte) of one context length in order, each with its code length in
+    each language, and the contexts in order, each with the length of its escape: 0 in a language
+    that has no such context. Lengths are in 1/1024 bit over ``_FINE``."""
+
+    grams: np.ndarray
+    lengths: np.ndarray
+    contexts: np.ndarray
+    escapes: np.ndarray
+
+
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``wanted`` are in sorted ``keys``, and which are there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.searchsorted(keys, wanted)
+    at[at == len(keys)] = 0
+    return at, keys[at] == wanted
+
+
+def _suffix(grams: np.ndarray, k: int) -> np.ndarray:
+    """The last byte of each gram after the ``k`` before it."""
+    return grams & np.uint32((1 << 8 * (k + 1)) - 1)
+
+
 @dataclass(frozen=True)
 class Model:
-    """Frozen code lengths: ``cost[state * bytes + class, language]`` in 1/1024 bit, the class of
-    each byte and the state of each run of three classes."""
+    """Frozen code lengths, by order."""
 
     languages: list[str]
-    classes: np.ndarray
-    states: np.ndarray
-    cost: np.ndarray
-
-    @property
-    def n_classes(self) -> int:
-        return int(self.classes.max()) + 1
+    orders: list[Order]
+
+    def _of(self, grams: np.ndarray) -> np.ndarray:
+        """Code length of each gram's last byte in each language."""
+        out = np.zeros((len(grams), len(self.languages)), np.int32)
+        left = np.arange(len(grams))
+        for k in range(ORDER, -1, -1):
+            order = self.orders[k]
+            wanted = _suffix(grams[left], k)
+            at, there = _found(order.grams, wanted)
+            out[left[there]] += order.lengths[at[there]]
+            left, wanted = left[~there], wanted[~there] >> 8
+            at, there = _found(order.contexts, wanted)
+            out[left[there]] += order.escapes[at[there]]
+        out[left] += 8 * UNIT * _FINE
+        return (out + _FINE // 2) // _FINE
 
     def lengths(self, texts: list[bytes]) -> np.ndarray:
         """Code length of each text in each language."""
         out = np.zeros((len(texts), len(self.languages)), np.int64)
-        n = self.n_classes
         for begin, end in _stretches(texts):
-            raw = np.frombuffer(_PAD + _PAD.join(texts[begin:end]), np.uint8)
-            own = self.classes[raw].astype(np.int64)
-            context = (own[:-3] * n + own[1:-2]) * n + own[2:-1]
-            at = self.states[context] * n + own[3:]
+            cost = self._of(_grams(texts[begin:end]))
             sizes = np.array([len(t) for t in texts[begin:end]])
             starts = np.cumsum(sizes + ORDER) - sizes - ORDER
             filled = np.flatnonzero(sizes)
             if len(filled):
                 # Sums from a text's first byte to its last; the padding between is left out.
                 bounds = np.stack([starts[filled], starts[filled] + sizes[filled]], 1).ravel()
-                cost = np.concatenate([self.cost[at], np.zeros((1, out.shape[1]), np.int32)])
+                cost = np.concatenate([cost, np.zeros((1, out.shape[1]), np.int32)])
                 out[begin + filled] = np.add.reduceat(cost, bounds, axis=0, dtype=np.int64)[::2]
         return out
 
 
-def fit(counts: pd.DataFrame, min_share: float = MIN_SHARE) -> Model | None:
-    """The model of gram counts (lang, gram, n)."""
+def fit(counts: pd.DataFrame, min_share: float = 0.0) -> Model | None:
+    """The model of gram counts (lang, gram, n). Contexts of a lower share than ``min_share`` in
+    every language are left out of the model, but not of the counts."""
     if not len(counts):
         return None
     languages = sorted(counts["lang"].unique())
-    lang = np.searchsorted(languages, counts["lang"].to_numpy(str))
-    grams, n = counts["gram"].to_numpy(np.int64), counts["n"].to_numpy(np.int64)
-    parts = [(grams >> 8 * k) & 255 for k in range(ORDER + 1)]  # the byte, then those before it
-    used = np.unique(np.concatenate(parts))
-    classes = np.zeros(256, np.int32)
-    classes[used] = np.arange(1, len(used) + 1)
-    size, total = len(used) + 1, np.bincount(lang, n, len(languages))
-    byte, *before = (classes[p].astype(np.int64) for p in parts)
-
-    # Order 0 first; a state of order k is a context code, its parent the code of order k - 1.
-    states = np.zeros(size**ORDER, np.int32)
-    blocks, parents, known = [], [], np.zeros(1, np.int64)
-    context = np.zeros(len(grams), np.int64)
-    of = np.zeros(1, np.int64)  # state of each known context of the order before
-    first = 0
+    lang = pd.Categorical(counts["lang"], categories=languages).codes
+    grams, n = counts["gram"].to_numpy().astype(np.uint32), counts["n"].to_numpy(np.int64)
+    # Each language's grams in order, so that those of one context stand together.
+    own = []
+    for i in range(len(languages)):
+        keys, inverse = np.unique(grams[lang == i], return_inverse=True)
+        own.append((keys, np.bincount(inverse, n[lang == i], len(keys))))
+
+    orders, before = [], grams[:0]
+    below = np.full((1, len(languages)), 8.0)
     for k in range(ORDER + 1):
-        if k:
-            context = context + before[k - 1] * size ** (k - 1)
-            keys, inverse = np.unique(context, return_inverse=True)
-            share = np.zeros((len(keys), len(languages)))
-            np.add.at(share, (inverse, lang), n)
-            keys = keys[(share >= min_share * total).any(1)]
-            parents.append(of[np.searchsorted(known, keys % size ** (k - 1))])
-            known, of = keys, first + np.arange(len(keys))
-            if k == 1:
-                states.reshape(-1, size)[:, keys] = of
-            elif k == 2:
-                states.reshape(size, -1)[:, keys] = of
-            else:
-                states[keys] = of
-        table = np.zeros((len(known), size, len(languages)))
-        at = np.searchsorted(known, context)
-        at[at == len(known)] = 0
-        mine = known[at] == context
-        np.add.at(table, (at[mine], byte[mine], lang[mine]), n[mine])
-        blocks.append(table)
-        first += len(known)
-
-    chance = np.full((1, size, len(languages)), 1 / 256)
-    costs, before_first = [], 0
-    for k, table in enumerate(blocks):
-        below = chance[parents[k - 1] - before_first] if k else chance
-        if k:
-            before_first += len(blocks[k - 1])
-        seen, kinds = table.sum(1, keepdims=True), (table > 0).sum(1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            chance = np.where(table > 0, table, kinds * below) / (seen + kinds)
-        chance = np.where(seen > 0, chance, below)
-        costs.append(np.rint(-np.log2(chance) * UNIT).astype(np.int32))
-    cost = np.concatenate(costs).reshape(-1, len(languages))
-    return Model(languages, classes, states, np.ascontiguousarray(cost))
+        all_grams = np.unique(_suffix(grams, k))
+        contexts = np.unique(all_grams >> 8)
+        in_context = np.searchsorted(contexts, all_grams >> 8)
+        parent = np.searchsorted(before, _suffix(all_grams, k - 1)) if k else 0
+        bits = np.empty((len(all_grams), len(languages)))
+        escapes = np.zeros((len(contexts), len(languages)))
+        kept = np.zeros(len(contexts), bool)
+        for i, (keys, m) in enumerate(own):
+            keys, inverse = np.unique(_suffix(keys, k), return_inverse=True)
+            m = np.bincount(inverse, m, len(keys))
+            at = np.searchsorted(all_grams, keys)
+            seen = np.bincount(in_context[at], m, len(contexts))
+            kinds = np.bincount(in_context[at], minlength=len(contexts))
+            has = kinds > 0
+            escapes[has, i] = np.log2((seen[has] + kinds[has]) / kinds[has])
+            bits[:, i] = escapes[in_context, i] + np.broadcast_to(below[:, i][parent], len(bits))
+            whole = (seen + kinds)[in_context[at]]
+            bits[at, i] = np.log2(whole / m)
+            kept |= (seen >= min_share * m.sum()) & has
+        lengths, out = (np.rint(x * UNIT * _FINE).astype(np.int32) for x in (bits, escapes))
+        rows = kept[in_context]
+        orders.append(Order(all_grams[rows], lengths[rows], contexts[kept], out[kept]))
+        before, below = all_grams, bits
+    return Model(languages, orders)
 
 
 def remainder(doc_id: str, modulus: int) -> Column:
@@ -189,14 +210,10 @@ def remainder(doc_id: str, modulus: int) -> Column:
 
 
 def learn(docs: DataFrame, chosen: Column) -> Model | None:
-    """The model of the ``chosen`` rows of ``docs`` that have a text and a language. Grams below
-    the pruning share are left out before they reach the driver, which bounds their number."""
+    """The model of the ``chosen`` rows of ``docs`` that have a text and a language. The driver
+    gets a row for each distinct gram of each language."""
     counts = gram_counts(docs.where(chosen & F.col("text").isNotNull() & F.col("lang").isNotNull()))
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("_total"))
-    frequent = counts.join(F.broadcast(totals), "lang").where(
-        F.col("n") >= F.col("_total") * MIN_SHARE / 16
-    )
-    return fit(frequent.select("lang", "gram", "n").toPandas())
+    return fit(counts.toArrow().to_pandas(strings_to_categorical=True))
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -92,6 +92,20 @@ def test_texts_without_letters_are_und(spark, docs):
     assert language.learn(nothing, F.lit(True)) is None
 
 
+def test_rare_grams_of_a_large_language_are_learnt(spark, docs):
+    # More than 2^20 bytes, of which some stand once.
+    own = {"en": b"the cat sat on the mat " * 50_000 + "\u0436\u0443\u043a q".encode(),
+           "fr": b"le chat est l\xc3\xa0"}
+    rows = [(n, lang, own[lang].decode()) for n, lang in enumerate(own)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = language.learn(df, F.lit(True))
+    assert model.languages == ["en", "fr"]
+    text = "the q, chat \u0436\u0443\u043a zz".encode()
+    for lang, length in zip(model.languages, model.lengths([text])[0], strict=True):
+        expected = _code_length([own[lang]], text)
+        assert abs(length / language.UNIT - expected) <= len(text) / language.UNIT
+
+
 def test_held_out_languages(spark):
     df = spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "lang")
     found = op8_language_id(spark, MEDIUM).join(df, "doc_id").where("held_out").toPandas()
