@@ -6,18 +6,20 @@ segment, so a document is cut into overlapping segments and equal windows of two
 in segments of one anchor.
 
 1. Anchors are counted over all documents; those of two or more documents may recur. A filter of
-   bounded size holds them.
-2. Segments whose anchor may recur go to their anchor's shard, each text once per stretch of
-   documents with its first and last document. There, recurring passages are confirmed word by
+   bounded size holds them. An anchor of more than ``SHARD_SEGMENTS`` segments is common: from here
+   on each of its windows is a segment of its own.
+2. Segments whose anchor may recur go to their anchor's shard, or by their own digest if it is
+   common, each text once per stretch of documents with its first and last document. There, recurring passages are confirmed word by
    word: an Aho-Corasick automaton is compiled of the windows of a bounded number of segments,
-   whole anchors at a time, with each window's first document, and the segments are streamed
+   whole anchors at a time but for common ones, with each window's first document, and the segments are streamed
    through it. What comes out is, for every segment that recurs, the first document of each of
    its windows.
 3. All documents are streamed again; their segments find those by (anchor, digest of the
    segment's words), and the windows whose first document is an earlier one are cut.
 
 A passage that a third of all documents share is one segment text in step 2; in step 3 it is a
-skewed join that adaptive execution splits. A shard task holds one automaton.
+skewed join that adaptive execution splits. A phrase that they hold in differing surroundings is a
+common anchor, whose windows are spread over the shards. A shard task holds one automaton.
 
 Words are runs of bytes other than white space (0x20, 0x09 to 0x0D). Null texts and texts without
 words have none. Rows without a doc_id are neither earlier nor later: they stay whole and cut
@@ -46,7 +48,8 @@ ANCHOR_WORDS = 6
 # 13 - 6 + 1: the places of the anchor in a window, a power of two for the running minimum.
 _PLACES = WINDOW - ANCHOR_WORDS + 1
 
-# Segments an automaton is compiled of, but for those of one anchor, which stay together.
+# An automaton is compiled of fewer segments than twice this, since no anchor has more that stay
+# together. They have at most 20 words each, so the words are fewer than there are characters.
 SHARD_SEGMENTS = 20_000
 
 # Segments that are combined before they are sent, and text handled at a time.
@@ -54,9 +57,10 @@ COMBINED_SEGMENTS = 100_000
 _STRETCH = 1 << 20
 
 class Segments:
-    """The segments of a stretch of texts: of which text, first word, windows, anchor, digest."""
+    """The segments of a stretch of texts: of which text, first word, windows, anchor, digest.
+    Those of the anchors ``common``, which are sorted, have one window."""
 
-    def __init__(self, texts: list[bytes]) -> None:
+    def __init__(self, texts: list[bytes], common: np.ndarray | None = None) -> None:
         split = [t.split() for t in texts]
         self.text = b" ".join(b" ".join(words) for words in split)
         counts = np.fromiter(map(len, split), np.int64, len(split))
@@ -80,7 +84,12 @@ class Segments:
         fresh[1:] = (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1])
         run = np.flatnonzero(fresh)
         place = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
-        begin = np.flatnonzero(place % _PLACES == 0)
+        often = np.zeros(len(at), bool)
+        if common is not None and len(common):
+            near = np.minimum(np.searchsorted(common, anchor[run]), len(common) - 1)
+            often = np.repeat(common[near] == anchor[run], np.diff(np.append(run, len(at))))
+        begin = np.flatnonzero((place % _PLACES == 0) | often)
+        self.common = often[begin]
         self.of, self.word, self.anchor = of[begin], at[begin], anchor[begin]
         self.windows = np.diff(np.append(begin, len(at)))
         self.place = self.word - first[self.of]
@@ -94,19 +103,21 @@ class Segments:
         return self.text[self.starts[self.word[i]] : self.ends[last]]
 
 
-def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, Segments]]:
+def _stretches(
+    batch: pa.RecordBatch, common: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, Segments]]:
     """Rows and segments, some text at a time."""
     rows, texts, size = [], [], 0
     for i, text in enumerate(batch.column("text")):
         data = (text.as_py() or "").encode()
         if texts and size + len(data) > _STRETCH:
-            yield np.array(rows), Segments(texts)
+            yield np.array(rows), Segments(texts, common)
             rows, texts, size = [], [], 0
         rows.append(i)
         texts.append(data)
         size += len(data)
     if texts:
-        yield np.array(rows), Segments(texts)
+        yield np.array(rows), Segments(texts, common)
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -114,7 +125,7 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """anchor, first, last: the first and last document of each."""
+    """anchor, first, last, n: the first and last document of each, and its segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,39 +138,45 @@ def anchors(docs: DataFrame) -> DataFrame:
 
     placed = docs.select("doc_id", "text").mapInArrow(run, "anchor long, doc_id long")
     return placed.groupBy("anchor").agg(
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")
     )
 
 
 def _combined(rows: list[tuple[np.ndarray, ...]], texts: list[bytes]) -> pa.RecordBatch:
     """Each segment text once, with its first and last document."""
-    anchor, key, doc = (np.concatenate(x) for x in zip(*rows, strict=True))
+    anchor, key, doc, common = (np.concatenate(x) for x in zip(*rows, strict=True))
     order = np.lexsort((doc, key, anchor))
-    anchor, key, doc = anchor[order], key[order], doc[order]
+    anchor, key, doc, common = anchor[order], key[order], doc[order], common[order]
     fresh = np.ones(len(order), bool)
     fresh[1:] = (anchor[1:] != anchor[:-1]) | (key[1:] != key[:-1])
     begin = np.flatnonzero(fresh)
     last = np.append(begin[1:], len(order)) - 1
     return pa.RecordBatch.from_arrays(
         [
-            _signed(anchor[begin]), _signed(key[begin]),
+            _signed(anchor[begin]), _signed(np.where(common[begin], key[begin], U(0))),
+            _signed(key[begin]),
             pa.array([texts[i] for i in order[begin]], pa.binary()),
             pa.array(doc[begin]), pa.array(doc[last]),
         ],
-        names=["anchor", "key", "words", "first", "last"],
+        names=["anchor", "part", "key", "words", "first", "last"],
     )
 
 
-def segments(docs: DataFrame, filter_words) -> DataFrame:
-    """anchor, key, words, first, last: segments that may recur, combined by stretch."""
+def segments(docs: DataFrame, shared) -> DataFrame:
+    """anchor, part, key, words, first, last: segments that may recur, combined by stretch.
+    ``shared`` has the filter's words and the common anchors, whose segments' part is their key;
+    others have part 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, often = shared.value
         rows, texts = [], []
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
-            for of, found in _stretches(batch):
-                may = np.flatnonzero(bloom.passes(filter_words.value, found.anchor))
-                rows.append((found.anchor[may], found.key[may], ids[of][found.of[may]]))
+            for of, found in _stretches(batch, often):
+                may = np.flatnonzero(bloom.passes(words, found.anchor))
+                rows.append(
+                    (found.anchor[may], found.key[may], ids[of][found.of[may]], found.common[may])
+                )
                 texts += [found.words(i) for i in may.tolist()]
                 if len(texts) >= COMBINED_SEGMENTS:
                     yield _combined(rows, texts)
@@ -168,7 +185,7 @@ def segments(docs: DataFrame, filter_words) -> DataFrame:
             yield _combined(rows, texts)
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "anchor long, key long, words binary, first long, last long"
+        run, "anchor long, part long, key long, words binary, first long, last long"
     )
 
 
@@ -183,7 +200,7 @@ class _Symbols(dict):
 
 def first_documents(held: dict[tuple[int, int], list]) -> Iterator[tuple[int, int, list[int]]]:
     """anchor, key and the first document of each window, for the segments that recur. ``held``
-    has (words, first, last) by anchor and key, whole anchors.
+    has (words, first, last) by anchor and key, whole anchors or segments of one window.
 
     A segment that is its anchor's only one is a phrase as a whole; of others, that may share but
     some windows, each window is. No phrase of one anchor lies in a segment of another.
@@ -218,7 +235,7 @@ def recurring(found: DataFrame, partitions: int) -> DataFrame:
         at = None
 
         def close_group() -> None:
-            # An anchor of one document was let pass by chance.
+            # An anchor of one document was let pass by chance, or a common one's window is of one.
             if min(x[1] for x in group.values()) < max(x[2] for x in group.values()):
                 held.update(group)
             group.clear()
@@ -236,15 +253,14 @@ def recurring(found: DataFrame, partitions: int) -> DataFrame:
             )
 
         for batch in batches:
-            for anchor, key, words, first, last in zip(
-                *(batch.column(c).to_pylist() for c in ("anchor", "key", "words", "first", "last")),
-                strict=True,
+            for anchor, part, key, words, first, last in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True
             ):
-                if anchor != at and group:
+                if (anchor, part) != at and group:
                     close_group()
                     if len(held) >= SHARD_SEGMENTS:
                         yield flush()
-                at = anchor
+                at = anchor, part
                 seen = group.setdefault((anchor, key), [words, first, last])
                 seen[1], seen[2] = min(seen[1], first), max(seen[2], last)
         if group:
@@ -252,20 +268,22 @@ def recurring(found: DataFrame, partitions: int) -> DataFrame:
         if held:
             yield flush()
 
-    sharded = found.repartition(partitions, "anchor").sortWithinPartitions("anchor")
+    by = ["anchor", "part"]
+    sharded = found.repartition(partitions, *by).sortWithinPartitions(*by)
     return sharded.mapInArrow(run, "anchor long, key long, firsts array<long>")
 
 
-def cuts(docs: DataFrame, filter_words, firsts: DataFrame) -> DataFrame:
+def cuts(docs: DataFrame, shared, firsts: DataFrame) -> DataFrame:
     """doc_id, text_key, cuts (place, mask): the windows of each text to cut, bit j of a mask
     for the window that starts j words after the place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, often = shared.value
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
             keys = batch.column("text_key").to_numpy()
-            for of, found in _stretches(batch):
-                may = bloom.passes(filter_words.value, found.anchor)
+            for of, found in _stretches(batch, often):
+                may = bloom.passes(words, found.anchor)
                 row = of[found.of[may]]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -318,10 +336,15 @@ def dedup(docs: DataFrame) -> DataFrame:
     added = T.StructType().add("n_words", "long").add("n_removed", "long").add("kept", "string")
     docs = docs.drop(*added.names)
     judged = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
-    shared = staged(anchors(judged).where("first < last").select("anchor"), "anchors")
-    words = spark.sparkContext.broadcast(bloom.build(shared, "anchor", shared.count()))
-    firsts = recurring(segments(judged, words), shuffle_partitions(spark))
-    found = cuts(judged, words, firsts)
+    # A common anchor of one document is among them, as the filter may let it pass by chance.
+    common = (F.col("n") > SHARD_SEGMENTS).alias("common")
+    counted = anchors(judged).select("anchor", "first", "last", common)
+    met = staged(counted.where("first < last or common").select("anchor", "common"), "anchors")
+    words = bloom.build(met, "anchor", met.count())
+    often = np.sort(met.where("common").toPandas()["anchor"].to_numpy(np.int64).view(U))
+    shared = spark.sparkContext.broadcast((words, often))
+    firsts = recurring(segments(judged, shared), shuffle_partitions(spark))
+    found = cuts(judged, shared, firsts)
     # Whole rows travel in one column, so that no column of theirs meets one of ours.
     rows = docs.select(F.struct("*").alias("row"))
     same = (rows["row.doc_id"] == found["doc_id"]) & (

@@ -31,6 +31,27 @@ def test_automata_shards_do_not_matter(docs, pairs, collected, monkeypatch):
     assert collected(_removed(found), "*") == sorted(brute.substring_dedup(pairs), key=repr)
 
 
+def test_a_phrase_in_differing_surroundings_is_spread(spark, docs, collected, monkeypatch):
+    phrases = [" ".join(f"c{n}w{j}" for j in range(12)) for n in range(3000)]
+    phrase = min(phrases, key=lambda p: substring_dedup.Segments([f"{p} z".encode()]).anchor[0])
+    texts = [f"a{n} b{n % 200} {phrase} d{n % 200} e{n}" for n in range(300)]
+    held = substring_dedup.Segments([t.encode() for t in texts]).anchor
+    assert np.unique(held, return_counts=True)[1].max() >= 300
+    plain, most = substring_dedup.first_documents, 40
+    monkeypatch.setattr(substring_dedup, "SHARD_SEGMENTS", most)
+
+    def bounded(held):
+        assert len(held) < 2 * most
+        return plain(held)
+
+    monkeypatch.setattr(substring_dedup, "first_documents", bounded)
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = _removed(substring_dedup.dedup(df))
+    expected = sorted(brute.substring_dedup(rows), key=repr)
+    assert collected(found, "*") == expected and sum(r[2] > 0 for r in expected) == 100
+
+
 def test_rows_that_share_an_id_and_rows_without(spark, docs, collected):
     passage = " ".join(f"p{n}" for n in range(20))
     rows = [(1, passage), (1, passage), (1, passage + " x"), (None, passage), (2, passage), (3, None)]
