@@ -487,9 +487,10 @@ def jsonl_bare_nan(i: Inputs) -> DataFrame:
 
 @_query
 def json_array_round_trip(i: Inputs) -> DataFrame:
-    """Songs as files that hold one JSON array each, several lines long."""
+    """Songs as files that hold one JSON array each, several lines long, of ids close together, so
+    that there are more arrays in a larger table and not longer ones."""
     folder = fresh_folder(i.spark, "array")
-    songs = i.songs_dirty.groupBy((F.col("id") % 4).alias("part")).agg(
+    songs = i.songs_dirty.groupBy(F.expr("id div 10000").alias("part")).agg(
         F.to_json(
             F.collect_list(F.struct("*")), {"ignoreNullFields": "false", "pretty": "true"}
         ).alias("value")
