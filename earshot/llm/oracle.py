@@ -1,6 +1,6 @@
 """DuckDB equivalents of the queries that SQL can express.
 
-The others have none: XXH64 (op3), tokenizers (op2, op7), mined rules (op6) and learnt models (op8,
+The others have none: XXH64 (op3), tokenizers (op2, op7, op12), mined rules (op6) and learnt models (op8,
 op9) are tested against plain code, round trips or held-out accuracy.
 """
 
@@ -161,10 +161,88 @@ FROM scored
 QUALIFY rank <= 20"""
 
 
+_FINITE = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _coded(n: int) -> str:
+    """Every part's nearest entry of the books after ``n`` rounds."""
+    return f"""coded{n} AS (
+  SELECT row, p, any_value(part) AS part, min(struct_pack(d := d, e := e)) AS best
+  FROM (SELECT row, c.p, c.part, e,
+               CAST(list_inner_product(c.part, c.part) - 2 * list_inner_product(c.part, b.part)
+                    + list_inner_product(b.part, b.part) AS BIGINT) AS d
+        FROM cuts c JOIN book{n} b ON c.p = b.p)
+  GROUP BY row, p
+)"""
+
+
+def _moved(n: int) -> str:
+    """The books of the next round."""
+    return f"""book{n + 1} AS (
+  SELECT b.p, b.e, coalesce(m.part, b.part) AS part
+  FROM book{n} b LEFT JOIN (
+    SELECT p, e, list(mean ORDER BY j) AS part
+    FROM (SELECT p, best.e AS e, j, floor(sum(part[j]) / count(*)) AS mean
+          FROM (SELECT p, best, part, unnest(range(1, len(part) + 1)) AS j FROM coded{n})
+          GROUP BY p, best.e, j)
+    GROUP BY p, e
+  ) m ON b.p = m.p AND b.e = m.e
+)"""
+
+
+_OP11 = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row, vec_id, label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND {_FINITE}
+), cuts AS (
+  SELECT row, p, list_slice(v, p * (len(v) // 16) + 1, (p + 1) * (len(v) // 16)) AS part
+  FROM kept, range(16) t(p)
+), book0 AS (
+  SELECT p, row AS e, part FROM cuts WHERE row < 64
+), {_coded(0)}, {_moved(0)}, {_coded(1)}, {_moved(1)}, {_coded(2)}, books AS (
+  SELECT sha256(string_agg(CAST(CAST(part[j] AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, j)) AS hash
+  FROM (SELECT p, e, part, unnest(range(1, len(part) + 1)) AS j FROM book2)
+), codes AS (
+  SELECT row, string_agg(lower(lpad(to_hex(best.e), 2, '0')), '' ORDER BY p) AS code,
+         CAST(sum(best.d) AS BIGINT) AS error
+  FROM coded2 GROUP BY row
+)
+SELECT vec_id, code, error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       hash AS codebooks_sha256
+FROM kept JOIN codes USING (row), books"""
+
+_OP13 = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS row, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND {_FINITE}
+), scored AS (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, a.label = c.label AS same, c.row AS other,
+         c.vec_id AS id, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM kept a JOIN kept c ON a.row != c.row AND len(a.v) = len(c.v)
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, other) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.other
+                               ORDER BY n.score DESC, n.id, n.other) AS INTEGER) AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.anchor = n.anchor
+WHERE NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op1_substring_dedup": _OP1,
         "op4_benchmark_decontamination": _OP4,
         "op5_sharding": _OP5,
         "op10_top_k": _OP10,
+        "op11_vector_codes": _OP11,
+        "op13_hard_negatives": _OP13,
     }

@@ -128,6 +128,33 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from earshot.llm.vector_codes import compress
+
+    prepare(spark)
+    coded = compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from earshot.llm.token_counts import count_tokens
+
+    prepare(spark)
+    return count_tokens(
+        table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), 2048
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from earshot.llm.negatives import mine
+
+    prepare(spark)
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 def all_queries() -> dict[str, Query]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))

@@ -122,3 +122,80 @@ def top_k(rows, k=20):
             scores = sorted((-int(x @ y), i) for i, y in ok if i != q and len(x) == len(y))
             out += [(q, r, i, -s) for r, (s, i) in enumerate(scores[:k], 1)]
     return out
+
+
+def _integers(vector, scale):
+    from fractions import Fraction
+
+    if vector is None or any(x is None or not np.isfinite(x) for x in vector):
+        return None
+    return [int(Fraction(x) * scale // 1) for x in vector]
+
+
+def vector_codes(rows, rounds=2):
+    """(vec_id, code, error, label_error, codebooks_sha256) of (vec_id, vector, label)."""
+    kept = [(i, v, g) for i, x, g in rows if (v := _integers(x, 256)) is not None]
+    if not kept:
+        return []
+    dim = -(-max(len(v) for _, v, _ in kept) // 16)
+    cuts = []
+    for _, v, _ in kept:
+        v = v + [0] * (16 * dim - len(v))
+        cuts.append([v[p * dim : (p + 1) * dim] for p in range(16)])
+    first = sorted((i, x, n) for n, (i, x, _) in enumerate(rows_kept(rows)) if i is not None)[:64]
+    books = [[cuts[n][p] for _, _, n in first] for p in range(16)]
+
+    def nearest(part, book):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e)), n) for n, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(16):
+            members = defaultdict(list)
+            for c in cuts:
+                members[nearest(c[p], books[p])[1]].append(c[p])
+            for e, parts in members.items():
+                books[p][e] = [sum(x) // len(parts) for x in zip(*parts)]
+    digest = hashlib.sha256(
+        ",".join(str(x) for book in books for e in book for x in e).encode()
+    ).hexdigest()
+    found = [[nearest(c[p], books[p]) for p in range(16)] for c in cuts]
+    errors, by_label = [], defaultdict(list)
+    for (_, _, g), f in zip(kept, found):
+        error = sum(d for d, _ in f)
+        errors.append(error if error < 2**63 else None)
+        by_label[g].append(errors[-1])
+    total = {g: None if None in e or sum(e) >= 2**63 else sum(e) for g, e in by_label.items()}
+    return [
+        (i, "".join(f"{e:02x}" for _, e in f), error, total[g], digest)
+        for (i, _, g), f, error in zip(kept, found, errors)
+    ]
+
+
+def rows_kept(rows):
+    return [r for r in rows if _integers(r[1], 256) is not None]
+
+
+def hard_negatives(rows):
+    """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) of (vec_id,
+    vector, label)."""
+    kept = [
+        (i, v, g) for i, x, g in rows if g is not None and (v := _integers(x, 256)) is not None
+    ]
+    last = 2**63
+
+    def best(scored, k=5):
+        return sorted(scored, key=lambda s: (-s[0], last if s[1] is None else s[1]))[:k]
+
+    out = []
+    for n, (a, x, g) in enumerate(kept):
+        if a is None or a % 100:
+            continue
+        scored = [
+            (max(-last, min(last - 1, sum(p * q for p, q in zip(x, y)))), i, h)
+            for m, (i, y, h) in enumerate(kept)
+            if m != n and len(x) == len(y)
+        ]
+        for p, i, _ in best(s for s in scored if s[2] == g):
+            inside = (s for s in scored if s[2] != g and 80 * p <= 100 * s[0] <= 100 * p)
+            out += [(a, i, r, j, p, s) for r, (s, j, _) in enumerate(best(inside), 1)]
+    return out

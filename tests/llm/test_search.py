@@ -209,7 +209,9 @@ def test_mined_rules(spark, docs):
 
 
 @pytest.mark.parametrize(
-    "name", ["op4_benchmark_decontamination", "op5_sharding", "op10_top_k", "op1_substring_dedup"]
+    "name",
+    ["op4_benchmark_decontamination", "op5_sharding", "op10_top_k", "op1_substring_dedup",
+     "op11_vector_codes", "op13_hard_negatives"],
 )
 def test_queries_equal_their_sql(spark, name):
     from checks.compare import connect, difference

@@ -8,10 +8,13 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from earshot.llm import packing, token_files
+from earshot.llm import packing, token_counts, token_files
+from earshot.llm.queries import all_queries
 from earshot.llm.tokens import PieceEncoder
 from tests.conftest import SMALL
 from tests.llm import brute
@@ -144,3 +147,79 @@ def test_open_windows_are_bounded(monkeypatch):
         assert packer._count.sum() <= 6
     laid += packer.close()
     assert sum(len(p[2]) for held in laid for p in held) == 2000
+
+
+# --- token counts
+
+COUNTED = ("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def counted(rows, limit):
+    tokenizer = Tokenizer.from_file(WORDS)
+    out = []
+    for d, text in rows:
+        n = len(tokenizer.encode(text or "", add_special_tokens=False).ids)
+        out.append((d, len((text or "").encode()), n, n > limit))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("stretch", [1 << 20, 7])
+def test_counts_are_the_tokenizers(spark, docs, pairs, collected, monkeypatch, stretch):
+    monkeypatch.setattr(token_counts, "CHARS_AT_ONCE", stretch)
+    found = token_counts.count_tokens(docs, WORDS, 5)
+    assert collected(found, *COUNTED) == counted(pairs, 5)
+    twice = token_counts.count_tokens(docs.unionByName(docs), WORDS, 5)
+    assert twice.count() == 2 * len(pairs)
+    assert token_counts.count_tokens(docs.limit(0), WORDS, 5).count() == 0
+
+
+def test_given_documents_are_counted(spark, collected):
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    found = all_queries()["op12_token_counts"](spark, SMALL)
+    assert collected(found, *COUNTED) == counted(rows, 2048)
+
+
+def test_whole_tokens_are_proved():
+    tokenizer = Tokenizer.from_file(WORDS)
+    whole = token_counts.whole_tokens(WORDS)
+    assert len(whole) > 30_000 and len(set(whole)) == len(whole)
+    assert all(len(x.ids) == 1 for x in tokenizer.encode_batch(whole, add_special_tokens=False))
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return token_counts.Counter(WORDS, frozenset(token_counts.whole_tokens(WORDS)))
+
+
+def test_every_character_up_to_ff_is_split_alike(counter):
+    tokenizer = Tokenizer.from_file(WORDS)
+    for code in range(256):
+        for text in (chr(code), f"a{chr(code)}1", f"{chr(code)}{chr(code)}'s", f"x {chr(code)} y"):
+            expected = len(tokenizer.encode(text, add_special_tokens=False).ids)
+            assert counter.count(text) == expected, repr(text)
+
+
+_BITS = st.sampled_from(
+    ["the", "Zürich", "é", "́", " ", "  ", "\n", "\x1c", " ", "　", "'S", "'re",
+     "12", "½", "!?", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "漢字", "İ", "K", "ΑΣ", "\U0001f600",
+     "\x00", "﻿", "​", "ą́", "가", "가"]
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(_BITS, st.text(max_size=4)), max_size=12), st.integers(1, 9))
+def test_any_text_is_counted(counter, bits, stretch):
+    text = "".join(bits)
+    expected = len(counter._tokenizer.encode(text, add_special_tokens=False).ids)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(token_counts, "CHARS_AT_ONCE", stretch)
+        assert counter.count(text) == expected
+
+
+def test_merges_are_remembered_within_a_bound(monkeypatch):
+    monkeypatch.setattr(token_counts, "MOST_KNOWN", 3)
+    counter = token_counts.Counter(WORDS, frozenset())
+    text = " ".join(f"word{chr(97 + n)}xq" for n in range(20)) + " " + "z" * 500
+    expected = len(Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids)
+    assert counter.count(text) == expected and len(counter._known) <= 3
