@@ -403,7 +403,7 @@ def all_oracles() -> dict[str, str]:
             "SELECT CAST(user_id AS INTEGER) AS user_id, track_id, "
             f"{_text('listen_time')} AS listen_time FROM streams",
         ),
-        "land_and_read_day": _sql(
+        **dict.fromkeys(("land_and_read_day", "landed_day_manifest"), _sql(
             [_STREAMS],
             "SELECT CAST(user_id AS INTEGER) AS user_id, track_id, "
             f"{_text('listen_time')} AS listen_time, "
@@ -412,7 +412,7 @@ def all_oracles() -> dict[str, str]:
                 for p in ("year", "month", "day", "hour")
             )
             + " FROM streams WHERE CAST(listen_time AS DATE) = DATE '2024-01-15'",
-        ),
+        )),
         "landed_hours": _sql(
             [_STREAMS],
             "SELECT "
@@ -488,6 +488,30 @@ def all_oracles() -> dict[str, str]:
             "SELECT * REPLACE (CAST(listen_date AS VARCHAR) AS listen_date) "
             f"FROM ({_DAILY_GENRE_KPI})",
         ),
+        "listeners_bitmap_genre": _sql(
+            _FACT_DIRTY,
+            "SELECT track_genre, count(DISTINCT user_id) AS unique_listeners FROM fact GROUP BY ALL",
+        ),
+        "listeners_bitmap_hourly": _sql(
+            _FACT_DIRTY,
+            "SELECT CAST(listen_date AS VARCHAR) AS listen_date, listen_hour, "
+            "count(DISTINCT user_id) AS unique_listeners FROM fact GROUP BY ALL",
+        ),
+        "partial_genre_kpi": _sql(_FACT_DIRTY, _genre_kpi("clean_songs")),
+        "partial_hourly_kpi": _sql(
+            _FACT_DIRTY,
+            f"SELECT * REPLACE (CAST(listen_date AS VARCHAR) AS listen_date) FROM ({_HOURLY_KPI})",
+        ),
+        "partial_daily_genre_kpi": _sql(
+            _FACT_DIRTY,
+            "SELECT * REPLACE (CAST(listen_date AS VARCHAR) AS listen_date) "
+            f"FROM ({_DAILY_GENRE_KPI})",
+        ),
+        "approx_listeners": _sql(
+            _FACT_DIRTY,
+            "SELECT listen_hour, count(DISTINCT user_id) AS unique_listeners, "
+            "TRUE AS within_error, TRUE AS same_from_one_part FROM fact GROUP BY listen_hour",
+        ),
         "rerun_audit": _sql(
             _CLEANED,
             "SELECT CAST(user_id AS INTEGER) AS user_id, track_id, "

@@ -22,7 +22,11 @@ def arguments(given: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--tables", help="folder for the tables' files; default: warehouse")
     parser.add_argument("--exports", help="folder for cleaned CSV and JSON; default: none")
     parser.add_argument(
-        "--through-log", action="store_true", help="read the landing through its commit log"
+        "--listed-by", default="folder", choices=["folder", "log", "manifest"],
+        help="what tells the landing day's files",
+    )
+    parser.add_argument(
+        "--partials", action="store_true", help="store the day's mergeable partials too"
     )
     parser.add_argument(
         "--rebalance", action=argparse.BooleanOptionalAction,
@@ -41,7 +45,9 @@ def main(given: Sequence[str] | None = None) -> None:
         **{f.name: getattr(args, f.name) for f in dataclasses.fields(daily.Locations)}
     )
     tables = views.Tables(args.database)
-    report = daily.run(spark, places, args.day, args.reference, tables, args.rebalance)
+    report = daily.run(
+        spark, places, args.day, args.reference, tables, args.rebalance, args.partials
+    )
     print(json.dumps(dataclasses.asdict(report)))
 
 

@@ -16,16 +16,15 @@ _ROW_BYTES, _VALUE_BYTES = 32, 16
 # A key with more event rows than this is cut into slices of about this many rows.
 ROWS_PER_SLICE = 1_000_000
 
+
 def is_small(lookup: DataFrame) -> bool:
-    """Whether a lookup is within the broadcast bounds, measured. Runs a job for its rows and,
-    if they are few, one for the length of its text."""
-    rows = lookup.count()
-    if rows > BROADCAST_ROWS:
-        return False
+    """Whether a lookup is within the broadcast bounds, measured: one aggregate counts its rows
+    and sums the length of its text."""
     text = [f.name for f in lookup.schema.fields if isinstance(f.dataType, T.StringType)]
     lengths = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in text]
-    measured = sum(lookup.agg(*lengths).first()) if text else 0
-    return measured + rows * (_ROW_BYTES + _VALUE_BYTES * len(lookup.columns)) <= BROADCAST_BYTES
+    rows, *measured = lookup.agg(F.count("*"), *lengths).first()
+    size = sum(measured) + rows * (_ROW_BYTES + _VALUE_BYTES * len(lookup.columns))
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
 def key_counts(events: DataFrame, key: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +11,13 @@ from pyspark.sql import functions as F
 from earshot import schemas
 from earshot.functions.columns import WEEK_REFERENCE
 from earshot.operators.lookup import key_counts
-from earshot.operators.profiling import null_profile
-from earshot.plans import dims, enrich, facts, kpi, views
+from earshot.operators.profiling import Counted
+from earshot.plans import dims, enrich, facts, kpi, partials, views
 from earshot.session import configure, fresh_folder, remove_folder, size_shuffles, stage
 from earshot.sinks.files import write_audit, write_csv, write_jsonl
 from earshot.sinks.tables import write_fact, write_table
-from earshot.sources.files import read_hour_partitions, read_jsonl
+from earshot.sources.files import hour_records, text_records
+from earshot.sources.records import stage_records
 
 # Fixed value: the landing day read unless another is asked for.
 LANDING_DAY = dt.date(2025, 6, 20)
@@ -36,8 +36,8 @@ class Locations:
     audits: str
     tables: str | None = None
     exports: str | None = None
-    # Whether ``landing`` was written by ``land_records`` and is read through its commit log.
-    through_log: bool = False
+    # What tells the landing day's files: folder, log or manifest (``hour_records``).
+    listed_by: str = "folder"
 
 
 @dataclass(frozen=True)
@@ -67,29 +67,38 @@ def run(
     reference: dt.date | str = WEEK_REFERENCE,
     tables: views.Tables = views.Tables(),
     rebalance: bool | None = None,
+    keep_partials: bool = False,
 ) -> Report:
     """Read one landing day and the current songs and users, and bring the tables up to date.
 
     A second run of the same day replaces what the first one wrote. Columns the files have beyond
-    the schemas are kept.
+    the schemas are kept. Each file's text is read and parsed once.
     """
     configure(spark)
-    songs = read_jsonl(spark, places.songs, schemas.SONGS, further=True)
-    users = read_jsonl(spark, places.users, schemas.USERS, further=True)
-    streams = read_hour_partitions(
-        spark, places.landing, day, schemas.STREAMS, False, places.through_log, further=True
+    folder = fresh_folder(spark, f"daily-{day}")
+    texts = {
+        "songs": (text_records(spark, places.songs), schemas.SONGS),
+        "users": (text_records(spark, places.users), schemas.USERS),
+        "streams": (
+            hour_records(spark, places.landing, day, places.listed_by), schemas.STREAMS
+        ),
+    }
+    received = {
+        name: Received(*stage_records(records, schema, f"{folder}/received_{name}"))
+        for name, (records, schema) in texts.items()
+    }
+    return _load(
+        spark, received, places, day, reference, tables, rebalance, keep_partials, folder
     )
-    return load(spark, songs, users, streams, places, day, reference, tables, rebalance)
 
 
-def _received(frames: Mapping[str, DataFrame]) -> tuple[dict[str, int], dict[str, dict[str, int]]]:
-    """Rows and missing values per column of each table, in one pass over each."""
-    rows, missing = {}, {}
-    for name, df in frames.items():
-        marked = df.withColumn("_rows", F.lit(None).cast("int"))
-        found = dict(map(tuple, null_profile(marked).collect()))
-        rows[name], missing[name] = found.pop("_rows"), found
-    return rows, missing
+@dataclass(frozen=True)
+class Received:
+    """A table as it came, typed and staged, with its rows and missing values per column."""
+
+    df: DataFrame
+    rows: int
+    missing: dict[str, int]
 
 
 def load(
@@ -102,19 +111,43 @@ def load(
     reference: dt.date | str = WEEK_REFERENCE,
     tables: views.Tables = views.Tables(),
     rebalance: bool | None = None,
+    keep_partials: bool = False,
 ) -> Report:
-    """The same from typed frames.
+    """The same from typed frames, which are staged first and counted as they are written.
 
     The clean frames are staged as Parquet in a folder of this run's own, in the one the cluster
     shares; it is removed when all is written, and left for inspection if the job fails. An event
     that another load day has stored is left out, so a play counts once however often it lands.
     The clean lookups are measured where they are staged, and their sizes choose how they are
     joined; rows per key are counted once, for the joins and the audits. Without ``rebalance``
-    the number of listening dates decides.
+    the number of listening dates decides. ``keep_partials`` stores the day's mergeable partials
+    too, and views over them.
     """
     configure(spark)
-    day = dt.date.fromisoformat(str(day))
     folder = fresh_folder(spark, f"daily-{day}")
+    received = {}
+    for name, df in (("songs", songs), ("users", users), ("streams", streams)):
+        counted = Counted(df)
+        staged = stage(counted.df, f"{folder}/received_{name}")
+        received[name] = Received(staged, counted.rows, counted.missing)
+    return _load(
+        spark, received, places, day, reference, tables, rebalance, keep_partials, folder
+    )
+
+
+def _load(
+    spark: SparkSession,
+    received: dict[str, Received],
+    places: Locations,
+    day: dt.date | str,
+    reference: dt.date | str,
+    tables: views.Tables,
+    rebalance: bool | None,
+    keep_partials: bool,
+    folder: str,
+) -> Report:
+    day = dt.date.fromisoformat(str(day))
+    songs, users, streams = (received[name].df for name in ("songs", "users", "streams"))
 
     def staged(name: str, df: DataFrame) -> DataFrame:
         return stage(df, f"{folder}/{name}")
@@ -122,26 +155,30 @@ def load(
     def location(table: str) -> str | None:
         return f"{places.tables}/{table}" if places.tables else None
 
-    received, missing = _received({"songs": songs, "users": users, "streams": streams})
-    size_shuffles(spark, max(received.values()))
+    size_shuffles(spark, max(x.rows for x in received.values()))
     users = enrich.told_apart(users, "user_", schemas.USER_KEY, songs)
     streams = enrich.told_apart(streams, "event_", schemas.STREAM_KEY, users, songs)
     clean_users = staged("users", enrich.clean_users(users))
     clean_songs = staged("songs", enrich.clean_songs(songs))
-    clean = enrich.clean_streams(streams)
+    clean = staged("clean", enrich.clean_streams(streams))
+    dates = clean.select(F.to_date("listen_time").alias("listen_date")).distinct()
+    few = [r["listen_date"] for r in dates.limit(FEW_DATES + 1).collect()]
+    if rebalance is None:
+        rebalance = len(few) > FEW_DATES
     if spark.catalog.tableExists(tables.fact):
         others = spark.table(tables.fact).where(F.col("load_date") != F.lit(day))
-        clean = enrich.not_yet_stored(clean, others)
-    clean = staged("streams", clean)
+        known = enrich.same_dates(others, few if len(few) <= FEW_DATES else dates)
+        if not known.isEmpty():
+            clean = staged("streams", enrich.not_yet_stored(clean, known))
     counts = {k: staged(f"rows_{k}", key_counts(clean, k)) for k in ("user_id", "track_id")}
     sizes = enrich.Sizes()
 
     enriched = enrich.enrich_streams(clean, clean_users, clean_songs, "inner", sizes, counts)
-    if rebalance is None:
-        dates = clean.select(F.to_date("listen_time")).distinct().limit(FEW_DATES + 1).count()
-        rebalance = dates > FEW_DATES
     fact = facts.fact_streams(enriched)
-    write_fact(fact, tables.fact, day, location("fact_streams"), rebalance)
+    rows = received["streams"].rows
+    write_fact(fact, tables.fact, day, location("fact_streams"), rebalance, rows)
+    if keep_partials:
+        partials.store_day(spark, tables, day, places.tables)
     write_table(dims.dim_users(clean_users, reference), tables.users, location("dim_users"))
     write_table(dims.dim_songs(clean_songs), tables.songs, location("dim_songs"))
 
@@ -161,16 +198,16 @@ def load(
     totals = kpi.reconcile_totals(spark.table(tables.fact)).first()
 
     report = Report(
-        songs=received["songs"],
-        users=received["users"],
-        streams=received["streams"],
+        songs=received["songs"].rows,
+        users=received["users"].rows,
+        streams=received["streams"].rows,
         clean_streams=counts["user_id"].agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0],
-        missing_values=missing,
+        missing_values={name: x.missing for name, x in received.items()},
         missing_users=unmatched["missing_users"],
         missing_songs=unmatched["missing_songs"],
         daily_total=totals["daily_total"],
         overall_total=totals["overall_total"],
-        views=tuple(views.create_views(spark, tables)),
+        views=tuple(views.create_views(spark, tables, keep_partials)),
     )
     remove_folder(spark, folder)
     return report

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -61,11 +62,19 @@ def told_apart(df: DataFrame, prefix: str, keys: Sequence[str], *others: DataFra
     return df.withColumnsRenamed({c: f"{prefix}{c}" for c in df.columns if c in taken})
 
 
-def not_yet_stored(streams: DataFrame, stored: DataFrame) -> DataFrame:
-    """The events that ``stored``, a fact of other load days, doesn't have. Only its partitions
-    of the listening dates of ``streams`` are read."""
-    dates = streams.select(F.to_date("listen_time").alias("listen_date")).distinct()
-    known = stored.join(dates, "listen_date", "left_semi").select(*schemas.STREAM_KEY)
+def same_dates(stored: DataFrame, dates: Sequence[dt.date] | DataFrame) -> DataFrame:
+    """The keys of the events of ``stored``, a fact of other load days, on some listening dates:
+    a few named ones, which prune its partitions before anything runs, or a frame of them."""
+    if isinstance(dates, DataFrame):
+        near = stored.join(dates, "listen_date", "left_semi")
+    else:
+        near = stored.where(F.col("listen_date").isin(*dates)) if dates else stored.limit(0)
+    return near.select(*schemas.STREAM_KEY)
+
+
+def not_yet_stored(streams: DataFrame, known: DataFrame) -> DataFrame:
+    """The events whose key ``known`` (``same_dates``) doesn't have. A fact bucketed by the key is
+    joined bucket by bucket: the events move, the stored ones don't."""
     return streams.join(known, schemas.STREAM_KEY, "left_anti")
 
 

@@ -69,6 +69,14 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def files_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the data files in one folder; hidden ones and markers are left out."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = sorted(f.getPath().getName() for f in found if f.isFile())
+    return [n for n in names if not n.startswith(("_", "."))]
+
+
 def remove_folder(spark: SparkSession, folder: str) -> bool:
     """Delete a folder on whatever store it is; returns whether there was one."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

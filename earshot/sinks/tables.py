@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from earshot.schemas import STREAM_KEY
+
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
+# Rows of its first load that a bucket of a new fact should hold, and the most buckets.
+ROWS_PER_BUCKET = 2_000_000
+LEAST_BUCKETS, MOST_BUCKETS = 4, 512
+
 
 def write_table(df: DataFrame, table: str, path: str | None = None) -> None:
     """Replace a table, a dimension for instance. ``path`` keeps its files outside the
@@ -19,12 +25,60 @@ def write_table(df: DataFrame, table: str, path: str | None = None) -> None:
     writer.saveAsTable(table)
 
 
+def _create(
+    df: DataFrame, table: str, partitions: list[str], path: str | None, clustered: str = ""
+) -> None:
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in partitions
+    )
+    kinds = {"load_date": "DATE", "listen_date": "DATE"}
+    df.sparkSession.sql(
+        f"CREATE TABLE {table} ({columns}, {', '.join(f'{p} {kinds[p]}' for p in partitions)}) "
+        f"USING parquet PARTITIONED BY ({', '.join(partitions)}) {clustered}"
+        + (f" LOCATION '{path}'" if path else "")
+    )
+
+
+def _replace(rows: DataFrame, table: str, partition: str) -> None:
+    spark = rows.sparkSession
+    before = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "static")
+    try:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION ({partition}) SELECT * FROM {{rows}}",
+            rows=rows,
+        )
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, before)
+
+
+def write_day(
+    df: DataFrame, table: str, load_date: dt.date | str, path: str | None = None
+) -> None:
+    """Replace what one load day brought to a table partitioned by load day, and nothing else."""
+    if not df.sparkSession.catalog.tableExists(table):
+        _create(df, table, ["load_date"], path)
+    day = dt.date.fromisoformat(str(load_date))
+    _replace(df, table, f"load_date = DATE'{day}'")
+
+
+def buckets_of(spark: SparkSession, table: str) -> int:
+    """The buckets of a stored table, none if 0."""
+    about = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Num Buckets'").collect()
+    return int(about[0]["data_type"]) if about else 0
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.hash(*STREAM_KEY), F.lit(buckets))
+
+
 def write_fact(
     fact: DataFrame,
     table: str,
     load_date: dt.date | str,
     path: str | None = None,
     rebalance: bool = False,
+    rows: int = 0,
 ) -> None:
     """Replace what one load day brought to a fact table, and nothing else.
 
@@ -33,29 +87,30 @@ def write_fact(
     listening dates would lose the events other load days brought to them. Columns the table
     doesn't have yet are added; those it has and the fact doesn't become null.
 
-    One load day has few listening dates. A load of a long history has many, and every task
-    would open a file for each: ``rebalance`` gathers dates into evenly sized tasks first,
-    where adaptive execution splits a date that is too big for one.
+    Inside, the table is bucketed by the events' whole key, so looking for events already stored
+    moves the new ones only, and a user or track with a third of all events is spread over all
+    buckets. A new table gets buckets for ``rows``, those of its first load; they stay. A fact
+    without the key's columns, or a table that has no buckets, is written without.
+
+    Each task writes one bucket, a file for each listening date. One load day has few of these. A
+    load of a long history has many, and large buckets: ``rebalance`` gathers by date and bucket
+    in evenly sized tasks, where adaptive execution splits what is too big for one.
     """
     spark = fact.sparkSession
     day = dt.date.fromisoformat(str(load_date))
     if not spark.catalog.tableExists(table):
-        columns = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}"
-            for f in fact.schema.fields
-            if f.name != "listen_date"
-        )
-        spark.sql(
-            f"CREATE TABLE {table} ({columns}, load_date DATE, listen_date DATE) USING parquet "
-            "PARTITIONED BY (load_date, listen_date)" + (f" LOCATION '{path}'" if path else "")
-        )
+        buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
+        clustered = f"CLUSTERED BY ({', '.join(STREAM_KEY)}) INTO {buckets} BUCKETS"
+        keyed = set(STREAM_KEY) <= set(fact.columns)
+        _create(fact, table, ["load_date", "listen_date"], path, clustered if keyed else "")
+    buckets = buckets_of(spark, table)
     stored = spark.table(table).schema
     new = [f for f in fact.schema.fields if f.name not in stored.names]
     if new:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
         stored = spark.table(table).schema
-    rows = fact.select(
+    written = fact.select(
         *[
             F.col(f"`{f.name}`") if f.name in fact.columns
             else F.lit(None).cast(f.dataType).alias(f.name)
@@ -63,16 +118,12 @@ def write_fact(
             if f.name not in ("load_date", "listen_date")
         ],
         "listen_date",
-    )
+    )
     if rebalance:
-        rows = rows.hint("rebalance", "listen_date")
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "static")
-    try:
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION (load_date = DATE'{day}', listen_date) "
-            "SELECT * FROM {rows}",
-            rows=rows,
-        )
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+        by = ["listen_date", *(["_bucket"] if buckets else [])]
+        if buckets:
+            written = written.withColumn("_bucket", _bucket(buckets))
+        written = written.hint("rebalance", *by).drop("_bucket")
+    elif buckets:
+        written = written.repartition(buckets, *STREAM_KEY)
+    _replace(written, table, f"load_date = DATE'{day}', listen_date")

@@ -10,11 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.operators.cleaning import apply_schema
+from earshot.operators.profiling import Counted, null_profile
 from earshot.schemas import json_form
+from earshot.session import stage
 
 # Where the reader puts text it can't parse; parsing proper fails on that.
 _CORRUPT = "_corrupt_record"
 
+# Where the text of records with further columns is staged.
+_MORE = "_more"
+
 # What stands before a bare NaN: anything but quotes and the start of one, or whole strings.
 _BARE_NAN = r'\G((?:[^"N]|"(?:[^"\\]|\\.)*+"|N(?!aN\b))*+)NaN\b'
 
@@ -42,6 +47,37 @@ def further_columns(records: DataFrame, schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in found.fields if f.name.lower() not in known])
 
 
+def further_text(value: Column, schema: T.StructType) -> Column:
+    """A record's text if it names a column beyond ``schema``, else null."""
+    names = F.transform(F.json_object_keys(value), F.lower)
+    known = F.array(*[F.lit(n.lower()) for n in schema.names])
+    return F.when(F.size(F.array_except(names, known)) > 0, value)
+
+
+def stage_records(
+    records: DataFrame, schema: T.StructType, folder: str
+) -> tuple[DataFrame, int, dict[str, int]]:
+    """The JSON in ``value`` typed to ``schema`` and staged in ``folder``, with its rows and the
+    missing values per column.
+
+    The text is read once. Beside the typed columns the staged files hold the text of those
+    records that name further columns, and these columns are found and parsed from there.
+    """
+    value = without_bare_nan(F.col("value").cast("string"))
+    marked = records.withColumn(_MORE, further_text(value, schema))
+    counted = Counted(parse_records(marked, schema, keep=[_MORE]))
+    staged, missing = stage(counted.df, folder), dict(counted.missing)
+    if missing.pop(_MORE) == counted.rows:
+        return staged.drop(_MORE), counted.rows, missing
+    text = staged.where(F.col(_MORE).isNotNull()).select(F.col(_MORE).alias("value"))
+    further = further_columns(text, schema)
+    event = F.from_json(_MORE, further, {"mode": "FAILFAST"}).alias(_MORE)
+    parsed = staged.select(*schema.names, event).select(*schema.names, f"{_MORE}.*")
+    found = dict(map(tuple, null_profile(parsed.select(
+        *[F.col(f"`{c}`") for c in further.names])).collect()))
+    return parsed, counted.rows, missing | found
+
+
 def parse_records(
     records: DataFrame,
     schema: T.StructType,

@@ -165,7 +165,7 @@ def test_torn_files_are_left_out_through_the_log(spark, places, tmp_path):
     torn.write_text('{"user_id": 2, "tra')
     with pytest.raises(Exception):
         daily.run(spark, dataclasses.replace(places, landing=root), "2025-06-20", tables=MUSIC)
-    logged = dataclasses.replace(places, landing=root, through_log=True)
+    logged = dataclasses.replace(places, landing=root, listed_by="log")
     assert daily.run(spark, logged, "2025-06-20", tables=MUSIC).streams == 1
 
 
@@ -206,7 +206,7 @@ def test_landing_goes_on_from_its_checkpoint(spark, tmp_path):
         records = spark.readStream.text(str(source))
         hour = F.to_timestamp(F.get_json_object("value", "$.listen_time"))
         land_records(records, root, str(tmp_path / "checkpoint"), hour).awaitTermination()
-        return read_hour_partitions(spark, root, None, schemas.STREAMS, True, True)
+        return read_hour_partitions(spark, root, None, schemas.STREAMS, True, "log")
 
     lines(source / "1.json", [listen(1, None, "2025-06-20 09:59:59"),
                               listen(2, "T", "2025-06-20 10:00:00")])

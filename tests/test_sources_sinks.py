@@ -127,10 +127,10 @@ def landing(tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("through_log", [False, True])
-def test_one_landing_day(spark, landing, through_log):
+@pytest.mark.parametrize("listed_by", ["folder", "log"])
+def test_one_landing_day(spark, landing, listed_by):
     found = read_hour_partitions(
-        spark, landing, "2025-06-20", schemas.STREAMS, True, through_log
+        spark, landing, "2025-06-20", schemas.STREAMS, True, listed_by
     )
     assert sorted((r.user_id, r.day, r.hour) for r in found.collect()) == [(0, 20, 0), (9, 20, 9)]
     bare = read_hour_partitions(spark, landing, dt.date(2025, 6, 19), schemas.STREAMS)
