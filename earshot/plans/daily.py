@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,14 @@ from earshot.functions.columns import WEEK_REFERENCE
 from earshot.operators.lookup import key_counts
 from earshot.operators.profiling import Counted
 from earshot.plans import dims, enrich, facts, kpi, partials, views
-from earshot.session import configure, fresh_folder, remove_folder, size_shuffles, stage
+from earshot.session import (
+    configure,
+    fresh_folder,
+    remove_folder,
+    size_shuffles,
+    stage,
+    together,
+)
 from earshot.sinks.files import write_audit, write_csv, write_jsonl
 from earshot.sinks.tables import write_fact, write_table
 from earshot.sources.files import hour_records, text_records
@@ -83,10 +91,12 @@ def run(
             hour_records(spark, places.landing, day, places.listed_by), schemas.STREAMS
         ),
     }
-    received = {
-        name: Received(*stage_records(records, schema, f"{folder}/received_{name}"))
-        for name, (records, schema) in texts.items()
-    }
+
+    def receive(name: str) -> Received:
+        return Received(*stage_records(*texts[name], f"{folder}/received_{name}"))
+
+    found = together(spark, *[partial(receive, name) for name in texts])
+    received = dict(zip(texts, found, strict=True))
     return _load(
         spark, received, places, day, reference, tables, rebalance, keep_partials, folder
     )
@@ -125,11 +135,15 @@ def load(
     """
     configure(spark)
     folder = fresh_folder(spark, f"daily-{day}")
-    received = {}
-    for name, df in (("songs", songs), ("users", users), ("streams", streams)):
-        counted = Counted(df)
+    frames = {"songs": songs, "users": users, "streams": streams}
+
+    def receive(name: str) -> Received:
+        counted = Counted(frames[name])
         staged = stage(counted.df, f"{folder}/received_{name}")
-        received[name] = Received(staged, counted.rows, counted.missing)
+        return Received(staged, counted.rows, counted.missing)
+
+    found = together(spark, *[partial(receive, name) for name in frames])
+    received = dict(zip(frames, found, strict=True))
     return _load(
         spark, received, places, day, reference, tables, rebalance, keep_partials, folder
     )
@@ -158,9 +172,12 @@ def _load(
     size_shuffles(spark, max(x.rows for x in received.values()))
     users = enrich.told_apart(users, "user_", schemas.USER_KEY, songs)
     streams = enrich.told_apart(streams, "event_", schemas.STREAM_KEY, users, songs)
-    clean_users = staged("users", enrich.clean_users(users))
-    clean_songs = staged("songs", enrich.clean_songs(songs))
-    clean = staged("clean", enrich.clean_streams(streams))
+    clean_users, clean_songs, clean = together(
+        spark,
+        lambda: staged("users", enrich.clean_users(users)),
+        lambda: staged("songs", enrich.clean_songs(songs)),
+        lambda: staged("clean", enrich.clean_streams(streams)),
+    )
     dates = clean.select(F.to_date("listen_time").alias("listen_date")).distinct()
     few = [r["listen_date"] for r in dates.limit(FEW_DATES + 1).collect()]
     if rebalance is None:
@@ -170,38 +187,62 @@ def _load(
         known = enrich.same_dates(others, few if len(few) <= FEW_DATES else dates)
         if not known.isEmpty():
             clean = staged("streams", enrich.not_yet_stored(clean, known))
-    counts = {k: staged(f"rows_{k}", key_counts(clean, k)) for k in ("user_id", "track_id")}
     sizes = enrich.Sizes()
-
+    by_user, by_track, *_ = together(
+        spark,
+        lambda: staged("rows_user_id", key_counts(clean, "user_id")),
+        lambda: staged("rows_track_id", key_counts(clean, "track_id")),
+        lambda: sizes.small(clean_users),
+        lambda: sizes.small(clean_songs),
+    )
+    counts = {"user_id": by_user, "track_id": by_track}
     enriched = enrich.enrich_streams(clean, clean_users, clean_songs, "inner", sizes, counts)
-    fact = facts.fact_streams(enriched)
-    rows = received["streams"].rows
-    write_fact(fact, tables.fact, day, location("fact_streams"), rebalance, rows)
-    if keep_partials:
-        partials.store_day(spark, tables, day, places.tables)
-    write_table(dims.dim_users(clean_users, reference), tables.users, location("dim_users"))
-    write_table(dims.dim_songs(clean_songs), tables.songs, location("dim_songs"))
-
-    audited = enrich.audit_counts(clean, clean_users, clean_songs, counts).collect()
-    unmatched = dict(map(tuple, audited))
-    for audit, found in (
-        ("missing_users", enrich.missing_users(clean, clean_users, sizes, counts)),
-        ("missing_songs", enrich.missing_songs(clean, clean_songs, sizes, counts)),
-    ):
-        write_audit(found, f"{places.audits}/{day}/{audit}", unmatched[audit])
-    if places.exports:
+    def store() -> None:
+        fact, rows = facts.fact_streams(enriched), received["streams"].rows
+        write_fact(fact, tables.fact, day, location("fact_streams"), rebalance, rows)
+
+    def audit() -> dict[str, int]:
+        audited = enrich.audit_counts(clean, clean_users, clean_songs, counts).collect()
+        unmatched = dict(map(tuple, audited))
+        for name, found in (
+            ("missing_users", enrich.missing_users(clean, clean_users, sizes, counts)),
+            ("missing_songs", enrich.missing_songs(clean, clean_songs, sizes, counts)),
+        ):
+            write_audit(found, f"{places.audits}/{day}/{name}", unmatched[name])
+        return unmatched
+
+    unmatched, *_ = together(
+        spark,
+        audit,
+        store,
+        lambda: write_table(
+            dims.dim_users(clean_users, reference), tables.users, location("dim_users")
+        ),
+        lambda: write_table(dims.dim_songs(clean_songs), tables.songs, location("dim_songs")),
+    )
+
+    def export() -> None:
         stored = spark.table(tables.fact).where(F.col("load_date") == F.lit(day))
         full = stored.select(*[F.col(f"`{c}`") for c in enriched.columns])
         write_csv(full, f"{places.exports}/{day}/streams_full_cleaned")
         write_jsonl(clean_users, f"{places.exports}/{day}/users")
         write_jsonl(clean_songs, f"{places.exports}/{day}/songs")
-    totals = kpi.reconcile_totals(spark.table(tables.fact)).first()
+
+    steps = [
+        lambda: kpi.reconcile_totals(spark.table(tables.fact)).first(),
+        lambda: by_user.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0],
+    ]
+    if keep_partials:
+        steps.append(lambda: partials.store_day(spark, tables, day, places.tables))
+    if places.exports:
+        steps.append(export)
+    totals, clean_rows, *_ = together(spark, *steps)
 
     report = Report(
         songs=received["songs"].rows,
         users=received["users"].rows,
         streams=received["streams"].rows,
-        clean_streams=counts["user_id"].agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0],
+        clean_streams=clean_rows,
         missing_values={name: x.missing for name, x in received.items()},
         missing_users=unmatched["missing_users"],
         missing_songs=unmatched["missing_songs"],

@@ -22,7 +22,7 @@ from earshot.functions.columns import UNKNOWN_AGE
 from earshot.operators.lookup import is_small, lookup_join
 from earshot.operators.ordinal import with_ordinal
 from earshot.plans.views import Tables
-from earshot.session import fresh_folder, remove_folder, stage
+from earshot.session import fresh_folder, remove_folder, stage, together
 from earshot.sinks.tables import write_day
 
 # A sketch has 2**12 registers: a standard error of 1.04 / 2**6, or 1.63 %.
@@ -135,12 +135,15 @@ def store_day(
     numbered = stage(
         lookup_join(pairs, numbers, "user_id", "inner", is_small(numbers)), f"{folder}/numbered"
     )
-    store("partial_genre_plays", genre_plays(fact))
-    store("partial_track_plays", track_plays(fact))
-    store("partial_hour_labels", hour_labels(fact))
-    store("partial_genre_listeners", listeners(numbered, _GENRE))
-    store("partial_hour_listeners", listeners(numbered, _HOUR))
-    store("partial_hour_sketches", hour_sketches(pairs))
+    together(
+        spark,
+        lambda: store("partial_genre_plays", genre_plays(fact)),
+        lambda: store("partial_track_plays", track_plays(fact)),
+        lambda: store("partial_hour_labels", hour_labels(fact)),
+        lambda: store("partial_genre_listeners", listeners(numbered, _GENRE)),
+        lambda: store("partial_hour_listeners", listeners(numbered, _HOUR)),
+        lambda: store("partial_hour_sketches", hour_sketches(pairs)),
+    )
     remove_folder(spark, folder)
 
 

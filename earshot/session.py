@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings, safe to set on a session somebody else built.
@@ -63,6 +67,14 @@ def stage(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def together(spark: SparkSession, *steps: Callable[[], Any]) -> list[Any]:
+    """The results of steps that don't need one another, whose jobs run side by side. All of them
+    end before the first failure, if there is one, is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        begun = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [step.result() for step in begun]
+
+
 def exists(spark: SparkSession, folder: str) -> bool:
     """Whether there is something at a path, on whatever store it is."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

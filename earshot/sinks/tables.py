@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +15,8 @@ from earshot.schemas import STREAM_KEY
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 # Rows of its first load that a bucket of a new fact should hold, and the most buckets.
-ROWS_PER_BUCKET = 2_000_000
-LEAST_BUCKETS, MOST_BUCKETS = 4, 512
+ROWS_PER_BUCKET = 1_000_000
+MOST_BUCKETS = 512
 
 
 def write_table(df: DataFrame, table: str, path: str | None = None) -> None:
@@ -39,17 +42,34 @@ def _create(
     )
 
 
+class _Static:
+    """Statically overwritten partitions while any table is written, several side by side."""
+
+    lock, writing, before = Lock(), 0, ""
+
+    @classmethod
+    @contextmanager
+    def overwrite(cls, spark: SparkSession) -> Iterator[None]:
+        with cls.lock:
+            if not cls.writing:
+                cls.before = spark.conf.get(_OVERWRITE_MODE)
+                spark.conf.set(_OVERWRITE_MODE, "static")
+            cls.writing += 1
+        try:
+            yield
+        finally:
+            with cls.lock:
+                cls.writing -= 1
+                if not cls.writing:
+                    spark.conf.set(_OVERWRITE_MODE, cls.before)
+
+
 def _replace(rows: DataFrame, table: str, partition: str) -> None:
-    spark = rows.sparkSession
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "static")
-    try:
-        spark.sql(
+    with _Static.overwrite(rows.sparkSession):
+        rows.sparkSession.sql(
             f"INSERT OVERWRITE TABLE {table} PARTITION ({partition}) SELECT * FROM {{rows}}",
             rows=rows,
         )
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
 
 
 def write_day(
@@ -89,7 +109,8 @@ def write_fact(
 
     Inside, the table is bucketed by the events' whole key, so looking for events already stored
     moves the new ones only, and a user or track with a third of all events is spread over all
-    buckets. A new table gets buckets for ``rows``, those of its first load; they stay. A fact
+    buckets. A new table gets buckets for ``rows``, those of its first load or what is expected
+    of the largest; they stay. A fact
     without the key's columns, or a table that has no buckets, is written without.
 
     Each task writes one bucket, a file for each listening date. One load day has few of these. A
@@ -99,7 +120,7 @@ def write_fact(
     spark = fact.sparkSession
     day = dt.date.fromisoformat(str(load_date))
     if not spark.catalog.tableExists(table):
-        buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
+        buckets = min(MOST_BUCKETS, max(1, -(-rows // ROWS_PER_BUCKET)))
         clustered = f"CLUSTERED BY ({', '.join(STREAM_KEY)}) INTO {buckets} BUCKETS"
         keyed = set(STREAM_KEY) <= set(fact.columns)
         _create(fact, table, ["load_date", "listen_date"], path, clustered if keyed else "")

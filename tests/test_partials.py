@@ -43,11 +43,11 @@ def database(spark):
     spark.sql("DROP DATABASE kept CASCADE")
 
 
-def load(spark, plays, day):
+def load(spark, plays, day, rows=4_000_000):
     fact = spark.createDataFrame(plays, FACT).withColumns(
         {"listen_date": F.to_date("listen_time"), "listen_hour": F.hour("listen_time")}
     )
-    write_fact(fact, TABLES.fact, day)
+    write_fact(fact, TABLES.fact, day, rows=rows)
     partials.store_day(spark, TABLES, day)
 
 
