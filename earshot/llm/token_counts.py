@@ -18,8 +18,6 @@ kept, extra columns are not read, and an empty table gives an empty result.
 from __future__ import annotations
 
 import json
-import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,121 +25,96 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.tokens import _BARE, _LOWERED, CHARS_AT_ONCE, _byte_letters
+from earshot.llm.tokens import (
+    BEYOND,
+    CHARS_AT_ONCE,
+    LOWERED,
+    SAFE_CUT,
+    byte_letters,
+    opened,
+    pattern_of,
+    special_strings,
+    spelt,
+    stretches,
+)
 
 # Different pre-tokens whose merges a worker remembers, and the longest of them.
 MOST_KNOWN, LONGEST_KNOWN = 500_000, 64
 
-_SPACE = "\t-\r \x85\xa0"
-_LETTER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
-_NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
-# The tokenizer's pattern over lower-cased characters up to U+00FF.
-_PRE_TOKENS = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+"
-)
-_BEYOND = re.compile("[^\x00-\xff]")
-# Where a space follows something that is no white space, nothing goes on over it.
-_CUT = re.compile(r"(?<=\S) ")
-
-
-def _open(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
 
 def whole_tokens(path: str) -> list[str]:
     """The pre-tokens, as text, that are proved to be one token each. They have no character
     beyond U+00FF and are what the tokenizer makes of them: normalised, and not split further."""
-    tokenizer = _open(path)
-    steps = json.loads(tokenizer.to_str())
-    end = steps["model"]["end_of_word_suffix"] or ""
-    byte_of = {letter: b for b, letter in _byte_letters().items()}
+    tokenizer = opened(path)
+    end = json.loads(tokenizer.to_str())["model"]["end_of_word_suffix"] or ""
+    byte_of = {letter: b for b, letter in byte_letters().items()}
     added = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
     proved = []
     for token, number in tokenizer.get_vocab(with_added_tokens=False).items():
         if token in added or not token.endswith(end):
             continue
-        spelt = token[: len(token) - len(end)]
+        letters = token[: len(token) - len(end)]
         try:
-            text = bytes(byte_of[c] for c in spelt).decode()
+            text = bytes(byte_of[c] for c in letters).decode()
         except (KeyError, UnicodeDecodeError):
             continue
-        if _BEYOND.search(text) or not _PRE_TOKENS.fullmatch(text):
+        if BEYOND.search(text) or not LOWERED.fullmatch(text):
             continue
-        merged = tokenizer.model.tokenize(spelt)
+        merged = tokenizer.model.tokenize(letters)
         if len(merged) == 1 and merged[0].id == number:
             proved.append(text)
     return sorted(proved)
 
 
+class _Merged(dict):
+    """Tokens of pre-tokens after the merges, each done once while it is remembered."""
+
+    def __init__(self, model) -> None:
+        self._model = model
+
+    def __missing__(self, piece: str) -> int:
+        n = len(self._model.tokenize(spelt(piece)))
+        if len(piece) <= LONGEST_KNOWN:
+            if len(self) >= MOST_KNOWN:
+                self.clear()
+            self[piece] = n
+        return n
+
+
 class Counter:
     """Counts the tokens of texts with a tokenizer file that lower-cases and drops white space."""
 
     def __init__(self, path: str, whole: frozenset[str]) -> None:
-        self._tokenizer = _open(path)
-        steps = json.loads(self._tokenizer.to_str())
-        if steps["normalizer"] != {"type": "Sequence", "normalizers": _LOWERED} or steps[
-            "pre_tokenizer"
-        ] != {"type": "Sequence", "pretokenizers": _BARE}:
+        self._tokenizer = opened(path)
+        if pattern_of(self._tokenizer) is not LOWERED:
             raise ValueError(f"{path} does not split texts as whole tokens are counted here")
-        self._tokenizer.no_truncation()
-        self._tokenizer.no_padding()
         self._whole = whole
-        self._letters = _byte_letters()
-        special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._special = re.compile("|".join(map(re.escape, special)) or "(?!)", re.IGNORECASE)
-        self._known: dict[str, int] = {}
-
-    def _merged(self, spelt: str) -> int:
-        """Tokens of a pre-token, spelt in the vocabulary's letters, after the merges."""
-        n = self._known.get(spelt)
-        if n is None:
-            n = len(self._tokenizer.model.tokenize(spelt))
-            if len(spelt) <= LONGEST_KNOWN:
-                if len(self._known) >= MOST_KNOWN:
-                    self._known.clear()
-                self._known[spelt] = n
-        return n
+        self._special = special_strings(self._tokenizer)
+        self._merged = _Merged(self._tokenizer.model)
 
     def _plain(self, text: str) -> int:
         """Tokens of a text without characters beyond U+00FF and without special strings."""
-        found = _PRE_TOKENS.findall(text.lower())
+        found = LOWERED.findall(text.lower())
         rest = [p for p in found if p not in self._whole]
-        n = len(found) - len(rest)
-        for p in rest:
-            spelt = p if p.isascii() and p.isalnum() else self._spelt(p)
-            n += self._merged(spelt)
-        return n
-
-    def _spelt(self, text: str) -> str:
-        return "".join(self._letters[b] for b in text.encode())
+        return len(found) - len(rest) + sum(map(self._merged.__getitem__, rest))
 
     def _other(self, text: str) -> int:
         if self._special.search(text):
             return len(self._tokenizer.encode(text, add_special_tokens=False).ids)
         normal = self._tokenizer.normalizer.normalize_str(text)
-        split = self._tokenizer.pre_tokenizer.pre_tokenize_str(normal)
-        return sum(self._merged(p) for p, _ in split)
+        merge = self._tokenizer.model.tokenize
+        return sum(len(merge(p)) for p, _ in self._tokenizer.pre_tokenizer.pre_tokenize_str(normal))
 
     def _stretch(self, text: str) -> int:
-        if not self._special.search(text) and (text.isascii() or not _BEYOND.search(text)):
+        if not self._special.search(text) and not BEYOND.search(text):
             return self._plain(text)
-        pieces = _CUT.split(text)
-        hard = [bool(_BEYOND.search(p) or self._special.search(p)) for p in pieces]
+        pieces = SAFE_CUT.split(text)
+        hard = [bool(BEYOND.search(p) or self._special.search(p)) for p in pieces]
         plain = " ".join(p for p, h in zip(pieces, hard) if not h)
         return self._plain(plain) + sum(self._other(p) for p, h in zip(pieces, hard) if h)
 
     def count(self, text: str | None) -> int:
-        text, n = text or "", 0
-        start = 0
-        while start < len(text):
-            cut = _CUT.search(text, min(start + CHARS_AT_ONCE, len(text)))
-            end = cut.start() if cut else len(text)
-            n += self._stretch(text[start:end] if start or cut else text)
-            start = end + 1
-        return n
+        return sum(map(self._stretch, stretches(text or "", CHARS_AT_ONCE)))
 
 
 @lru_cache(maxsize=2)

@@ -1,10 +1,11 @@
-"""Token ids of whole texts, one piece of text between spaces at a time.
-
-A public tokenizer's splitting never joins what stands on two sides of a space after a character
-that is no white space, nor a letter with the stop after it, so a text's ids are those of its
-pieces in a row. Pieces repeat far more often than texts; a worker keeps the ids of those it has
-met, up to a bound, and the tokenizer runs over new ones only. Every id comes from the tokenizer; a piece that is one plain word, which
-it would split no further, goes to its merge model directly.
+"""Token ids of whole texts, one pre-token at a time.
+
+Texts of characters up to U+00FF are split into pre-tokens here, by the same classes of characters
+as their tokenizer's; what each is merged to comes from the tokenizer's own model. Pre-tokens
+repeat far more often than texts, so a worker keeps the ids of those it has met, up to a bound. The
+rest of a text, pieces between spaces that have a character beyond or a special string, go through
+the tokenizer as they are: its splitting never joins what stands on two sides of a space after a
+character that is no white space.
 """
 
 from __future__ import annotations
@@ -12,31 +13,31 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-# Pieces a worker keeps; when they are more it forgets those it has met but once or twice.
+# Pre-tokens and pieces a worker keeps; when they are more it forgets those met but once or twice.
 MOST_PIECES = 1_200_000
 
-# Characters of text turned into ids at a time (a longer text goes alone).
+# Characters of text turned into ids at a time.
 CHARS_AT_ONCE = 1 << 20
 
 # A space after white space is no safe place to cut. Python's \s holds every character that the
 # tokenizers take for white space.
-_UNSAFE = re.compile(r"\s ")
-_SAFE_CUT = re.compile(r"(?<=\S) ")
-
-# A word, its stops, and a line break with another word: these are always apart.
-_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
-_PARTS = re.compile(f"({_LETTERS})([.,!?;:]+)?(?:(\n)({_LETTERS})([.,!?;:]+)?)?")
+SAFE_CUT = re.compile(r"(?<=\S) ")
+BEYOND = re.compile("[^\x00-\xff]")
 
+# Classes of the characters up to U+00FF.
+SPACE = "\t-\r \x85\xa0"
+_SMALL, _LARGE = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "A-Z\xc0-\xd6\xd8-\xde"
+_NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
 
-# The ways of splitting that leave a plain word whole, in the tokenizer files' terms.
+# The tokenizers' ways of splitting, in the terms of their files.
 _BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
 _SPACED = _BYTES | {"use_regex": True}
 _BARE = [
@@ -56,8 +57,17 @@ _LOWERED = [
     {"type": "Lowercase"},
 ]
 
+# The same over characters up to U+00FF, lower-cased ones or any, with the space before a word.
+_ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+LOWERED = re.compile(f"{_ENDINGS}|[{_SMALL}]+|[{_NUMBER}]|[^{SPACE}{_SMALL}{_NUMBER}]+")
+_WORD = f"{_SMALL}{_LARGE}"
+SPACED = re.compile(
+    f"{_ENDINGS}| ?[{_WORD}]+| ?[{_NUMBER}]+| ?[^{SPACE}{_WORD}{_NUMBER}]+"
+    f"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+)
+
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The character that stands for each byte: itself if it prints in Latin-1, else the next
     from U+0100."""
     prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -65,42 +75,80 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
-def _of_words(tokenizer) -> Callable[[str, str], list[int]] | None:
-    """The ids of a plain word after nothing or a space, if the tokenizer leaves words whole."""
+_LETTERS = byte_letters()
+
+
+def spelt(piece: str) -> str:
+    """A pre-token in the vocabulary's letters, one for each byte."""
+    if piece.isascii() and piece.isalnum():
+        return piece
+    return piece.encode().decode("latin-1").translate(_LETTERS)
+
+
+def opened(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def pattern_of(tokenizer) -> re.Pattern | None:
+    """How a tokenizer splits characters up to U+00FF: ``LOWERED``, ``SPACED``, or neither."""
     steps = json.loads(tokenizer.to_str())
     normal, split = steps["normalizer"], steps["pre_tokenizer"]
-    letters, tokenize = _byte_letters(), tokenizer.model.tokenize
     if normal is None and split == _SPACED:
-        lowered, space = False, letters[32]
-    elif normal == {"type": "Sequence", "normalizers": _LOWERED} and split == {
+        return SPACED
+    if normal == {"type": "Sequence", "normalizers": _LOWERED} and split == {
         "type": "Sequence", "pretokenizers": _BARE
     }:
-        lowered, space = True, ""
-    else:
-        return None
+        return LOWERED
+    return None
+
 
-    def ids(word: str, before: str) -> list[int]:
-        word = word.lower() if lowered else word
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(letters)
-        return [token.id for token in tokenize(space + word if before else word)]
+def special_strings(tokenizer) -> re.Pattern:
+    """Finds a string that the tokenizer takes out of a text before it splits it."""
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    return re.compile("|".join(map(re.escape, added)) or "(?!)", re.IGNORECASE)
 
-    return ids
+
+def stretches(text: str, most: int) -> Iterator[str]:
+    """A text in parts of about ``most`` characters, cut before a space that nothing goes over."""
+    start = 0
+    while len(text) - start > most:
+        cut = SAFE_CUT.search(text, start + most)
+        if not cut:
+            break
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:] if start else text
+
+
+class _Places(dict):
+    """Where the ids of pieces are. A new piece gets the next place and waits to be encoded."""
+
+    def __init__(self, new: list[tuple[bool, str]], plain: bool) -> None:
+        self.taken, self._new, self._plain = 0, new, plain
+
+    def __missing__(self, piece: str) -> int:
+        place = self[piece] = self.taken + len(self._new)
+        self._new.append((self._plain, piece))
+        return place
 
 
 class PieceEncoder:
     """Ids of texts, by a tokenizer file of the tokenizers library."""
 
     def __init__(self, path: str, most_pieces: int = MOST_PIECES) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._of_word = _of_words(self._tokenizer)
+        self._tokenizer = opened(path)
+        self._pattern = pattern_of(self._tokenizer)
+        self._special = special_strings(self._tokenizer)
         self._most = most_pieces
-        # Where a piece's ids are: of pieces after a space, and of others.
-        self._rest: dict[str, int] = {}
-        self._first: dict[str, int] = {}
+        self._new: list[tuple[bool, str]] = []
+        # Pre-tokens, and pieces that go through the tokenizer.
+        self._plain, self._hard = _Places(self._new, True), _Places(self._new, False)
         self._starts = np.zeros(1024, np.int64)
         self._sizes = np.zeros(1024, np.int64)
         self._met = np.zeros(1024, np.int64)
@@ -113,7 +161,7 @@ class PieceEncoder:
         if often.sum() > self._most // 2:
             often[:] = False
         moved = np.cumsum(often) - 1
-        for known in (self._rest, self._first):
+        for known in (self._plain, self._hard):
             kept = {p: int(moved[i]) for p, i in known.items() if often[i]}
             known.clear()
             known.update(kept)
@@ -123,8 +171,8 @@ class PieceEncoder:
         self._store(flat, sizes)
         self._met[:] = 0
 
-    def _store(self, flat: np.ndarray, sizes: np.ndarray) -> range:
-        """Append the ids of some pieces; returns their places."""
+    def _store(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        """Append the ids of some pieces."""
         n, m = self._pieces + len(sizes), self._used + len(flat)
         if n > len(self._sizes):
             self._starts, self._sizes, self._met = (
@@ -136,9 +184,8 @@ class PieceEncoder:
         self._sizes[self._pieces : n] = sizes
         self._starts[self._pieces : n] = self._used + np.cumsum(sizes) - sizes
         self._ids[self._used : m] = flat
-        places = range(self._pieces, n)
         self._pieces, self._used = n, m
-        return places
+        self._plain.taken = self._hard.taken = n
 
     def _gather(self, places: np.ndarray) -> np.ndarray:
         """The ids of pieces in a row."""
@@ -148,79 +195,54 @@ class PieceEncoder:
         at += np.repeat(self._starts[places] - (ends - sizes), sizes)
         return self._ids[at]
 
-    def _ask(
-        self, known: dict[str, int], words: list[str], others: list[str], before: str
-    ) -> None:
-        """Have the tokenizer encode plain words and other pieces that aren't known."""
-        if self._of_word is None:
-            words, others = [], [*words, *others]
-        ids = [self._of_word(p, before) for p in words]
-        if others:
-            found = self._tokenizer.encode_batch_fast(
-                [before + p for p in others], add_special_tokens=False
+    def _learn(self) -> None:
+        """Encode the pieces that wait, in the order of their places."""
+        merge = self._tokenizer.model.tokenize
+        hard = iter(
+            self._tokenizer.encode_batch_fast(
+                [p for plain, p in self._new if not plain], add_special_tokens=False
             )
-            ids += [x.ids for x in found]
+        )
+        ids = [
+            [token.id for token in merge(spelt(p))] if plain else next(hard).ids
+            for plain, p in self._new
+        ]
+        self._new.clear()
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-        known.update(zip([*words, *others], self._store(flat, sizes), strict=True))
-
-    def _learn(self, known: dict[str, int], pieces: list[str], before: str) -> None:
-        words, others, compound, tails = [], [], {}, {}
-        for piece in pieces:
-            parts = _PARTS.fullmatch(piece)
-            if parts is None:
-                others.append(piece)
-            elif parts.end(1) == len(piece):
-                words.append(piece)
-            else:
-                split = [p for p in parts.groups() if p]
-                compound[piece] = split
-                tails.update((p, i == 2) for i, p in enumerate(parts.groups()[1:]) if p)
-        words += dict.fromkeys(x[0] for x in compound.values() if x[0] not in known)
-        self._ask(known, list(dict.fromkeys(words)), others, before)
-        new = [(p, word) for p, word in tails.items() if p not in self._first]
-        if new:
-            self._ask(self._first, [p for p, w in new if w], [p for p, w in new if not w], "")
-        if compound:
-            places = np.array(
-                [
-                    self._first[p] if i else known[p]
-                    for split in compound.values()
-                    for i, p in enumerate(split)
-                ]
-            )
-            counts = np.fromiter(map(len, compound.values()), np.int64, len(compound))
-            sizes = np.add.reduceat(self._sizes[places], np.cumsum(counts) - counts)
-            known.update(zip(compound, self._store(self._gather(places), sizes), strict=True))
-
-    def _places(self, known: dict[str, int], pieces: list[str], before: str) -> np.ndarray:
-        found = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
-        new = np.flatnonzero(found < 0).tolist()
-        if new:
-            self._learn(known, list(dict.fromkeys(pieces[i] for i in new)), before)
-            found[new] = [known[pieces[i]] for i in new]
-        return found
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and how many each text has."""
+        self._store(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes)
+
+    def _split(self, text: str) -> np.ndarray:
+        """The places of a text's pieces."""
+        if self._pattern and not BEYOND.search(text) and not self._special.search(text):
+            return self._of_plain(text)
+        out: list[np.ndarray] = []
+        easy: list[str] = []
+        for n, piece in enumerate(SAFE_CUT.split(text)):
+            piece = f" {piece}" if n else piece
+            if self._pattern and not BEYOND.search(piece) and not self._special.search(piece):
+                easy.append(piece)
+                continue
+            out += [self._of_plain("".join(easy)), np.array([self._hard[piece]])]
+            easy.clear()
+        return np.concatenate([*out, self._of_plain("".join(easy))])
+
+    def _of_plain(self, text: str) -> np.ndarray:
+        if not text:
+            return np.zeros(0, np.int64)
+        found = self._pattern.findall(text.lower() if self._pattern is LOWERED else text)
+        return np.fromiter(map(self._plain.__getitem__, found), np.int64, len(found))
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if self._pieces > self._most:
             self._forget()
-        first, rest, counts = [], [], []
-        for text in texts:
-            cut = _SAFE_CUT.split(text) if _UNSAFE.search(text) else text.split(" ")
-            first.append(cut[0])
-            counts.append(len(cut))
-            rest += cut[1:]
-        counts = np.array(counts, np.int64)
-        starts = np.cumsum(counts) - counts
-        places = np.empty(int(counts.sum()), np.int64)
-        is_first = np.zeros(len(places), bool)
-        is_first[starts] = True
-        places[~is_first] = self._places(self._rest, rest, " ")
-        places[is_first] = self._places(self._first, first, "")
+        split = [self._split(text) for text in texts]
+        if self._new:
+            self._learn()
+        places = np.concatenate(split)
         np.add.at(self._met, places, 1)
-        lengths = np.add.reduceat(self._sizes[places], starts) if len(starts) else counts
-        return self._gather(places), lengths
+        ends = np.cumsum(np.append(0, self._sizes[places]))
+        cuts = ends[np.cumsum([len(p) for p in split])[:-1]]
+        return np.split(self._gather(places), cuts)
 
     def each(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of every text, null as empty, a bounded stretch of text at a time."""
@@ -228,16 +250,16 @@ class PieceEncoder:
         for text in texts:
             text = text or ""
             if group and size + len(text) > CHARS_AT_ONCE:
-                yield from self._split(group)
+                yield from self._encode(group)
                 group, size = [], 0
+            if len(text) > CHARS_AT_ONCE:
+                parts = [self._encode([part])[0] for part in stretches(text, CHARS_AT_ONCE)]
+                yield np.concatenate(parts)
+                continue
             group.append(text)
             size += len(text)
         if group:
-            yield from self._split(group)
-
-    def _split(self, texts: list[str]) -> list[np.ndarray]:
-        ids, lengths = self.encode(texts)
-        return np.split(ids, np.cumsum(lengths)[:-1])
+            yield from self._encode(group)
 
 
 @lru_cache(maxsize=2)

@@ -222,4 +222,4 @@ def test_merges_are_remembered_within_a_bound(monkeypatch):
     counter = token_counts.Counter(WORDS, frozenset())
     text = " ".join(f"word{chr(97 + n)}xq" for n in range(20)) + " " + "z" * 500
     expected = len(Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids)
-    assert counter.count(text) == expected and len(counter._known) <= 3
+    assert counter.count(text) == expected and len(counter._merged) <= 3
