@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from earshot.session import fresh_folder, name_own_folder
+from earshot.session import fresh_folder, name_own_folder, remove_folder
 
 # Rows and bytes of text a Python worker is handed at a time.
 ARROW_ROWS = 512
@@ -45,13 +45,34 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Folders staged and not removed yet, in the order they were written.
+_folders: list[str] = []
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder once, tightly, and go on from its files."""
     folder = fresh_folder(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(folder)
+    _folders.append(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def staged_so_far() -> int:
+    """A mark for ``remove_staged``."""
+    return len(_folders)
+
+
+def remove_staged(spark: SparkSession, since: int, *still_read: DataFrame) -> None:
+    """Remove what was staged after the mark, but for the files that some frames read. Called when
+    all that needed it is written; after a failure it isn't, and the folders stay."""
+    files = [file for df in still_read for file in df.inputFiles()]
+    for folder in _folders[since:]:
+        name = folder.rsplit("/", 1)[1]
+        if not any(f"/{name}/" in file for file in files):
+            remove_folder(spark, folder)
+            _folders.remove(folder)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

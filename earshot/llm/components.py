@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import staged
+from earshot.llm.common import remove_staged, staged, staged_so_far
 
 MOST_ROUNDS = 100
 
@@ -28,6 +28,7 @@ def components(links: DataFrame) -> DataFrame:
     links, so a node with many links is a skewed join, never a collected group. Nodes are of any
     ordered type; null ends, loops and repeated links don't count.
     """
+    spark, mark_of_staged = links.sparkSession, staged_so_far()
     clean = links.where(F.col("a") != F.col("b"))
     edges = staged(
         clean.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
@@ -51,6 +52,7 @@ def components(links: DataFrame) -> DataFrame:
         edges = staged(
             small.unionByName(below.withColumnRenamed("m", "v")).distinct(), "links"
         )
+        remove_staged(spark, mark_of_staged, edges)
         before, mark = mark, _mark(edges)
         if mark == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

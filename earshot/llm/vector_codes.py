@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import staged
+from earshot.llm.common import remove_staged, staged, staged_so_far
 from earshot.llm.vectors import MOST, floors, gathered, is_finite, largest
 
 PARTS, ENTRIES, ROUNDS, SCALE = 16, 64, 2, 256
@@ -226,6 +226,7 @@ def decode(code: str, books: Books) -> np.ndarray:
 
 def compress(vectors: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """vec_id, label, code, error, label_error, codebooks_sha256 of vec_id, label, embedding."""
+    mark = staged_so_far()
     kept = staged(
         vectors.select("vec_id", "label", "embedding").where(is_finite()), "vectors-to-code"
     )
@@ -242,6 +243,7 @@ def compress(vectors: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         ),
         "label-errors",
     ).withColumnRenamed("label", "_label")
+    remove_staged(vectors.sparkSession, mark, coded, sums)
     if sums.count() <= BROADCAST_LABELS:
         sums = F.broadcast(sums)
     joined = coded.join(sums, F.col("label").eqNullSafe(F.col("_label")))
