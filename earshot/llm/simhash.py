@@ -6,9 +6,11 @@ distinct fingerprint is keyed by the segments of each chain whose budget is stil
 fingerprints that share such a key meet, the rest of the chain's budgets prune them, and the full
 distance decides. Equal fingerprints are one node, whatever their number.
 
-A text without words (or null) has fingerprint 0 and links like any other. Rows whose doc_id is
-null get the component of their fingerprint, null if no other row has it. Repeated rows get one
-result each. An empty table gives an empty result.
+A text without words (or null) has fingerprint 0 and links like any other. A very long text is
+hashed whole, a stretch of words at a time. Rows whose doc_id is null link like any other and get
+the smallest doc_id of their group, null if it has none. Rows that share a doc_id are linked by
+their own texts. Repeated rows get one result each. Further columns are not read. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import staged
+from earshot.llm.common import remove_staged, staged, staged_so_far
 from earshot.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -71,19 +73,21 @@ def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(bits.tobytes(), "little") if total else 0
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, fingerprint (a signed long) of every row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, *more: str) -> DataFrame:
+    """doc_id, the columns named in ``more``, fingerprint (a signed long) of every row."""
+    names = ["doc_id", *more]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t.as_py(), shingle) for t in batch.column("text")]
             signed = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(signed)], names=["doc_id", "fingerprint"]
+                [*[batch.column(c) for c in names], pa.array(signed)],
+                names=[*names, "fingerprint"],
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint long")
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in names)
+    return docs.select(*names, "text").mapInArrow(run, f"{kinds}, fingerprint long")
 
 
 def _rotated(value: Column, bits: int) -> Column:
@@ -118,10 +122,13 @@ def links(nodes: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS)
     )
     a, b = keyed.alias("a"), keyed.alias("b")
     differ = F.col("a.ring").bitwiseXOR(F.col("b.ring"))
+    # One value that leads through the chain's budgets first and ends in the full distance, so
+    # that no rule can put the full check before them.
     near = F.bit_count(differ) <= distance
-    for allowed, n in longest.items():
+    for allowed, n in sorted(longest.items(), reverse=True):
         if 0 < allowed < distance:
-            near &= F.bit_count(F.shiftrightunsigned(differ, 64 - n * width)) <= allowed
+            prefix = F.bit_count(F.shiftrightunsigned(differ, 64 - n * width))
+            near = F.when(prefix <= allowed, near).otherwise(F.lit(False))
     same = (F.col("a.key") == F.col("b.key")) & (F.col("a.start") == F.col("b.start"))
     return (
         a.join(b, same & (F.col("a.node") < F.col("b.node")) & near)
@@ -130,6 +137,24 @@ def links(nodes: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS)
     )
 
 
+def _grouped(found: DataFrame, distance: int, segments: int) -> DataFrame:
+    """fingerprint, group (the smallest fingerprint reachable) of the distinct ones of ``found``,
+    staged."""
+    mark = staged_so_far()
+    nodes = staged(found.select("fingerprint").distinct(), "fingerprint-nodes")
+    linked = components(
+        links(nodes.withColumn("node", F.col("fingerprint")), distance, segments)
+    ).withColumnRenamed("node", "fingerprint")
+    grouped = staged(
+        nodes.join(linked, "fingerprint", "left").select(
+            "fingerprint", F.coalesce("component", "fingerprint").alias("group")
+        ),
+        "fingerprint-groups",
+    )
+    remove_staged(found.sparkSession, mark, grouped)
+    return grouped
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = SHINGLE_WORDS,
@@ -138,16 +163,15 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, fingerprint, component_id (the smallest doc_id reachable) of every row."""
     found = staged(fingerprints(docs, shingle), "fingerprints")
-    nodes = found.groupBy("fingerprint").agg(F.min("doc_id").alias("node"))
-    nodes = staged(nodes.where(F.col("node").isNotNull()), "fingerprint-nodes")
-    linked = components(links(nodes, distance, segments))
-    named = nodes.join(linked, "node", "left").select(
-        F.col("fingerprint").alias("_print"),
-        F.coalesce("component", "node").alias("component_id"),
-    )
-    return found.join(named, F.col("fingerprint") == F.col("_print"), "left").select(
-        "doc_id", "fingerprint", "component_id"
+    grouped = _grouped(found, distance, segments)
+    smallest = found.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+    least = (
+        grouped.join(smallest, "fingerprint")
+        .groupBy("group")
+        .agg(F.min("least").alias("component_id"))
     )
+    named = grouped.join(least, "group").select("fingerprint", "component_id")
+    return found.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def keep_one(
@@ -156,15 +180,41 @@ def keep_one(
     distance: int = DISTANCE,
     segments: int = SEGMENTS,
 ) -> DataFrame:
-    """The row of each group's smallest doc_id. Rows without a doc_id can't be told apart and
-    stay; rows that share the doc_id kept give one row."""
-    found = near_duplicates(docs, shingle, distance, segments)
-    gone = staged(found.where("doc_id != component_id").select("doc_id").distinct(), "gone")
-    kept = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
-    counts = docs.where("doc_id is not null").groupBy("doc_id").count()
-    repeated = staged(counts.where("count > 1").select("doc_id"), "repeated-ids")
+    """One row of each group: that of the smallest doc_id, and where unlike texts of the group
+    share it, of the least fingerprint and digest. Texts of different groups that share a doc_id
+    are told apart by their digest and each judged in its own. Rows that repeat the one kept give
+    one row. Rows without a doc_id can't be told apart and stay."""
+    spark, mark = docs.sparkSession, staged_so_far()
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    found = staged(fingerprints(docs.withColumn("digest", digest), shingle, "digest"), "prints")
+    known = found.where("doc_id is not null")
+    grouped = _grouped(found, distance, segments)
+    # One row a fingerprint before the groups are joined, however many copies it has.
+    first = known.groupBy("fingerprint").agg(
+        F.min(F.struct("doc_id", "fingerprint", "digest")).alias("first")
+    )
+    stays = grouped.join(first, "fingerprint").groupBy("group").agg(F.min("first").alias("first"))
+    stays = staged(stays.select("first.doc_id", "first.digest"), "stays")
+    rows = known.groupBy("doc_id", "digest").agg(F.count("*").alias("n"))
+    gone = staged(
+        rows.join(stays, ["doc_id", "digest"], "left_anti").select("doc_id", "digest"), "gone"
+    )
+
+    def same(df: DataFrame, other: DataFrame):
+        mine = F.md5(F.coalesce(df["text"], F.lit("")))
+        return (df["doc_id"] == other["doc_id"]) & (mine == other["digest"])
+
+    kept = docs.join(gone, same(docs, gone), "left_anti")
+    repeated = staged(
+        rows.where("n > 1").join(stays, ["doc_id", "digest"]).select("doc_id", "digest"),
+        "repeated",
+    )
+    remove_staged(spark, mark, gone, repeated)
     if repeated.isEmpty():
         return kept
-    twice = kept["doc_id"] == repeated["doc_id"]
-    once = kept.join(repeated, twice, "left_anti")
-    return once.unionByName(kept.join(repeated, twice, "left_semi").dropDuplicates(["doc_id"]))
+    once = kept.join(repeated, same(kept, repeated), "left_anti")
+    twice = kept.join(repeated, same(kept, repeated), "left_semi")
+    marked = twice.withColumn("_text_digest", digest)
+    return once.unionByName(
+        marked.dropDuplicates(["doc_id", "_text_digest"]).drop("_text_digest")
+    )

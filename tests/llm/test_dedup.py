@@ -27,6 +27,7 @@ def test_passages_of_earlier_documents_are_cut(docs, pairs, collected):
 def test_automata_shards_do_not_matter(docs, pairs, collected, monkeypatch):
     monkeypatch.setattr(substring_dedup, "SHARD_SEGMENTS", 1)
     monkeypatch.setattr(substring_dedup, "COMBINED_SEGMENTS", 3)
+    monkeypatch.setattr(substring_dedup, "COMPILED_SEGMENTS", 1)
     found = substring_dedup.dedup(docs)
     assert collected(_removed(found), "*") == sorted(brute.substring_dedup(pairs), key=repr)
 
@@ -132,6 +133,41 @@ def test_one_row_of_a_repeated_id_stays(spark, docs):
     )
 
 
+def test_unlike_texts_under_one_id_are_not_lost(spark, docs):
+    words = " ".join(f"w{n}" for n in range(40))
+    rows = [
+        (1, words), (2, words), (2, "something else altogether, told once"),
+        (5, "left hand text of five"), (5, "right hand words under the same number"),
+        (7, words), (7, "something else altogether, told once"), (9, None), (9, ""),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in simhash.keep_one(df).collect()]
+    assert sorted(kept, key=repr)[:4] == [
+        (1, words), (2, "something else altogether, told once"), (5, "left hand text of five"),
+        (5, "right hand words under the same number"),
+    ]
+    assert len(kept) == 5 and kept.count((9, None)) + kept.count((9, "")) == 1
+    found = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(df).collect()}
+    assert sorted(found.values()) == [1, 1, 1, 2, 2, 5, 5, 9]
+
+
+def test_rows_without_an_id_link_others(spark, docs):
+    """A and C are two bits from B, which has no id, and four from each other."""
+    prints = [(1, 0b0011), (None, 0b0000), (3, 0b1100), (4, 1 << 60 | 0xFF << 20)]
+    found = spark.createDataFrame(prints, "doc_id long, fingerprint long")
+    groups = {r.fingerprint: r.group for r in simhash._grouped(found, 2, 16).collect()}
+    assert groups[0b0011] == groups[0] == groups[0b1100] == 0 and len(set(groups.values())) == 2
+
+
+def test_the_chain_is_checked_before_the_distance(spark, docs):
+    nodes = spark.createDataFrame([(1, 2), (2, 3)], "node long, fingerprint long")
+    plan = simhash.links(nodes)._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join Inner" in line)
+    assert "CASE WHEN" in join or "if (" in join
+    chain, full = join.index("shiftrightunsigned("), join.rindex("bit_count((ring")
+    assert chain < full
+
+
 def test_links_lose_no_pair(spark, docs):
     draw = random.Random(0)
     prints = [draw.getrandbits(64) for _ in range(60)]
