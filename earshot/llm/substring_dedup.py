@@ -6,23 +6,25 @@ segment, so a document is cut into overlapping segments and equal windows of two
 in segments of one anchor.
 
 1. Anchors are counted over all documents; those of two or more documents may recur. A filter of
-   bounded size holds them. An anchor of more than ``SHARD_SEGMENTS`` segments is common: from here
-   on each of its windows is a segment of its own.
+   bounded size holds them. An anchor of more than ``SHARD_SEGMENTS`` segments is common, as a
+   second filter says: from here on each of its windows is a segment of its own.
 2. Segments whose anchor may recur go to their anchor's shard, or by their own digest if it is
-   common, each text once per stretch of documents with its first and last document. There, recurring passages are confirmed word by
-   word: an Aho-Corasick automaton is compiled of the windows of a bounded number of segments,
-   whole anchors at a time but for common ones, with each window's first document, and the segments are streamed
-   through it. What comes out is, for every segment that recurs, the first document of each of
-   its windows.
-3. All documents are streamed again; their segments find those by (anchor, digest of the
-   segment's words), and the windows whose first document is an earlier one are cut.
+   common, each text once per stretch of documents with its first and last document. Equal
+   segments are told by 128 bits (anchor and digest). There, recurring passages are confirmed word
+   by word: an Aho-Corasick automaton is compiled of the windows of a bounded number of segments,
+   whole anchors at a time but for common ones, with each window's first document, and the
+   segments are streamed through it. What comes out is, for every segment that recurs, the first
+   document of each of its windows.
+3. All documents are streamed again, and every segment of theirs takes what its text gave in the
+   automaton, by (anchor, digest): equal segments hold equal windows wherever they stand. The
+   windows whose first document is an earlier one are cut.
 
 A passage that a third of all documents share is one segment text in step 2; in step 3 it is a
 skewed join that adaptive execution splits. A phrase that they hold in differing surroundings is a
 common anchor, whose windows are spread over the shards. A shard task holds one automaton.
 
 Words are runs of bytes other than white space (0x20, 0x09 to 0x0D). Null texts and texts without
-words have none. Rows without a doc_id are neither earlier nor later: they stay whole and cut
+words have none. Very long texts are read whole. Further columns travel along untouched. Rows without a doc_id are neither earlier nor later: they stay whole and cut
 nothing. Rows that share a doc_id are neither either; each is judged by its own text, which is
 told apart by a 64-bit digest. Ties and repeats within a document cut nothing. An empty table
 gives an empty result.
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.llm import bloom
-from earshot.llm.common import shuffle_partitions, staged
+from earshot.llm.common import remove_staged, shuffle_partitions, staged, staged_so_far
 from earshot.llm.wordhash import MULTIPLIER, U, mix, sums, word_spans
 
 WINDOW = 13
@@ -48,17 +50,21 @@ ANCHOR_WORDS = 6
 # 13 - 6 + 1: the places of the anchor in a window, a power of two for the running minimum.
 _PLACES = WINDOW - ANCHOR_WORDS + 1
 
-# An automaton is compiled of fewer segments than twice this, since no anchor has more that stay
-# together. They have at most 20 words each, so the words are fewer than there are characters.
+# An anchor of more segments is common.
 SHARD_SEGMENTS = 20_000
 
+# Segments an automaton is compiled of: whole anchors until there are so many. With more, its root
+# has so many different first words that building it takes longer than all else. They have at most
+# 20 words each, so the words are fewer than there are characters.
+COMPILED_SEGMENTS = 500
+
 # Segments that are combined before they are sent, and text handled at a time.
 COMBINED_SEGMENTS = 100_000
 _STRETCH = 1 << 20
 
 class Segments:
     """The segments of a stretch of texts: of which text, first word, windows, anchor, digest.
-    Those of the anchors ``common``, which are sorted, have one window."""
+    Those of the anchors that the filter ``common`` lets pass have one window."""
 
     def __init__(self, texts: list[bytes], common: np.ndarray | None = None) -> None:
         split = [t.split() for t in texts]
@@ -85,9 +91,9 @@ class Segments:
         run = np.flatnonzero(fresh)
         place = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
         often = np.zeros(len(at), bool)
-        if common is not None and len(common):
-            near = np.minimum(np.searchsorted(common, anchor[run]), len(common) - 1)
-            often = np.repeat(common[near] == anchor[run], np.diff(np.append(run, len(at))))
+        if common is not None and len(run):
+            passed = bloom.passes(common, anchor[run])
+            often = np.repeat(passed, np.diff(np.append(run, len(at))))
         begin = np.flatnonzero((place % _PLACES == 0) | often)
         self.common = often[begin]
         self.of, self.word, self.anchor = of[begin], at[begin], anchor[begin]
@@ -164,8 +170,8 @@ def _combined(rows: list[tuple[np.ndarray, ...]], texts: list[bytes]) -> pa.Reco
 
 def segments(docs: DataFrame, shared) -> DataFrame:
     """anchor, part, key, words, first, last: segments that may recur, combined by stretch.
-    ``shared`` has the filter's words and the common anchors, whose segments' part is their key;
-    others have part 0."""
+    ``shared`` has the filters of recurring and of common anchors; a common one's segments have
+    their key as part, others part 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, often = shared.value
@@ -258,7 +264,7 @@ def recurring(found: DataFrame, partitions: int) -> DataFrame:
             ):
                 if (anchor, part) != at and group:
                     close_group()
-                    if len(held) >= SHARD_SEGMENTS:
+                    if len(held) >= COMPILED_SEGMENTS:
                         yield flush()
                 at = anchor, part
                 seen = group.setdefault((anchor, key), [words, first, last])
@@ -339,9 +345,14 @@ def dedup(docs: DataFrame) -> DataFrame:
     # A common anchor of one document is among them, as the filter may let it pass by chance.
     common = (F.col("n") > SHARD_SEGMENTS).alias("common")
     counted = anchors(judged).select("anchor", "first", "last", common)
+    mark = staged_so_far()
     met = staged(counted.where("first < last or common").select("anchor", "common"), "anchors")
-    words = bloom.build(met, "anchor", met.count())
-    often = np.sort(met.where("common").toPandas()["anchor"].to_numpy(np.int64).view(U))
+    sizes = met.agg(F.count("*"), F.count_if("common")).first()
+    words = bloom.build(met, "anchor", sizes[0])
+    # Both passes over the documents use one filter of common anchors: one that it lets pass by
+    # chance has shorter segments in both.
+    often = bloom.build(met.where("common"), "anchor", sizes[1]) if sizes[1] else None
+    remove_staged(spark, mark)
     shared = spark.sparkContext.broadcast((words, often))
     firsts = recurring(segments(judged, shared), shuffle_partitions(spark))
     found = cuts(judged, shared, firsts)
