@@ -3,16 +3,19 @@
 Documents come one by one. What fills whole windows is cut off first; the rest, shorter than a
 window, goes where the sum of the squared numbers of partly filled windows, over their fill
 levels, grows least: into a new window or into one of a level it fits, full levels not counted.
-An array has the number of open windows of each level. When the documents of a range are through,
-or more than ``MOST_OPEN`` windows are open (documents that never fit together), the open windows
-are closed by laying their pieces in a row and cutting that into full windows; at the end, what is
-left over is cut at powers of two, which need no padding. So nothing is padded, and only those
-last pieces and documents longer than a window are cut.
+An array has the number of open windows of each level.
 
 Each task packs the documents of its part of the table as it reads them, in one streaming pass
-that keeps its open windows alone; nothing is shuffled. Null texts are empty and have the end id
-only; a null doc_id is kept; repeated rows are packed as often as they occur. An empty table gives
-no pieces.
+that keeps its open windows alone. Those still open at its end go through the same rule again,
+together with the open ones of ``MERGED_PARTS`` neighbouring parts: a second pass over them alone,
+which places each window as it would a document. What that leaves open, or any task beyond
+``MOST_OPEN`` windows (documents that never fit together), is laid in a row and cut into full
+windows; at the very end, what is left over is cut at powers of two, which need no padding. So
+nothing is padded, and only those last pieces and documents longer than a window are cut.
+
+Null texts are empty and have the end id only; a very long text is cut into as many windows as it
+fills; a null doc_id is kept; repeated rows are packed as often as they occur; other columns are not
+read. An empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -36,6 +39,9 @@ MOST_OPEN = 8192
 # Parts packed apart; their numbers of sequences are all that is broadcast.
 MOST_PARTS = 10_000
 
+# Parts whose open windows are packed together.
+MERGED_PARTS = 16
+
 # A piece: doc_id, its document's ids before it, its ids, its document's number of ids.
 Piece = tuple[int | None, int, np.ndarray, int]
 
@@ -48,10 +54,11 @@ class SumOfSquares:
         self._count = np.zeros(window + 1, np.int64)
         self._open: list[list[list[Piece]]] = [[] for _ in range(window + 1)]
 
-    def add(self, piece: Piece) -> list[list[Piece]]:
-        size, window, count = len(piece[2]), self._window, self._count
+    def add(self, *pieces: Piece) -> list[list[Piece]]:
+        """Place a piece, or several that stay together."""
+        size, window, count = sum(len(p[2]) for p in pieces), self._window, self._count
         if size == window:
-            return [[piece]]
+            return [list(pieces)]
         # Fill level h > 0 to h + size: the squares change by 1 - 2 N(h), and by 1 + 2 N(h + size)
         # unless that is full. A new window: by 1 + 2 N(size).
         change = 1 - 2 * count[1 : window - size + 1]
@@ -62,7 +69,7 @@ class SumOfSquares:
         if change[level - 1] >= 1 + 2 * count[size]:
             level = 0
         held = self._open[level].pop() if level else []
-        held.append(piece)
+        held.extend(pieces)
         count[level] -= level > 0
         if level + size == window:
             return [held]
@@ -73,6 +80,11 @@ class SumOfSquares:
         self._count[level] += 1
         self._open[level].append(held)
 
+    def still_open(self) -> Iterator[list[Piece]]:
+        """The windows partly filled, fullest first."""
+        for level in reversed(self._open):
+            yield from level
+
     def close(self, last: bool = True) -> Iterator[list[Piece]]:
         """Fill the open windows from one another. Unless it is the last time, the window that
         stays partly filled stays open."""
@@ -105,28 +117,39 @@ def pieces(docs: DataFrame, path: str, end_id: int, window: int = WINDOW) -> Dat
         [
             ("doc_id", id_type), ("start", pa.int64()), ("length", pa.int64()),
             ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("_part", pa.int32()),
-            ("_number", pa.int64()), ("offset", pa.int64()),
+            ("_number", pa.int64()), ("offset", pa.int64()), ("_open", pa.bool_()),
         ]
     )
+    columns = (
+        f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, "
+        "_part int, _number long, offset long, _open boolean"
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, number, part, rows = SumOfSquares(window), 0, 0, []
-        enc, end = encoder(path), np.array([end_id], np.uint32)
+    class Rows:
+        """The pieces of numbered windows, as they are handed on."""
+
+        def __init__(self) -> None:
+            self.rows: list[tuple] = []
+            self.number = 0
 
-        def lay(held: list[Piece]) -> None:
-            nonlocal number
+        def lay(self, held: list[Piece], part: int, is_open: bool = False) -> None:
             offset = 0
             for doc, start, ids, total in held:
                 data = ids.astype("<u4").tobytes()
-                rows.append((doc, start, len(ids), data, total, part, number, offset))
+                self.rows.append(
+                    (doc, start, len(ids), data, total, part, self.number, offset, is_open)
+                )
                 offset += len(ids)
-            number += 1
+            self.number += 1
 
-        def flush() -> pa.RecordBatch:
-            values = [pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), schema)]
-            rows.clear()
+        def flush(self) -> pa.RecordBatch:
+            values = [pa.array(v, f.type) for v, f in zip(zip(*self.rows, strict=True), schema)]
+            self.rows.clear()
             return pa.RecordBatch.from_arrays(values, schema=schema)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, part, out = SumOfSquares(window), 0, Rows()
+        enc, end = encoder(path), np.array([end_id], np.uint32)
         for batch in batches:
             docs_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             part = batch.column("_part")[0].as_py() if len(texts) else part
@@ -134,23 +157,63 @@ def pieces(docs: DataFrame, path: str, end_id: int, window: int = WINDOW) -> Dat
                 ids = np.append(ids, end)
                 for start in range(0, len(ids), window):
                     for held in packer.add((doc, start, ids[start : start + window], len(ids))):
-                        lay(held)
-                if len(rows) >= 2048:
-                    yield flush()
-        for held in packer.close():
-            lay(held)
-        if rows:
-            yield flush()
+                        out.lay(held, part)
+                if len(out.rows) >= 2048:
+                    yield out.flush()
+        for held in packer.still_open():
+            out.lay(held, part, True)
+        if out.rows:
+            yield out.flush()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, out, held, at = SumOfSquares(window), Rows(), [], None
+        group = None
+
+        def place() -> None:
+            for full in packer.add(*held):
+                out.lay(full, group)
+            held.clear()
+
+        def close() -> None:
+            if held:
+                place()
+            for full in packer.close():
+                out.lay(full, group)
+
+        for batch in batches:
+            for doc, start, ids, total, of, part, number in zip(
+                *(batch.column(c).to_pylist() for c in
+                  ("doc_id", "start", "ids", "doc_tokens", "_group", "_part", "_number")),
+                strict=True,
+            ):
+                if (of, part, number) != at and held:
+                    place()
+                if of != group and group is not None:
+                    close()
+                    out.number = 0
+                group, at = of, (of, part, number)
+                held.append((doc, start, np.frombuffer(ids, "<u4"), total))
+            if len(out.rows) >= 2048:
+                yield out.flush()
+        if group is not None:
+            close()
+        if out.rows:
+            yield out.flush()
 
     parts = docs.select("doc_id", "text").coalesce(MOST_PARTS)
-    packed = staged(
-        parts.withColumn("_part", F.spark_partition_id()).mapInArrow(
-            run,
-            f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, "
-            "_part int, _number long, offset long",
+    first = staged(
+        parts.withColumn("_part", F.spark_partition_id()).mapInArrow(run, columns), "packing"
+    )
+    group = (MOST_PARTS + F.floor(F.col("_part") / MERGED_PARTS)).cast("int")
+    still = first.where("_open").withColumn("_group", group).repartition("_group")
+    merged = staged(
+        still.sortWithinPartitions("_group", "_part", "_number", "offset").mapInArrow(
+            merge, columns
         ),
-        "packing",
+        "packing-open",
     )
+    # The windows a part had open were numbered after its full ones.
+    packed = first.where("NOT _open").unionByName(merged).drop("_open")
     counts = packed.groupBy("_part").agg(F.max("_number").alias("_last"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
