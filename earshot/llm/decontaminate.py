@@ -1,8 +1,10 @@
 """Benchmark decontamination: find documents that hold word windows of test items.
 
-The hash set of the items' windows is broadcast when it is measured to be small, else shuffled;
-documents' windows are hashed where they are read and only those that hit go on. Hits are
-verified word by word. Column expressions and joins only.
+The hash set of the items' windows is broadcast when it is measured to be small. Of more, a filter
+of bounded size is broadcast: words of 64 bits, in one of which each window sets three; documents'
+windows that find all three set are few, and only they are shuffled to the items' windows. A
+document's windows are hashed where they are read, and hits are verified word by word. Column
+expressions and joins only.
 
 Null and wordless texts have no words; items without words have no windows. Repeated rows get
 one result each. A document text is keyed by (doc_id, digest of its text), so rows that share a
@@ -19,6 +21,9 @@ WINDOW = 10
 # An item window is under 1 kB in memory; this many are broadcast at most.
 BROADCAST_WINDOWS = 100_000
 
+# Words of the filter: one for each window, up to this many, of some 50 bytes in a broadcast.
+FILTER_WORDS = 1 << 20
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -57,12 +62,36 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
+def _filter_word(hash_: Column, words: int) -> Column:
+    """Which word of a filter a window's hash has its bits in."""
+    return F.pmod(hash_, F.lit(words))
+
+
+def _filter_bits(hash_: Column) -> Column:
+    """The three bits that a window's hash sets there, from other digits of it."""
+
+    def bit(at: int) -> Column:
+        place = F.shiftrightunsigned(hash_, at).bitwiseAND(F.lit(63)).cast("int")
+        return F.call_function("shiftleft", F.lit(1).cast("long"), place)
+
+    return bit(58).bitwiseOR(bit(52)).bitwiseOR(bit(46))
+
+
+def window_filter(windows: DataFrame, words: int) -> DataFrame:
+    """word, bits: of ``words`` words of 64 bits those that the windows' hashes set bits in."""
+    return windows.groupBy(_filter_word(F.col("hash"), words).alias("word")).agg(
+        F.bit_or(_filter_bits(F.col("hash"))).alias("bits")
+    )
+
+
 def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, text_key, at, length, item_id: where an item's window stands in a document."""
     windows = item_windows(items, window)
     # At most ``window`` rows; only the lengths that occur are scanned for.
     measured = windows.groupBy("length").agg(F.count("*").alias("n")).collect()
-    small = sum(r["n"] for r in measured) <= BROADCAST_WINDOWS
+    total = sum(r["n"] for r in measured)
+    small = total <= BROADCAST_WINDOWS
+    words = max(1, min(FILTER_WORDS, total))
     split = docs.select(
         "doc_id", F.md5("text").alias("text_key"), words_of(F.col("text")).alias("_doc_words")
     )
@@ -77,8 +106,16 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Data
             joined = scanned.join(F.broadcast(of_length), F.col("_hash") == F.col("hash"))
             mine = F.slice("_doc_words", F.col("at") + 1, F.col("length"))
         else:
-            thin = scanned.withColumn("_mine", F.slice("_doc_words", F.col("at") + 1, length))
-            joined = thin.drop("_doc_words").join(of_length, F.col("_hash") == F.col("hash"))
+            bits = _filter_bits(F.col("_hash"))
+            passed = scanned.join(
+                F.broadcast(window_filter(of_length, words)),
+                (_filter_word(F.col("_hash"), words) == F.col("word"))
+                & (F.col("bits").bitwiseAND(bits) == bits),
+            )
+            thin = passed.withColumn("_mine", F.slice("_doc_words", F.col("at") + 1, length))
+            joined = thin.drop("_doc_words", "word", "bits").join(
+                of_length, F.col("_hash") == F.col("hash")
+            )
             mine = F.col("_mine")
         hits = joined.where(mine == F.col("words")).select(
             "doc_id", "text_key", "at", "length", "item_id"
