@@ -5,6 +5,9 @@ and confidence and matched through an inverted index from token to rule. A state
 (host, path, verdict) that fits a URL comes before the mined ones, the longest first. Column
 expressions, joins and the JVM's FP-growth only.
 
+The rules come from a bounded number of labelled URLs (``MOST_LABELLED``); every page is matched.
+The page's html and other columns are not read, and URLs of any length are taken whole.
+
 A URL that is null or has no ``://`` has an empty host and path and no tokens: it is allowed
 unless a stated rule fits. Repeated pages get a verdict each; repeated labels of a document
 count as bad if any is. Without labels or rules everything unstated is allowed.
@@ -18,6 +21,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from earshot.llm.common import staged
+
 # The stated rules.
 STATED = [
     ("com", "/", "allow"),
@@ -27,12 +32,16 @@ STATED = [
     ("net", "/fr/", "block"),
 ]
 
-# A mined rule needs this share of the labelled URLs, this many of them, and this share of them
-# bad. The support bounds the frequent items the miner keeps on the driver: tokens per URL /
-# MIN_SUPPORT.
-MIN_SUPPORT = 0.002
+# A mined rule needs this many bad URLs, at every size, and this share of those it fits bad.
 MIN_ROWS = 25
 MIN_CONFIDENCE = 0.6
+
+# Labelled URLs the rules are mined from; of more, about so many, by a hash of the page. It bounds
+# the tokens that the miner ranks on the driver: each stands in MIN_ROWS bad ones of these.
+MOST_LABELLED = 1_000_000
+
+# Token sets with a rule that are broadcast to the pages; more are joined by a shuffle.
+BROADCAST_SETS = 100_000
 _BAD = "\x00bad"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -62,26 +71,46 @@ def tokens_of(host: Column, path: Column) -> Column:
 def mine(
     urls: DataFrame,
     labels: DataFrame,
-    min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
     min_rows: int = MIN_ROWS,
+    most: int = MOST_LABELLED,
 ) -> DataFrame:
     """rule_id, tokens, confidence, support of token sets that go with bad labels.
 
     ``urls`` has page_id and tokens; a page is bad if its document's quality is 0 or toxic is 1.
-    A rule is dropped if a shorter one among its tokens is at least as confident.
+    Tokens that stand in fewer than ``min_rows`` bad URLs can be in no rule and are left out before
+    sets are mined. A rule is dropped if a shorter one among its tokens is at least as confident.
     """
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
     judged = labels.groupBy(F.col("doc_id").alias("_page")).agg(
         F.max(F.coalesce(bad, F.lit(False))).alias("_bad")
     )
-    baskets = urls.join(judged, F.col("page_id") == F.col("_page")).select(
-        F.when(F.col("_bad"), F.array_append("tokens", F.lit(_BAD)))
-        .otherwise(F.col("tokens"))
-        .alias("items")
+    known = staged(
+        urls.join(judged, F.col("page_id") == F.col("_page")).select("page_id", "tokens", "_bad"),
+        "labelled-urls",
+    )
+    share = min(1.0, most / max(1, known.count()))
+    place = F.pmod(F.xxhash64("page_id", F.lit(6)), F.lit(1 << 40)) / (1 << 40)
+    chosen = known.where(place < share).withColumn("_row", F.monotonically_increasing_id())
+    each = chosen.select("_row", "_bad", F.explode("tokens").alias("_token"))
+    often = (
+        each.where("_bad").groupBy("_token").agg(F.count("*").alias("_n"))
+        .where(F.col("_n") >= min_rows).select("_token")
+    )
+    # A URL has few tokens, so a row's group is small, however common a token.
+    cut = each.join(often, "_token").groupBy("_row", "_bad").agg(
+        F.collect_set("_token").alias("_tokens")
+    )
+    baskets = staged(
+        cut.select(
+            F.when(F.col("_bad"), F.array_append("_tokens", F.lit(_BAD)))
+            .otherwise(F.col("_tokens"))
+            .alias("items")
+        ),
+        "baskets",
     )
-    baskets = baskets.where(F.size("items") > 0)
-    support = min(1.0, max(min_support, min_rows / max(1, baskets.count())))
+    # Half a row less, so that rounding asks for ``min_rows`` and no more.
+    support = min(1.0, (min_rows - 0.5) / max(1, baskets.count()))
     fitted = FPGrowth(minSupport=support, minConfidence=min_confidence).fit(baskets)
     rules = fitted.associationRules.where(F.element_at("consequent", 1) == _BAD).select(
         F.array_sort("antecedent").alias("tokens"), "confidence", "support"
@@ -142,7 +171,6 @@ def judge(
     pages: DataFrame,
     labels: DataFrame,
     stated=STATED,
-    min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
     min_rows: int = MIN_ROWS,
 ) -> DataFrame:
@@ -151,8 +179,10 @@ def judge(
     urls = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn(
         "tokens", tokens_of(F.col("host"), F.col("path"))
     )
-    rules = mine(urls, labels, min_support, min_confidence, min_rows)
-    found = match(urls, rules)
+    rules = staged(mine(urls, labels, min_confidence, min_rows), "rules")
+    found = staged(match(urls, rules), "matched-sets")
+    if found.count() <= BROADCAST_SETS:
+        found = F.broadcast(found)
     rule, verdict = stated_rule(F.col("host"), F.col("path"), stated)
     return (
         urls.join(found, "tokens", "left")
