@@ -3,15 +3,21 @@
 Each language has a tree of contexts of up to three bytes. A byte's probability in a context is
 its count over the context's total plus its number of different bytes; a byte not seen there
 escapes, at that number over the same sum, to the next shorter context, and at last to one in
-256. The counts are gathered from all training texts and then frozen, so the code length of a
-byte after the three before it is a constant, and scoring a text is a lookup per byte and a sum. Lengths are whole numbers of 1/1024 bit, so
-sums don't depend on how texts are batched.
-
-No gram is left out: totals, kinds and lengths come from every run of four bytes in the training
-texts, so the model grows with what is new in them. It holds a row per distinct run and is sorted,
-not tabulated: a byte is looked up after the longest context that has it in some language, and
-what other languages escape to is part of its row. A context can be pruned by its share of a
-language's bytes, after all counts are taken; it is then looked up as its longest suffix kept.
+256. The counts are gathered from the training texts and then frozen, so the code length of a byte
+after the three before it is a constant, and scoring a text is a lookup per byte and a sum. Lengths
+are whole numbers of 1/1024 bit, so sums don't depend on how texts are batched.
+
+The trees are fitted to a bounded amount of labelled text: ``MOST_BYTES`` in all, the same share
+of it for each of the ``MOST_LANGUAGES`` languages with the most text. A language with less is
+learnt from all its texts, another from whole texts of at most ``MOST_TEXT`` bytes, chosen by a
+hash of their doc_id. No gram of these is left out: totals, kinds
+and lengths come from every run of four bytes in them. The model holds a row per distinct run, so
+it is bounded by the same number, on the driver and in every worker. It is sorted, not tabulated: a
+byte is looked up after the longest context that has it in some language, and what other languages
+escape to is part of its row. A context can be pruned by its share of a language's bytes, after
+all counts are taken; it is then looked up as its longest suffix kept.
+
+Every text is scored whole, whatever its length. Other columns are not read.
 
 A text that is null or has no letter is ``und`` with score 0; so is every text if there is
 nothing to learn from. Ties go to the first language in order. Rows without a doc_id aren't held
@@ -34,6 +40,9 @@ UNIT = 1024
 # Parts of a unit in which escapes are added up, so that a byte's length is rounded once.
 _FINE = 64
 
+# Bytes of labelled text the trees are fitted to, in all and of one text, and languages learnt.
+MOST_BYTES, MOST_TEXT, MOST_LANGUAGES = 16 << 20, 1 << 17, 200
+
 _PAD = b"\n" * ORDER
 _STRETCH = 1 << 19
 _MERGE = 400_000
@@ -210,12 +219,40 @@ def remainder(doc_id: str, modulus: int) -> Column:
 
 
 def learn(docs: DataFrame, chosen: Column) -> Model | None:
-    """The model of the ``chosen`` rows of ``docs`` that have a text and a language. The driver
-    gets a row for each distinct gram of each language."""
-    counts = gram_counts(docs.where(chosen & F.col("text").isNotNull() & F.col("lang").isNotNull()))
+    """The model of the ``chosen`` rows of ``docs`` that have a text and a language, a bounded
+    sample of them. The driver gets a row for each distinct gram of each language in it."""
+    counts = gram_counts(bounded(docs.where(chosen)))
     return fit(counts.toArrow().to_pandas(strings_to_categorical=True))
 
 
+def bounded(docs: DataFrame, most: int | None = None) -> DataFrame:
+    """lang, text of about ``most`` bytes of labelled rows, all of them if they are fewer: the
+    same for each language, of the rows whose doc_id's hash is below the share it may have."""
+    labelled = docs.select("doc_id", "lang", "text").where(
+        F.col("text").isNotNull() & F.col("lang").isNotNull()
+    )
+    size = F.octet_length("text").cast("long")
+    sizes = labelled.groupBy("lang").agg(
+        F.sum(size).alias("bytes"), F.sum(F.when(size <= MOST_TEXT, size)).alias("small")
+    )
+    learnt = sizes.orderBy(F.col("bytes").desc(), "lang").limit(MOST_LANGUAGES).collect()
+    each = (most or MOST_BYTES) / max(1, len(learnt))
+    # A language with more than its share of bytes has its share of texts, none of them large.
+    shares = docs.sparkSession.createDataFrame(
+        [
+            (r["lang"], *((1.0, None) if r["bytes"] <= each
+                          else (each / max(1, r["small"] or 0), MOST_TEXT)))
+            for r in learnt
+        ],
+        "lang string, _share double, _most long",
+    )
+    place = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 40)) / (1 << 40)
+    chosen = labelled.join(F.broadcast(shares), "lang").where(
+        F.col("_most").isNull() | ((size <= F.col("_most")) & (place < F.col("_share")))
+    )
+    return chosen.select("lang", "text")
+
+
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """Every row's doc_id with lang_pred and score, the winner's share when each language's
     weight is 2 to the power of minus its code length."""
