@@ -6,8 +6,9 @@ attention (tanh times sigmoid) weighs the passages of a bag against each other,
 sum is scored. Only documents have labels; which passages matter is learnt with the rest.
 
 Weights are fitted on the driver to at most ``MOST_DOCS`` labelled documents of each label, of at
-most ``MOST_BYTES`` each, the first by a hash of their id. That bounds the driver's data;
-encoding and scoring cover every passage of every text.
+most ``MOST_BYTES`` each and ``SAMPLE_BYTES`` together, the first by a hash of their id. That
+bounds the driver's data; encoding and scoring cover every passage of every text, however long.
+Other columns than doc_id and text are not read.
 
 Null texts are empty; an empty text is a bag without passages, whose score is the bias alone.
 Repeated rows are scored each. Of a document's repeated labels the least counts; null labels
@@ -30,6 +31,7 @@ PASSAGE_WORDS = 64
 HIDDEN, GATE = 16, 8
 MOST_DOCS = 1500
 MOST_BYTES = 1 << 17
+SAMPLE_BYTES = 8 << 20
 STEPS, RATE, DECAY = 150, 0.02, 1e-4
 
 _BINS = 128
@@ -192,13 +194,20 @@ def learn(docs: DataFrame, labels: DataFrame, chosen: Column, most: int = MOST_D
     # Ids and labels alone choose the sample; then its texts are read.
     fits = docs.where(chosen & (F.coalesce(F.octet_length("text"), F.lit(0)) <= MOST_BYTES))
     fits = fits.select("doc_id", "text")
-    judged = fits.select("doc_id").distinct().join(known, F.col("doc_id") == F.col("_id"))
-    judged = judged.select("_id", "_label", F.xxhash64("_id", F.lit(0)).alias("_order"))
+    sizes = fits.groupBy("doc_id").agg(F.max(F.octet_length("text")).alias("_size"))
+    judged = sizes.join(known, F.col("doc_id") == F.col("_id"))
+    judged = judged.select("_id", "_label", "_size", F.xxhash64("_id", F.lit(0)).alias("_order"))
     sample = [
         judged.where(F.col("_label") == label).orderBy("_order", "_id").limit(most)
         for label in (0, 1)
     ]
-    rows = sample[0].unionByName(sample[1]).select("_id", "_label").collect()
+    rows = []
+    for of_label in sample:
+        held = 0
+        for r in of_label.select("_id", "_label", "_size").collect():
+            held += r["_size"] or 0
+            if held <= SAMPLE_BYTES:
+                rows.append((r["_id"], r["_label"]))
     if not rows:
         return fit(np.zeros((0, FEATURES), np.float32), np.zeros(0, np.int64), np.zeros(0))
     picked = spark.createDataFrame(rows, "_id long, _label int")

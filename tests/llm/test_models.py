@@ -182,3 +182,79 @@ def test_extra_columns_and_repeated_labels(spark, docs):
     assert len(scores) == 2 * docs.count() and all(0 <= r.score <= 1 for r in scores)
     kept = quality.keep_good(docs, model)
     assert kept.columns == docs.columns
+
+
+# --- what is fitted is bounded
+
+
+def test_language_samples_are_bounded_and_whole(spark, docs, monkeypatch):
+    rows = [(n, "en" if n % 4 else "fr", f"word{n} " * (3 + n % 5)) for n in range(4000)]
+    rows += [(9000 + n, "en", "x" * 5000) for n in range(3)] + [(None, None, "t"), (1, "de", None)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    texts = {t for _, _, t in rows}
+    monkeypatch.setattr(language, "MOST_TEXT", 1000)
+    for most in (40_000, 80_000, 10**9):
+        held = [tuple(r) for r in language.bounded(df, most).collect()]
+        assert {t for _, t in held} <= texts
+        sizes = Counter()
+        for lang, text in held:
+            sizes[lang] += len(text)
+        assert all(0.8 * most / 2 < n < 1.2 * most / 2 for n in sizes.values()) or most > 10**6
+        assert any(len(t) == 5000 for _, t in held) == (most > 10**6)
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 1)
+    assert {r.lang for r in language.bounded(df).collect()} == {"en"}
+    assert language.bounded(df.limit(0)).count() == 0
+
+
+def test_quality_samples_are_bounded_in_bytes(spark, docs, monkeypatch):
+    """Very long texts, of which the driver would get all."""
+    rows = [(n, f"some text {n} " * 400) for n in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(200)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, n, y: seen.append((n.sum(), len(y), y.sum())))
+    for most in (50_000, 100_000):
+        monkeypatch.setattr(quality, "SAMPLE_BYTES", most)
+        quality.learn(df, labels, F.lit(True))
+        _, texts, good = seen[-1]
+        assert good == texts - good and most - 12_000 < good * len(rows[150][1]) <= most
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 10**9)
+    quality.learn(df, labels, F.lit(True))
+    assert seen[-1][1] == 200
+
+
+def test_scores_are_those_of_plain_loops():
+    """The forward pass written out, one passage and one unit at a time."""
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(7, quality.FEATURES)).astype(np.float32)
+    passages = np.array([3, 0, 1, 3])
+    w = {
+        "encode": draw.normal(0, 0.1, (quality.FEATURES, quality.HIDDEN)),
+        "encode_bias": draw.normal(size=quality.HIDDEN), "mean": x.mean(0), "scale": x.std(0),
+        "tanh": draw.normal(size=(quality.HIDDEN, quality.GATE)),
+        "gate": draw.normal(size=(quality.HIDDEN, quality.GATE)),
+        "attend": draw.normal(size=quality.GATE), "out": draw.normal(size=quality.HIDDEN),
+        "bias": draw.normal(size=1),
+    }
+    expected, at = [], 0
+    for n in passages.tolist():
+        hidden, weights = [], []
+        for row in x[at : at + n].tolist():
+            scaled = [max(-6.0, min(6.0, (v - m) / s))
+                      for v, m, s in zip(row, w["mean"].tolist(), w["scale"].tolist())]
+            h = [math.tanh(w["encode_bias"][j] + sum(v * w["encode"][i, j]
+                 for i, v in enumerate(scaled))) for j in range(quality.HIDDEN)]
+            attention = 0.0
+            for g in range(quality.GATE):
+                t = math.tanh(sum(h[j] * w["tanh"][j, g] for j in range(quality.HIDDEN)))
+                s = sum(h[j] * w["gate"][j, g] for j in range(quality.HIDDEN))
+                attention += w["attend"][g] * t / (1 + math.exp(-s))
+            hidden.append(h)
+            weights.append(math.exp(attention))
+        pooled = [sum(a * h[j] for a, h in zip(weights, hidden)) / (sum(weights) or 1.0)
+                  for j in range(quality.HIDDEN)]
+        total = w["bias"][0] + sum(a * b for a, b in zip(pooled, w["out"].tolist()))
+        expected.append(1 / (1 + math.exp(-total)))
+        at += n
+    found = quality.Model(0.5, w).score(x, passages)
+    assert np.allclose(found, expected, atol=1e-5)
