@@ -145,22 +145,23 @@ FROM numbered JOIN ended ON numbered.id = ended.id"""
 
 _OP10 = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+  SELECT row_number() OVER () AS row, vec_id,
+         list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM usable q JOIN usable c ON q.vec_id != c.vec_id AND len(q.v) = len(c.v)
+  SELECT q.row, q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.row != c.row AND len(q.v) = len(c.v)
   WHERE q.vec_id % 20 = 0
 )
 SELECT query_id,
-       CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+       CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER)
          AS rank, vec_id, score
 FROM scored
 QUALIFY rank <= 20"""
 
-
 _FINITE = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
 
 

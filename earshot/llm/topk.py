@@ -1,55 +1,50 @@
 """Exact top-k search by inner product, with Fagin's threshold algorithm.
 
-Vectors are cut into blocks, and so are the queries; each pair of blocks is one group. In it, a
-block's vectors are sorted along every dimension. For a query, the lists are read from the end
-that its component favours, all to the same depth; vectors met for the first time are scored in
-full; and reading stops when no unread vector can beat the kth score found, because the bound, the
-query's product with the components at the present depth, is below it. The blocks' top k are
-merged per query. No pair of vectors leaves a group unless it is among a block's k best.
+Vectors stay in blocks, sorted along every dimension once; the queries are sent to every block and
+stream past it. For a query, the lists are read from the end that its component favours, all to the
+same depth; vectors met for the first time are scored in full; and reading stops when no unread
+vector can beat the kth score found, because the bound, the query's product with the components at
+the present depth, is below it. The blocks' top k are merged per query. No pair of vectors leaves a
+block unless it is among its k best.
 
 Components x become floor(64 x), x as double. Vectors that are null, or hold null or non-finite
-components, or components beyond 2**31 in that scale, take no part. Vectors of another length than
-the query's aren't candidates. Ties go to the smaller id. Of repeated rows of an id the vector
-least in order counts. Rows without an id take no part. An empty table gives an empty result.
+components, take no part; nor do rows without an id. Vectors of another length than the query's
+aren't candidates. Scores that might pass 2**63 are computed in Python's integers, and one beyond a
+long counts as the nearest long. Ties go to the smaller id. Repeated rows of an id each count: as
+candidates, for one another too, and as queries, with a result each. Other columns are not read. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.llm.common import staged
+from earshot.llm.vectors import LEAST, MOST, is_finite, matrix, numbered, send_to_blocks
 
-# Vectors and queries of a group.
+SCALE = 64
+# Vectors of a block, and queries held at a time.
 BLOCK = 16_384
 QUERY_BLOCK = 512
 # How far the lists are read at a time.
 _DEPTH = 256
 
-_LARGEST = float(2**31)
-
-
-def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
-    """vec_id, vector (array of long): the vectors that take part, one row per id."""
-    x = F.transform("embedding", lambda v: F.floor(v.cast("double") * scale))
-    fine = F.forall(
-        "embedding",
-        lambda v: F.coalesce(
-            ~F.isnan(v) & (F.abs(v.cast("double") * scale) < F.lit(_LARGEST)), F.lit(False)
-        ),
-    )
-    usable = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine)
-    return usable.groupBy("vec_id").agg(F.min(x).alias("vector"))
-
 
 class Lists:
-    """A block's vectors, sorted along each dimension."""
+    """A block's vectors, sorted along each dimension. ``rows`` tell them apart; without, their
+    ids do."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def __init__(
+        self, ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray | None = None
+    ) -> None:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
+        self.rows = (ids if rows is None else rows)[order]
         # Products are exact in floats that hold all their sums, else in integers.
         self._largest = float(np.abs(self.vectors.astype(np.float64)).max(initial=0))
         self._as: dict[type, np.ndarray] = {}
@@ -59,19 +54,19 @@ class Lists:
     def score(self, rows: np.ndarray, query: np.ndarray, kind: type) -> np.ndarray:
         if kind not in self._as:
             self._as[kind] = self.vectors.astype(kind)
-        return (self._as[kind][rows] @ query.astype(kind)).astype(np.int64)
+        found = self._as[kind][rows] @ query.astype(kind)
+        return (np.clip(found, LEAST, MOST) if kind is object else found).astype(np.int64)
 
     def top(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best but ``own``, ties to smaller ids."""
+        """Ids and scores of the k best but the row ``own``, ties to smaller ids."""
         n = len(self.ids)
-        most = self._largest * float(np.abs(query).sum())
-        kind = np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64
+        most = self._largest * float(np.abs(query.astype(np.float64)).sum())
+        exact = ((2**24, np.float32), (2**53, np.float64), (2**62, np.int64))
+        kind = next((kind for bound, kind in exact if most < bound), object)
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
         weights_up, weights_down = query[up], query[down]
         seen = np.zeros(n, bool)
-        mine = np.searchsorted(self.ids, own)
-        if mine < n and self.ids[mine] == own:
-            seen[mine] = True
+        seen[self.rows == own] = True
         rows, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
         depth = 0
         while True:
@@ -93,8 +88,10 @@ class Lists:
                 rows, scores = rows[keep], scores[keep]
             if end == n or seen.all():
                 break
-            bound = int(self.sorted[n - end, up] @ weights_up) + int(
-                self.sorted[end - 1, down] @ weights_down
+            bound = sum(
+                int(x) * int(w)
+                for at, of, weights in ((n - end, up, weights_up), (end - 1, down, weights_down))
+                for x, w in zip(self.sorted[at, of].tolist(), weights.tolist())
             )
             # An unread vector that ties with the kth may have the smaller id.
             if len(rows) >= k and int(scores.min()) > bound:
@@ -104,43 +101,43 @@ class Lists:
         return self.ids[rows[order]], scores[order]
 
 
-def search(vectors: DataFrame, is_query, k: int = 20, scale: int = 64) -> DataFrame:
-    """query_id, rank, vec_id, score: for every vector whose id meets ``is_query`` (a condition on
-    vec_id) the ``k`` best of all the others."""
-    found = staged(quantised(vectors, scale).withColumn("size", F.size("vector")), "vectors")
-    asked = found.where(is_query)
-    counts = found.agg(F.count("*"), F.coalesce(F.sum(is_query.cast("long")), F.lit(0))).first()
-    blocks, query_blocks = -(-counts[0] // BLOCK) or 1, -(-counts[1] // QUERY_BLOCK) or 1
-    place = F.xxhash64("vec_id", F.lit(1))
-    all_blocks = F.sequence(F.lit(0), F.lit(blocks - 1))
-    all_queries = F.sequence(F.lit(0), F.lit(query_blocks - 1))
-    candidates = found.withColumn("block", F.pmod(place, F.lit(blocks)).cast("int")).withColumn(
-        "query_block", F.explode(all_queries)
+def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
+    """query_id, rank, vec_id, score: for every row of vec_id, embedding whose id meets
+    ``is_query`` (a condition on vec_id) the ``k`` best of all the others."""
+    usable = vectors.select("vec_id", "embedding").where(
+        F.col("vec_id").isNotNull() & is_finite()
     )
-    queries = asked.withColumn(
-        "query_block", F.pmod(place, F.lit(query_blocks)).cast("int")
-    ).withColumn("block", F.explode(all_blocks))
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        if len(left) and len(right):
-            lists = Lists(left["vec_id"].to_numpy(), np.stack(left["vector"].to_numpy()))
-            for own, vector in zip(right["vec_id"], right["vector"], strict=True):
-                ids, scores = lists.top(own, np.asarray(vector), k)
-                parts.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores}))
-        if not parts:
-            return pd.DataFrame(
-                {c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")}
-            )
-        return pd.concat(parts)
-
-    keys = ["size", "query_block", "block"]
-    best = (
-        candidates.groupBy(*keys)
-        .cogroup(queries.groupBy(*keys))
-        .applyInPandas(run, "query_id long, vec_id long, score long")
-    )
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+    kept = staged(
+        numbered(usable).select(
+            "row", "vec_id", "embedding", F.size("embedding").alias("size"),
+            F.coalesce(is_query, F.lit(False)).alias("is_query"),
+        ),
+        "vectors",
+    )
+    names = ["query", "query_id", "vec_id", "score"]
+
+    def meet(table: pa.Table, asking: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+        ids, rows = (table.column(c).to_numpy() for c in ("vec_id", "row"))
+        lists = Lists(ids, matrix(table.column("embedding"), SCALE), rows)
+        for queries in asking:
+            wanted = matrix(queries.column("embedding"), SCALE)
+            out: list[list] = [[] for _ in names]
+            for own, own_id, query in zip(
+                queries.column("row").to_pylist(), queries.column("vec_id").to_pylist(), wanted
+            ):
+                found, scores = lists.top(own, query, k)
+                out[0] += [own] * len(found)
+                out[1] += [own_id] * len(found)
+                out[2] += found.tolist()
+                out[3] += scores.tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=names)
+
+    queries = kept.where("is_query").drop("is_query")
+    best = send_to_blocks(
+        kept.drop("is_query"), queries, BLOCK, meet,
+        ", ".join(f"{c} long" for c in names), QUERY_BLOCK,
+    )
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("vec_id"))
     return (
         best.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)

@@ -110,16 +110,16 @@ def token_files(rows, path, end):
 
 
 def top_k(rows, k=20):
-    """(query_id, rank, vec_id, score) of (vec_id, vector)."""
-    ok = [
-        (i, np.floor(64 * np.array(v, float)).astype(np.int64))
-        for i, v in rows
-        if v is not None and all(x is not None and np.isfinite(x) for x in v)
-    ]
+    """(query_id, rank, vec_id, score) of (vec_id, vector), a result for each row."""
+    ok = [(i, x) for i, v in rows if i is not None and (x := _integers(v, 64)) is not None]
     out = []
-    for q, x in ok:
+    for n, (q, x) in enumerate(ok):
         if q % 20 == 0:
-            scores = sorted((-int(x @ y), i) for i, y in ok if i != q and len(x) == len(y))
+            scores = sorted(
+                (-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(x, y)))), i)
+                for m, (i, y) in enumerate(ok)
+                if m != n and len(x) == len(y)
+            )
             out += [(q, r, i, -s) for r, (s, i) in enumerate(scores[:k], 1)]
     return out
 

@@ -94,3 +94,17 @@ def test_stages_take_odd_rows_and_extra_columns(spark, docs):
     name, pack = corpus_pipeline.STAGES[-1]
     assert pack(spark, docs, SMALL).select("doc_id").distinct().count() == docs.count()
     assert pack(spark, docs.limit(0), SMALL).count() == 0
+
+
+def test_what_stages_wrote_is_removed(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from earshot.llm import common
+
+    monkeypatch.setattr(common, "fresh_folder", lambda _, label: f"{tmp_path}/{label}-{len(made)}"
+                        if not made.append(label) else "")
+    made: list[str] = []
+    found = corpus_pipeline.run(spark, SMALL)
+    rows = found.count()
+    left = sorted(p.name.rsplit("-", 1)[0] for p in Path(tmp_path).iterdir())
+    assert left == ["packing"] and rows == found.count() > 0 and len(made) > 10

@@ -35,8 +35,24 @@ def test_top_k_against_all_scores(spark, docs, collected, monkeypatch):
         expected = sorted(brute.top_k(single, k), key=repr)
         assert collected(found, "query_id", "rank", "vec_id", "score") == expected
     assert topk.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    # Every row is a candidate and a query of its own, whatever its id.
     twice = topk.search(df.unionByName(df), F.col("vec_id") % 20 == 0, 20)
-    assert twice.count() == len(brute.top_k(single, 20))
+    expected = sorted(brute.top_k(single + single, 20), key=repr)
+    assert collected(twice, "query_id", "rank", "vec_id", "score") == expected
+
+
+def test_top_k_of_huge_components_and_clashing_columns(spark, docs, collected):
+    rows = [(0, [4e7, 0.0]), (1, [4e7, 0.0]), (2, [1.0, 0.5]), (3, [-4e7, 1.0]), (20, [1.0, 1.0]),
+            (40, [3e38, 3e38]), (5, [2e38, -3e38]), (6, [1e30, 1.0]), (None, [1.0, 1.0])]
+    df = spark.createDataFrame(
+        [(*r, 1, "x", 2.0) for r in rows],
+        "vec_id long, embedding array<double>, row int, block string, score double",
+    )
+    found = topk.search(df, F.col("vec_id") % 20 == 0)
+    expected = brute.top_k(rows)
+    assert collected(found, "query_id", "rank", "vec_id", "score") == sorted(expected, key=repr)
+    assert (0, 4, 1, (64 * 40_000_000) ** 2) in expected
+    assert any(r[3] == 2**63 - 1 for r in expected)
 
 
 def test_the_threshold_stops_early():
@@ -75,6 +91,46 @@ def test_windows_of_items_are_found(spark, docs, pairs, collected, monkeypatch,
     assert {r.doc_id for r in clean.collect()} == {r[0] for r in expected if not r[-1]}
 
 
+def test_windows_that_are_shuffled_pass_a_filter_first(
+    spark, docs, pairs, collected, monkeypatch
+):
+    """No join but the filter's is a broadcast, and what it lets pass is little."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = decontaminate.occurrences(docs, items)
+        rows = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        judged = decontaminate.decontaminate(docs, items).select(
+            "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n"),
+            F.sha2(F.array_join("item_ids", ","), 256).alias("s"), "contaminated",
+        )
+        assert collected(judged, "*") == sorted(brute.decontaminate(pairs, ITEMS), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # A filter for each length of windows, and a shuffled join behind it.
+    lengths = len({r["length"] for r in rows} | {2, 3, 1, 10})
+    assert final.count("SortMergeJoin") >= 1 and final.count("BroadcastHashJoin") == lengths
+    assert "word" in final.split("BroadcastHashJoin")[1][:200]
+
+
+def test_the_filter_lets_all_its_windows_pass_and_few_others(spark, docs):
+    windows = spark.range(20_000).select(F.xxhash64("id").alias("hash"))
+    words = 20_000
+    held = decontaminate.window_filter(windows, words)
+    bits = decontaminate._filter_bits(F.col("hash"))
+    fits = (decontaminate._filter_word(F.col("hash"), words) == F.col("word")) & (
+        F.col("bits").bitwiseAND(bits) == bits
+    )
+    assert held.count() <= words
+    assert windows.join(held, fits).count() == 20_000
+    others = spark.range(10**6, 10**6 + 100_000).select(F.xxhash64("id").alias("hash"))
+    assert others.join(held, fits).count() < 2_000
+
+
 def test_no_items_and_no_documents(spark, docs):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     found = decontaminate.decontaminate(docs, items.limit(0))
@@ -219,3 +275,31 @@ def test_queries_equal_their_sql(spark, name):
 
     found = all_queries()[name](spark, MEDIUM)
     assert difference(connect(MEDIUM), found, all_oracles()[name]) is None
+
+
+def test_rules_need_the_same_rows_at_every_size(spark, docs):
+    """A host of 30 bad pages is blocked among 200 labelled pages and among 40,000."""
+    for n in (200, 40_000):
+        pages = spark.range(n).select(
+            F.col("id").alias("page_id"),
+            F.when(F.col("id") < 30, F.lit("http://bad.host/a"))
+            .otherwise(F.concat(F.lit("http://fine"), F.col("id") % 50, F.lit(".host/a")))
+            .alias("url"),
+        )
+        labels = pages.select(
+            F.col("page_id").alias("doc_id"), (F.col("page_id") >= 30).cast("int").alias("quality"),
+            F.lit(0).alias("toxic"),
+        )
+        found = url_rules.judge(pages, labels)
+        assert found.where("verdict = 'block'").count() == 30
+        assert found.where("mined is not null").select("host").distinct().count() == 1
+
+
+def test_what_is_mined_is_bounded(spark, docs, monkeypatch):
+    pages = spark.range(4000).select(F.col("id").alias("page_id"), F.array(
+        F.lit("h:x"), F.concat(F.lit("p:"), F.col("id") % 3)).alias("tokens"))
+    labels = pages.select(F.col("page_id").alias("doc_id"), F.lit(0).alias("quality"),
+                          F.lit(None).cast("int").alias("toxic"))
+    for most, share in ((400, 0.1), (10**6, 1.0)):
+        rules = {r.rule_id: r for r in url_rules.mine(pages, labels, most=most).collect()}
+        assert set(rules) == {"h:x", "p:0", "p:1", "p:2"}
