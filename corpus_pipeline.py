@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.llm import decontaminate, packing, quality, simhash, substring_dedup
-from earshot.llm.common import prepare, staged, table
+from earshot.llm.common import prepare, remove_staged, staged, staged_so_far, table
 from earshot.llm.language import remainder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -78,8 +78,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; what one staged is removed once the next one's result is written."""
     prepare(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, mark = table(spark, sf_dir, "documents"), staged_so_far()
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        remove_staged(spark, mark, docs)
     return docs
