@@ -6,12 +6,12 @@ levels, grows least: into a new window or into one of a level it fits, full leve
 An array has the number of open windows of each level.
 
 Each task packs the documents of its part of the table as it reads them, in one streaming pass
-that keeps its open windows alone. Those still open at its end go through the same rule again,
-together with the open ones of ``MERGED_PARTS`` neighbouring parts: a second pass over them alone,
-which places each window as it would a document. What that leaves open, or any task beyond
-``MOST_OPEN`` windows (documents that never fit together), is laid in a row and cut into full
-windows; at the very end, what is left over is cut at powers of two, which need no padding. So
-nothing is padded, and only those last pieces and documents longer than a window are cut.
+that keeps its open windows alone. The pieces of those still open at its end go through the same
+rule again, with those of ``MERGED_PARTS`` neighbouring parts: a second pass over them alone. What
+that leaves open, or any task beyond ``MOST_OPEN`` windows (documents that never fit together), is
+laid in a row and cut into full windows; at the very end, what is left over is cut at powers of two,
+which need no padding. So nothing is padded, and only those last pieces and documents longer than a
+window are cut.
 
 Null texts are empty and have the end id only; a very long text is cut into as many windows as it
 fills; a null doc_id is kept; repeated rows are packed as often as they occur; other columns are not
@@ -40,7 +40,7 @@ MOST_OPEN = 8192
 MOST_PARTS = 10_000
 
 # Parts whose open windows are packed together.
-MERGED_PARTS = 16
+MERGED_PARTS = 64
 
 # A piece: doc_id, its document's ids before it, its ids, its document's number of ids.
 Piece = tuple[int | None, int, np.ndarray, int]
@@ -54,11 +54,10 @@ class SumOfSquares:
         self._count = np.zeros(window + 1, np.int64)
         self._open: list[list[list[Piece]]] = [[] for _ in range(window + 1)]
 
-    def add(self, *pieces: Piece) -> list[list[Piece]]:
-        """Place a piece, or several that stay together."""
-        size, window, count = sum(len(p[2]) for p in pieces), self._window, self._count
+    def add(self, piece: Piece) -> list[list[Piece]]:
+        size, window, count = len(piece[2]), self._window, self._count
         if size == window:
-            return [list(pieces)]
+            return [[piece]]
         # Fill level h > 0 to h + size: the squares change by 1 - 2 N(h), and by 1 + 2 N(h + size)
         # unless that is full. A new window: by 1 + 2 N(size).
         change = 1 - 2 * count[1 : window - size + 1]
@@ -69,7 +68,7 @@ class SumOfSquares:
         if change[level - 1] >= 1 + 2 * count[size]:
             level = 0
         held = self._open[level].pop() if level else []
-        held.extend(pieces)
+        held.append(piece)
         count[level] -= level > 0
         if level + size == window:
             return [held]
@@ -166,33 +165,24 @@ def pieces(docs: DataFrame, path: str, end_id: int, window: int = WINDOW) -> Dat
             yield out.flush()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, out, held, at = SumOfSquares(window), Rows(), [], None
-        group = None
-
-        def place() -> None:
-            for full in packer.add(*held):
-                out.lay(full, group)
-            held.clear()
+        packer, out, group = SumOfSquares(window), Rows(), None
 
         def close() -> None:
-            if held:
-                place()
             for full in packer.close():
                 out.lay(full, group)
+            out.number = 0
 
         for batch in batches:
-            for doc, start, ids, total, of, part, number in zip(
+            for doc, start, ids, total, of in zip(
                 *(batch.column(c).to_pylist() for c in
-                  ("doc_id", "start", "ids", "doc_tokens", "_group", "_part", "_number")),
+                  ("doc_id", "start", "ids", "doc_tokens", "_group")),
                 strict=True,
             ):
-                if (of, part, number) != at and held:
-                    place()
                 if of != group and group is not None:
                     close()
-                    out.number = 0
-                group, at = of, (of, part, number)
-                held.append((doc, start, np.frombuffer(ids, "<u4"), total))
+                group = of
+                for full in packer.add((doc, start, np.frombuffer(ids, "<u4"), total)):
+                    out.lay(full, group)
             if len(out.rows) >= 2048:
                 yield out.flush()
         if group is not None:
