@@ -77,5 +77,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+# More partitions than this are not planned for.
+MOST_PARTITIONS = 10_000
+
+
+def partitions(spark: SparkSession, rows: int, rows_each: int) -> int:
+    """Partitions for ``rows`` rows, at least as many as the session has for shuffles."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(MOST_PARTITIONS, -(-rows // rows_each)))
+
+
+def partitions_for(df: DataFrame, rows_each: int) -> int:
+    """The same for a table whose rows are counted, which Parquet footers tell."""
+    return partitions(df.sparkSession, df.count(), rows_each)

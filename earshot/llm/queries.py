@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm.common import prepare, shuffle_partitions, table
+from earshot.llm.common import partitions_for, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,18 +22,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _tokenizer(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from earshot.llm.packing import pieces
 
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
-    packed = pieces(docs, _tokenizer("byte_bpe_50k.json"), 0)
+    packed = pieces(docs, "byte_bpe_50k.json", 0)
     return packed.withColumn("ids_crc32", F.crc32("ids")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )
@@ -71,7 +65,8 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
-    dealt = shard(docs, ["doc_id", "size", "text_crc32"], 40, ranges=shuffle_partitions(spark))
+    ranges = partitions_for(docs, 1_000_000)
+    dealt = shard(docs, ["doc_id", "size", "text_crc32"], 40, ranges=ranges)
     return dealt.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
@@ -90,8 +85,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from earshot.llm.token_files import round_trip
 
     prepare(spark)
-    docs, path = table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")
-    back = round_trip(docs, path, 2, shuffle_partitions(spark))
+    docs, path = table(spark, sf_dir, "documents"), "word_bpe_49k.json"
+    back = round_trip(docs, path, 2, partitions_for(docs, 50_000))
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
@@ -140,9 +135,7 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from earshot.llm.token_counts import count_tokens
 
     prepare(spark)
-    return count_tokens(
-        table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), 2048
-    )
+    return count_tokens(table(spark, sf_dir, "documents"), "word_bpe_49k.json", 2048)
 
 
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.llm import bloom
-from earshot.llm.common import remove_staged, shuffle_partitions, staged, staged_so_far
+from earshot.llm.common import partitions, remove_staged, staged, staged_so_far
 from earshot.llm.wordhash import MULTIPLIER, U, mix, sums, word_spans
 
 WINDOW = 13
@@ -58,6 +58,9 @@ SHARD_SEGMENTS = 20_000
 # 20 words each, so the words are fewer than there are characters.
 COMPILED_SEGMENTS = 500
 
+# Recurring anchors a shuffle partition should hold.
+ANCHORS_PER_SHARD = 100_000
+
 # Segments that are combined before they are sent, and text handled at a time.
 COMBINED_SEGMENTS = 100_000
 _STRETCH = 1 << 20
@@ -354,7 +357,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     often = bloom.build(met.where("common"), "anchor", sizes[1]) if sizes[1] else None
     remove_staged(spark, mark)
     shared = spark.sparkContext.broadcast((words, often))
-    firsts = recurring(segments(judged, shared), shuffle_partitions(spark))
+    shards = partitions(spark, sizes[0], ANCHORS_PER_SHARD)
+    firsts = recurring(segments(judged, shared), shards)
     found = cuts(judged, shared, firsts)
     # Whole rows travel in one column, so that no column of theirs meets one of ours.
     rows = docs.select(F.struct("*").alias("row"))

@@ -86,9 +86,14 @@ def spelt(piece: str) -> str:
 
 
 def opened(path: str):
+    """A tokenizer file, by its path or by the name of a public one, found where it is opened."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
+    if "/" not in path:
+        import public_tokenizers
+
+        path = public_tokenizers.path(path)
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()

@@ -217,7 +217,8 @@ def test_quality_samples_are_bounded_in_bytes(spark, docs, monkeypatch):
         monkeypatch.setattr(quality, "SAMPLE_BYTES", most)
         quality.learn(df, labels, F.lit(True))
         _, texts, good = seen[-1]
-        assert good == texts - good and most - 12_000 < good * len(rows[150][1]) <= most
+        # A text has 4,800 to 5,600 bytes.
+        assert good == texts - good and most - 5_600 < good * 5_600 and good * 4_800 <= most
     monkeypatch.setattr(quality, "SAMPLE_BYTES", 10**9)
     quality.learn(df, labels, F.lit(True))
     assert seen[-1][1] == 200
