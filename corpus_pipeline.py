@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,8 +57,7 @@ def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents, in sequences of at most 1024 token ids."""
     prepare(spark)
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    packed = packing.pieces(docs, path, 0)
+    packed = packing.pieces(docs, "byte_bpe_50k.json", 0)
     return packed.withColumn("ids_crc32", F.crc32("ids")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )
