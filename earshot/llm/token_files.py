@@ -10,7 +10,8 @@ nothing half-written): range, block, first document's place in the range, docume
 lengths, control bytes, data bytes. Ranges are disjoint in doc_id, in ascending order; inside,
 documents stand in ascending order. The ranks are a table beside the blocks.
 
-Null texts are empty. Null doc_ids come first. Repeated rows are written as often as they occur,
+Null texts are empty; a very long one is tokenized a stretch at a time and is a block of its own.
+Other columns than doc_id and text are not read. Null doc_ids come first. Repeated rows are written as often as they occur,
 in the order of their ids' digest where doc_ids tie. An empty table gives empty files.
 """
 
