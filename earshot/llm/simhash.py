@@ -4,7 +4,9 @@ A fingerprint's 64 bits lie on a ring of m segments. If two differ in at most d
 segment starts a chain in which every first l segments differ in at most l * d / m bits. So each
 distinct fingerprint is keyed by the segments of each chain whose budget is still nought; only
 fingerprints that share such a key meet, the rest of the chain's budgets prune them, and the full
-distance decides. Equal fingerprints are one node, whatever their number.
+distance decides. Where more than ``MOST_TOGETHER`` share a key, as those of a template filled in
+differently, they meet only if they share one of distance + 1 parts of the other bits too, which
+two that are linked must. Equal fingerprints are one node, whatever their number.
 
 A text without words (or null) has fingerprint 0 and links like any other. A very long text is
 hashed whole, a stretch of words at a time. Rows whose doc_id is null link like any other and get
@@ -32,6 +34,12 @@ DISTANCE = 2
 SEGMENTS = 16
 SEED = 42
 
+# Fingerprints with one key that meet in pairs; of more, only those that share further bits do.
+MOST_TOGETHER = 1000
+
+# Such keys that are broadcast; more are joined by a shuffle.
+BROADCAST_KEYS = 100_000
+
 # Bytes of a text whose words are held at a time.
 _STRETCH = 1 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -120,6 +128,47 @@ def links(nodes: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS)
         F.col("_s.ring").alias("ring"),
         F.shiftrightunsigned("_s.ring", 64 - key_bits).alias("key"),
     )
+    found = _meet(keyed, ["start", "key"], distance, width, longest)
+    # Fingerprints that share a key differ in few bits beyond it, so of that many parts and one
+    # more of those bits they share one: where very many share a key, only those meet.
+    crowded = staged(
+        keyed.groupBy("start", "key").agg(F.count("*").alias("n")).where(F.col("n") > MOST_TOGETHER)
+        .select("start", "key"),
+        "crowded-keys",
+    )
+    many = crowded.count()
+    if not many:
+        return found.distinct()
+    if many <= BROADCAST_KEYS:
+        crowded = F.broadcast(crowded)
+    ends = [n * (64 - key_bits) // (distance + 1) for n in range(distance + 2)]
+    parts = F.array(
+        *[
+            F.struct(
+                F.lit(n).alias("part"),
+                F.shiftrightunsigned("ring", low)
+                .bitwiseAND(F.lit((1 << (high - low)) - 1))
+                .alias("bits"),
+            )
+            for n, (low, high) in enumerate(zip(ends, ends[1:]))
+        ]
+    )
+    split = keyed.join(crowded, ["start", "key"]).select("*", F.explode(parts).alias("_p"))
+    split = split.select("node", "start", "ring", "key", "_p.part", "_p.bits")
+    others = keyed.join(crowded, ["start", "key"], "left_anti")
+    return (
+        _meet(others, ["start", "key"], distance, width, longest)
+        .unionByName(
+            _meet(split, ["start", "key", "part", "bits"], distance, width, longest)
+        )
+        .distinct()
+    )
+
+
+def _meet(
+    keyed: DataFrame, keys: list[str], distance: int, width: int, longest: dict[int, int]
+) -> DataFrame:
+    """a, b: the pairs that share the keys and keep to the chain's budgets and the distance."""
     a, b = keyed.alias("a"), keyed.alias("b")
     differ = F.col("a.ring").bitwiseXOR(F.col("b.ring"))
     # One value that leads through the chain's budgets first and ends in the full distance, so
@@ -129,11 +178,11 @@ def links(nodes: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS)
         if 0 < allowed < distance:
             prefix = F.bit_count(F.shiftrightunsigned(differ, 64 - n * width))
             near = F.when(prefix <= allowed, near).otherwise(F.lit(False))
-    same = (F.col("a.key") == F.col("b.key")) & (F.col("a.start") == F.col("b.start"))
-    return (
-        a.join(b, same & (F.col("a.node") < F.col("b.node")) & near)
-        .select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-        .distinct()
+    same = F.lit(True)
+    for key in keys:
+        same &= F.col(f"a.{key}") == F.col(f"b.{key}")
+    return a.join(b, same & (F.col("a.node") < F.col("b.node")) & near).select(
+        F.col("a.node").alias("a"), F.col("b.node").alias("b")
     )
 
 

@@ -168,7 +168,28 @@ def test_the_chain_is_checked_before_the_distance(spark, docs):
     assert chain < full
 
 
-def test_links_lose_no_pair(spark, docs):
+def test_a_crowded_key_does_not_meet_in_pairs(spark, docs, monkeypatch):
+    """3,000 fingerprints with the same 28 bits: few pairs are compared, none is lost."""
+    draw = random.Random(7)
+    prints = sorted({0xABCDEF1 << 36 | draw.getrandbits(36) for _ in range(3000)})
+    prints = sorted({*prints, *(p ^ 1 << draw.randrange(36) for p in prints[:50])})
+    signed = [(n, p - (1 << 64) if p >> 63 else p) for n, p in enumerate(prints)]
+    nodes = spark.createDataFrame(signed, "node long, fingerprint long")
+    expected = {
+        (a, b) for a, p in enumerate(prints) for b in range(a + 1, len(prints))
+        if (p ^ prints[b]).bit_count() <= 2
+    }
+    found = {tuple(r) for r in simhash.links(nodes).collect()}
+    assert found == expected and len(found) >= 50
+    seen = []
+    meet = simhash._meet
+    monkeypatch.setattr(simhash, "_meet", lambda k, *rest: seen.append(k) or meet(k, *rest))
+    simhash.links(nodes)
+    split = seen[-1].groupBy("start", "key", "part", "bits").count()
+    assert split.agg(F.max("count")).first()[0] < 20
+
+
+def test_links_lose_no_pair(spark, docs, monkeypatch):
     draw = random.Random(0)
     prints = [draw.getrandbits(64) for _ in range(60)]
     for p in prints[:40]:
@@ -180,7 +201,9 @@ def test_links_lose_no_pair(spark, docs):
     prints = sorted(set(prints))
     signed = [(n, p - (1 << 64) if p >> 63 else p) for n, p in enumerate(prints)]
     nodes = spark.createDataFrame(signed, "node long, fingerprint long")
-    for distance, segments in ((2, 16), (2, 8), (1, 4), (3, 16)):
+    cases = ((2, 16, 1000), (2, 8, 1000), (1, 4, 1000), (3, 16, 1000), (2, 16, 0), (3, 8, 2))
+    for distance, segments, together in cases:
+        monkeypatch.setattr(simhash, "MOST_TOGETHER", together)
         expected = {
             (a, b)
             for a, p in enumerate(prints)
