@@ -43,3 +43,23 @@ def test_no_shared_folder_is_guessed(monkeypatch):
     unnamed.sparkContext.master = "local[2]"
     session.name_own_folder(unnamed)
     assert session.fresh_folder(unnamed, "x") != session.fresh_folder(unnamed, "x")
+
+
+def test_steps_run_together_and_all_end_before_a_failure(spark):
+    ended = []
+
+    def step(n, fails=False):
+        def run():
+            found = spark.range(n).count()
+            if fails:
+                raise ValueError(f"step {n}")
+            ended.append(n)
+            return found
+
+        return run
+
+    assert session.together(spark, step(3), step(1), step(2)) == [3, 1, 2]
+    assert sorted(ended) == [1, 2, 3]
+    with pytest.raises(ValueError, match="step 5"):
+        session.together(spark, step(5, fails=True), step(4), step(6))
+    assert sorted(ended) == [1, 2, 3, 4, 6]
