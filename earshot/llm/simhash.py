@@ -40,6 +40,9 @@ MOST_TOGETHER = 1000
 # Such keys that are broadcast; more are joined by a shuffle.
 BROADCAST_KEYS = 100_000
 
+# Documents to leave out that are broadcast: two longs each.
+BROADCAST_GONE = 500_000
+
 # Bytes of a text whose words are held at a time.
 _STRETCH = 1 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -231,10 +234,10 @@ def keep_one(
 ) -> DataFrame:
     """One row of each group: that of the smallest doc_id, and where unlike texts of the group
     share it, of the least fingerprint and digest. Texts of different groups that share a doc_id
-    are told apart by their digest and each judged in its own. Rows that repeat the one kept give
+    are told apart by a 64-bit digest and each judged in its own. Rows that repeat the one kept give
     one row. Rows without a doc_id can't be told apart and stay."""
     spark, mark = docs.sparkSession, staged_so_far()
-    digest = F.md5(F.coalesce("text", F.lit("")))
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
     found = staged(fingerprints(docs.withColumn("digest", digest), shingle, "digest"), "prints")
     known = found.where("doc_id is not null")
     grouped = _grouped(found, distance, segments)
@@ -250,9 +253,12 @@ def keep_one(
     )
 
     def same(df: DataFrame, other: DataFrame):
-        mine = F.md5(F.coalesce(df["text"], F.lit("")))
+        mine = F.xxhash64(F.coalesce(df["text"], F.lit("")))
         return (df["doc_id"] == other["doc_id"]) & (mine == other["digest"])
 
+    # Few enough, they go to the documents; of more, whole documents are shuffled to them.
+    if gone.count() <= BROADCAST_GONE:
+        gone = F.broadcast(gone)
     kept = docs.join(gone, same(docs, gone), "left_anti")
     repeated = staged(
         rows.where("n > 1").join(stays, ["doc_id", "digest"]).select("doc_id", "digest"),
