@@ -98,7 +98,10 @@ def send_to_blocks(
         queries.select(every.alias("block"), F.lit(True).alias("asks"), "*")
     )
     keys = ["block", "size"]
-    dealt = sent.repartition(min(blocks, MOST_PARTS), *keys).sortWithinPartitions(*keys, "asks")
+    # Several tasks for a block, most of them empty, so that few blocks seldom share one.
+    dealt = sent.repartition(min(8 * blocks, MOST_PARTS), *keys).sortWithinPartitions(
+        *keys, "asks"
+    )
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
         """Stretches of one block, size and kind, in order."""
