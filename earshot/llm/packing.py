@@ -40,7 +40,7 @@ MOST_OPEN = 8192
 MOST_PARTS = 10_000
 
 # Parts whose open windows are packed together.
-MERGED_PARTS = 64
+MERGED_PARTS = 8
 
 # A piece: doc_id, its document's ids before it, its ids, its document's number of ids.
 Piece = tuple[int | None, int, np.ndarray, int]
