@@ -128,8 +128,9 @@ def load(
     The clean frames are staged as Parquet in a folder of this run's own, in the one the cluster
     shares; it is removed when all is written, and left for inspection if the job fails. An event
     that another load day has stored is left out, so a play counts once however often it lands.
-    The clean lookups are measured where they are staged, and their sizes choose how they are
-    joined; rows per key are counted once, for the joins and the audits. Without ``rebalance``
+    Rows per key are counted once, for the joins and the audits. Of the clean lookups, the rows
+    whose keys the events have are staged and measured; the size of these, not of the whole
+    lookup, chooses how they are joined. Without ``rebalance``
     the number of listening dates decides. ``keep_partials`` stores the day's mergeable partials
     too, and views over them.
     """
@@ -179,34 +180,44 @@ def _load(
         lambda: staged("clean", enrich.clean_streams(streams)),
     )
     dates = clean.select(F.to_date("listen_time").alias("listen_date")).distinct()
-    few = [r["listen_date"] for r in dates.limit(FEW_DATES + 1).collect()]
+    of_dates = dates.count()
+    many = of_dates > FEW_DATES
+    few = [] if many else [r["listen_date"] for r in dates.collect()]
     if rebalance is None:
-        rebalance = len(few) > FEW_DATES
+        rebalance = many
     if spark.catalog.tableExists(tables.fact):
         others = spark.table(tables.fact).where(F.col("load_date") != F.lit(day))
-        known = enrich.same_dates(others, few if len(few) <= FEW_DATES else dates)
+        known = enrich.same_dates(others, dates if many else few)
         if not known.isEmpty():
             clean = staged("streams", enrich.not_yet_stored(clean, known))
     sizes = enrich.Sizes()
-    by_user, by_track, *_ = together(
+
+    def count(key: str, lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows per key, and the lookup's rows that they meet, staged and measured."""
+        counted = staged(f"rows_{key}", key_counts(clean, key))
+        met = staged(f"met_{key}", enrich.met(lookup, key, counted))
+        sizes.small(met)
+        return counted, met
+
+    (by_user, met_users), (by_track, met_songs) = together(
         spark,
-        lambda: staged("rows_user_id", key_counts(clean, "user_id")),
-        lambda: staged("rows_track_id", key_counts(clean, "track_id")),
-        lambda: sizes.small(clean_users),
-        lambda: sizes.small(clean_songs),
+        lambda: count("user_id", clean_users),
+        lambda: count("track_id", clean_songs),
     )
     counts = {"user_id": by_user, "track_id": by_track}
-    enriched = enrich.enrich_streams(clean, clean_users, clean_songs, "inner", sizes, counts)
+    enriched = enrich.enrich_streams(clean, met_users, met_songs, "inner", sizes, counts)
+
     def store() -> None:
         fact, rows = facts.fact_streams(enriched), received["streams"].rows
-        write_fact(fact, tables.fact, day, location("fact_streams"), rebalance, rows)
+        spread = of_dates if many and rebalance else 1
+        write_fact(fact, tables.fact, day, location("fact_streams"), rebalance, rows, spread)
 
     def audit() -> dict[str, int]:
-        audited = enrich.audit_counts(clean, clean_users, clean_songs, counts).collect()
+        audited = enrich.audit_counts(clean, met_users, met_songs, counts).collect()
         unmatched = dict(map(tuple, audited))
         for name, found in (
-            ("missing_users", enrich.missing_users(clean, clean_users, sizes, counts)),
-            ("missing_songs", enrich.missing_songs(clean, clean_songs, sizes, counts)),
+            ("missing_users", enrich.missing_users(clean, met_users, sizes, counts)),
+            ("missing_songs", enrich.missing_songs(clean, met_songs, sizes, counts)),
         ):
             write_audit(found, f"{places.audits}/{day}/{name}", unmatched[name])
         return unmatched

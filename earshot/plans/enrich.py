@@ -78,6 +78,12 @@ def not_yet_stored(streams: DataFrame, known: DataFrame) -> DataFrame:
     return streams.join(known, schemas.STREAM_KEY, "left_anti")
 
 
+def met(lookup: DataFrame, key: str, counted: DataFrame) -> DataFrame:
+    """The rows of ``lookup`` whose key some event has (``counted``: rows per key). No other can
+    join an event, so inner joins and audits give the same with these alone."""
+    return lookup.join(counted.select(key), key, "left_semi")
+
+
 def enrich_streams(
     streams: DataFrame,
     users: DataFrame,

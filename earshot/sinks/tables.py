@@ -99,6 +99,7 @@ def write_fact(
     path: str | None = None,
     rebalance: bool = False,
     rows: int = 0,
+    dates: int = 1,
 ) -> None:
     """Replace what one load day brought to a fact table, and nothing else.
 
@@ -113,6 +114,11 @@ def write_fact(
     of the largest; they stay. A fact
     without the key's columns, or a table that has no buckets, is written without.
 
+    Every listening date has a file for each bucket. Where ``rows`` are spread over many
+    ``dates``, a long history, there are buckets for the rows of one date only, so that files
+    grow with the rows and not with dates times rows. If those fit one bucket there are none:
+    one would be read by a single task.
+
     Each task writes one bucket, a file for each listening date. One load day has few of these. A
     load of a long history has many, and large buckets: ``rebalance`` gathers by date and bucket
     in evenly sized tasks, where adaptive execution splits what is too big for one.
@@ -120,9 +126,9 @@ def write_fact(
     spark = fact.sparkSession
     day = dt.date.fromisoformat(str(load_date))
     if not spark.catalog.tableExists(table):
-        buckets = min(MOST_BUCKETS, max(1, -(-rows // ROWS_PER_BUCKET)))
+        buckets = min(MOST_BUCKETS, max(1, -(-rows // (ROWS_PER_BUCKET * dates))))
         clustered = f"CLUSTERED BY ({', '.join(STREAM_KEY)}) INTO {buckets} BUCKETS"
-        keyed = set(STREAM_KEY) <= set(fact.columns)
+        keyed = set(STREAM_KEY) <= set(fact.columns) and (dates == 1 or buckets > 1)
         _create(fact, table, ["load_date", "listen_date"], path, clustered if keyed else "")
     buckets = buckets_of(spark, table)
     stored = spark.table(table).schema

@@ -9,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from earshot import schemas
+from earshot.operators import lookup
+from earshot.operators.lookup import key_counts, lookup_join
 from earshot.operators.ordinal import with_ordinal
 from earshot.operators.profiling import Counted, null_profile
-from earshot.plans import enrich, kpi, partials, views
+from earshot.plans import daily, enrich, kpi, partials, views
 from earshot.session import fresh_folder
 from earshot.sinks.tables import buckets_of, write_fact
 from earshot.sources import files
@@ -173,6 +175,76 @@ def test_one_user_with_most_plays_is_spread_over_the_buckets(spark, database):
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 110
 
 
+def test_files_of_a_history_grow_with_its_rows_not_with_dates_times_buckets(spark, database):
+    plays = [play(u, "T1", f"2024-06-{d:02d} 00:0{u}:00") for u in range(5) for d in range(1, 21)]
+    fact = spark.createDataFrame(plays, FACT).withColumns(
+        {"listen_date": F.to_date("listen_time"), "listen_hour": F.hour("listen_time")}
+    )
+    write_fact(fact, TABLES.fact, "2024-06-25", rebalance=True, rows=4_000_000, dates=20)
+    stored = spark.table(TABLES.fact)
+    assert buckets_of(spark, TABLES.fact) == 0 and len(stored.inputFiles()) == 20
+    # Events that are stored are still found.
+    new = fact.select(*schemas.STREAM_KEY).unionByName(
+        spark.createDataFrame(DAY_2, FACT).select(*schemas.STREAM_KEY)
+    )
+    known = enrich.same_dates(stored, fact.select("listen_date").distinct())
+    assert enrich.not_yet_stored(new, known).count() == len(DAY_2)
+
+
+def test_dates_that_fill_buckets_keep_them(spark, database):
+    plays = [play(u, "T1", f"2024-06-{d:02d} 00:0{u}:00") for u in range(5) for d in range(1, 21)]
+    fact = spark.createDataFrame(plays, FACT).withColumns(
+        {"listen_date": F.to_date("listen_time"), "listen_hour": F.hour("listen_time")}
+    )
+    write_fact(fact, TABLES.fact, "2024-06-25", rebalance=True, rows=60_000_000, dates=20)
+    assert buckets_of(spark, TABLES.fact) == 3
+
+
+# --- lookups of the keys that occur
+
+
+def test_lookup_rows_no_event_has_change_nothing(spark, rows):
+    events = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (2, "c"), (9, "x"), (None, "n")], "user_id long, e string"
+    )
+    users = spark.range(8).select(F.col("id").alias("user_id"), F.lit("u").alias("name"))
+    met = enrich.met(users, "user_id", key_counts(events, "user_id"))
+    assert rows(met) == [(1, "u"), (2, "u")]
+    for how in ("inner", "left_anti"):
+        assert rows(lookup_join(events, met, "user_id", how)) == rows(
+            lookup_join(events, users, "user_id", how)
+        )
+
+
+def test_the_daily_job_joins_what_its_events_meet(spark, tmp_path, monkeypatch):
+    """A catalogue too large to broadcast, of which the day's events need three songs."""
+    met, joined = enrich.met, []
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(enrich, "met", lambda *x: joined.append(met(*x)) or joined[-1])
+    songs = spark.range(40).selectExpr(
+        "cast(id as int) id", "concat('T', id) track_id", "'a' artists", "'l' album_name",
+        "'n' track_name", "1 popularity", "1 duration_ms", "0 explicit", "1D tempo", "'g' track_genre",
+    )
+    users = spark.range(1, 40).selectExpr(
+        "id user_id", "'u' user_name", "20 user_age", "'c' user_country",
+        "timestamp_ntz'2024-01-01 00:00:00' created_at",
+    )
+    streams = spark.range(30).selectExpr(
+        "id % 3 + 1 user_id", "concat('T', id % 3) track_id",
+        "timestamp'2024-06-25 00:00:00' + make_dt_interval(0, 0, cast(id as int)) listen_time",
+    )
+    spark.sql("CREATE DATABASE met")
+    try:
+        places = daily.Locations("", "", "", str(tmp_path / "audits"))
+        report = daily.load(
+            spark, songs, users, streams, places, "2024-06-25", tables=views.Tables("met")
+        )
+        assert report.overall_total == 30 and (report.missing_users, report.missing_songs) == (0, 0)
+        assert spark.table("met.dim_songs").count() == 40 and len(joined) == 2
+    finally:
+        spark.sql("DROP DATABASE met CASCADE")
+
+
 # --- the manifest
 
 
