@@ -8,6 +8,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from earshot import schemas
 from earshot.operators import lookup
 from earshot.operators.lookup import key_counts, lookup_join
@@ -245,6 +246,16 @@ def test_the_daily_job_joins_what_its_events_meet(spark, tmp_path, monkeypatch):
         spark.sql("DROP DATABASE met CASCADE")
 
 
+def test_two_load_days_derive_their_events_once(spark, rows):
+    i = queries.inputs(spark, "/root/testdata/sf0.001")
+    first, second = queries._two_days(i)
+    part = F.pmod(F.xxhash64("user_id", "track_id", "listen_time"), F.lit(3))
+    for found, expected in ((first, part < 2), (second, part > 0)):
+        assert "props" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.schema == i.streams_dirty.schema
+        assert rows(found) == rows(i.streams_dirty.where(expected))
+
+
 # --- the manifest
 
 
